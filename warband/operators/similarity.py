@@ -53,17 +53,35 @@ def medoid(members: DataFrame, vectors: DataFrame, ckey: str = "ckey") -> DataFr
     return d.groupBy(ckey).agg(F.min(F.struct("_d", "sid")).alias("_m")).select(ckey, F.col("_m.sid").alias("rep_sid"))
 
 
+def _rep_join(members: DataFrame, seqs: DataFrame, reps: DataFrame, ckey: str) -> DataFrame:
+    return members.join(seqs, "sid").join(reps, ckey)
+
+
+def _jaccard():
+    a, r = F.array_distinct("actions"), F.array_distinct("rep_actions")
+    return F.try_divide(F.size(F.array_intersect(a, r)).cast("double"), F.size(F.array_union(a, r)))
+
+
+def _weighted_mean(x):
+    return F.sum(F.col("weight") * x) / F.sum("weight")
+
+
+def avg_jaccard(members: DataFrame, seqs: DataFrame, reps: DataFrame, ckey: str = "ckey") -> DataFrame:
+    """Weighted mean Jaccard of action sets against the group's representative.
+
+    ``seqs``: (sid, actions, …); ``reps``: (ckey, rep_actions, …).
+    """
+    return _rep_join(members, seqs, reps, ckey).groupBy(ckey).agg(_weighted_mean(_jaccard()).alias("avg_jaccard"))
+
+
 def avg_against_representative(members: DataFrame, seqs: DataFrame, reps: DataFrame,
                                ckey: str = "ckey") -> DataFrame:
     """U13 + U14: weighted means of Jaccard (action sets) and indel similarity (texts)
-    between every row and its group's representative.
+    between every row and its group's representative, in one pass.
 
     ``seqs``: (sid, actions, build_order_seq); ``reps``: (ckey, rep_actions, rep_seq).
+    The indel UDF runs once per distinct sequence of a group, not per copy.
     """
-    j = members.join(seqs, "sid").join(reps, ckey)
-    a, r = F.array_distinct("actions"), F.array_distinct("rep_actions")
-    jac = F.try_divide(F.size(F.array_intersect(a, r)).cast("double"), F.size(F.array_union(a, r)))
     ind = indel_similarity(F.col("build_order_seq"), F.col("rep_seq"))
-    w = F.col("weight")
-    return j.groupBy(ckey).agg((F.sum(w * jac) / F.sum(w)).alias("avg_jaccard"),
-                               (F.sum(w * ind) / F.sum(w)).alias("avg_levenshtein"))
+    return _rep_join(members, seqs, reps, ckey).groupBy(ckey).agg(
+        _weighted_mean(_jaccard()).alias("avg_jaccard"), _weighted_mean(ind).alias("avg_levenshtein"))

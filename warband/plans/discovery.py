@@ -42,13 +42,8 @@ def gram_vectors(seqs: DataFrame, char_n: int = 3) -> DataFrame:
     return char_ngrams(seqs, ["sid"], "build_order_seq", char_n)
 
 
-def known_variation(openings: DataFrame, char_n: int = 3) -> DataFrame:
-    """U16: per named strategy, matches and mean similarity (%) of its build orders.
-
-    avg_ngram: mean pairwise cosine of char n-gram counts; avg_jaccard / avg_levenshtein:
-    mean action-set Jaccard / indel similarity against the most common build order
-    (ties → first by match, player).
-    """
+def known_members(openings: DataFrame):
+    """Known-strategy rows collapsed: (seqs, rows_sid, members(ckey=strategy, sid, weight), reps)."""
     rows = known_sequences(openings)
     seqs, rows_sid = sequence_ids(rows, ["strategy", "match_id", "player_id"])
     members = rows_sid.groupBy(F.col("strategy").alias("ckey"), "sid").agg(F.count("*").alias("weight"))
@@ -56,6 +51,17 @@ def known_variation(openings: DataFrame, char_n: int = 3) -> DataFrame:
             .select(F.col("strategy").alias("ckey"), F.col("rep_seq").alias("rep_sid")))
     reps = reps.join(seqs.select(F.col("sid").alias("rep_sid"), F.col("actions").alias("rep_actions"),
                                  F.col("build_order_seq").alias("rep_seq")), "rep_sid")
+    return seqs, rows_sid, members, reps
+
+
+def known_variation(openings: DataFrame, char_n: int = 3) -> DataFrame:
+    """U16: per named strategy, matches and mean similarity (%) of its build orders.
+
+    avg_ngram: mean pairwise cosine of char n-gram counts; avg_jaccard / avg_levenshtein:
+    mean action-set Jaccard / indel similarity against the most common build order
+    (ties → first by match, player).
+    """
+    seqs, _, members, reps = known_members(openings)
     vectors = gram_vectors(seqs, char_n)
     sizes = members.groupBy("ckey").agg(F.sum("weight").alias("num_matches"))
     out = (sizes.join(avg_against_representative(members, seqs.select("sid", "actions", "build_order_seq"), reps), "ckey")

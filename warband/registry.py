@@ -11,8 +11,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pyspark.sql import functions as F
+
 from warband import oracle as O
-from warband.plans import analyst, gold
+from warband.operators.minhash import band_buckets, band_layout, signature
+from warband.operators.sequences import (UNKNOWN_KEYS, action_shingles, char_ngrams, known_sequences,
+                                         modal_sequence, unknown_sequences)
+from warband.operators.similarity import avg_jaccard, avg_pairwise_cosine
+from warband.plans import analyst, discovery, gold
 from warband.plans.silver import events_clean
 from warband.sources.adapter import load_bronze
 
@@ -21,6 +27,11 @@ OPENING_N = 10            # adapter matches have 9–40 actions; 10 makes the cu
 APM_WIDE_WINDOW = 172_800  # two days: most adapter rows fall inside
 CIV_PICK = ["NATION_1", "NATION_2", "NATION_3", "NATION_4", "NATION_5"]
 CIV_LIKE_PICK = ["NATION_1", "NATION_2"]  # substring test: NATION_1 also hits NATION_1x
+SHINGLE_N, NUM_PERM, LSH_THRESHOLD, CHAR_N = 3, 128, 0.5, 3
+# Discovery parameters that give clusters on the adapter data (the defaults give none).
+DISCOVERY_TEST = dict(ngram_n=2, char_n=3, dbscan_eps=0.05, dbscan_min_samples=5, min_matches_per_player=2)
+# The reference's actual run: defaults with three matches per player.
+DISCOVERY_RUN = dict(ngram_n=3, min_matches_per_player=3)
 
 
 def silver_of(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,6 +80,90 @@ def _q_civilizations(spark, sf_dir):
     return analyst.civilizations(silver_of(spark, sf_dir))
 
 
+def openings_of(spark: SparkSession, sf_dir: str, top_n: int = 100) -> DataFrame:
+    return gold.openings(silver_of(spark, sf_dir), top_n=top_n)
+
+
+def _unknown(spark, sf_dir):
+    return unknown_sequences(openings_of(spark, sf_dir))
+
+
+def _q_known_sequences(spark, sf_dir):
+    return known_sequences(openings_of(spark, sf_dir)).select("strategy", "match_id", "player_id", "build_order_seq")
+
+
+def _q_unknown_sequences(spark, sf_dir):
+    return _unknown(spark, sf_dir).select(*UNKNOWN_KEYS, "build_order_seq")
+
+
+def _q_action_shingles(spark, sf_dir):
+    return (_unknown(spark, sf_dir)
+            .select(*UNKNOWN_KEYS, F.posexplode(action_shingles("actions", SHINGLE_N)).alias("pos", "shingle"))
+            .withColumn("pos", F.col("pos") + 1))
+
+
+def _signatures(spark, sf_dir):
+    return _unknown(spark, sf_dir).select(
+        *UNKNOWN_KEYS, signature(action_shingles("actions", SHINGLE_N), NUM_PERM).alias("sig"))
+
+
+def _q_minhash_signatures(spark, sf_dir):
+    return _signatures(spark, sf_dir).select(*UNKNOWN_KEYS, F.posexplode("sig").alias("perm", "minhash"))
+
+
+def _q_lsh_buckets(spark, sf_dir):
+    bands, rows = band_layout(LSH_THRESHOLD, NUM_PERM)
+    return (band_buckets(_signatures(spark, sf_dir), UNKNOWN_KEYS, "sig", bands, rows)
+            .select(*UNKNOWN_KEYS, "band",
+                    F.array_join(F.transform("bucket", lambda x: x.cast("string")), "-").alias("bucket")))
+
+
+def _q_leader_groups(spark, sf_dir):
+    seqs, rows_sid = discovery.sequence_ids(_unknown(spark, sf_dir), UNKNOWN_KEYS)
+    groups = discovery.candidate_groups(seqs, SHINGLE_N, NUM_PERM, LSH_THRESHOLD)
+    first = rows_sid.groupBy("sid").agg(F.min(F.struct(*UNKNOWN_KEYS)).alias("_o"))
+    lead = first.select(F.col("sid").alias("g"), F.col("_o.match_id").alias("group_match_id"),
+                        F.col("_o.player_id").alias("group_player_id"))
+    return (groups.join(lead, "g").join(rows_sid.select("sid", *UNKNOWN_KEYS), "sid")
+            .select("group_match_id", "group_player_id", *UNKNOWN_KEYS))
+
+
+def _q_char_ngrams(spark, sf_dir):
+    return char_ngrams(_unknown(spark, sf_dir), UNKNOWN_KEYS, "build_order_seq", CHAR_N)
+
+
+def _q_pairwise_cohesion(spark, sf_dir):
+    seqs, _, members, _ = discovery.known_members(openings_of(spark, sf_dir))
+    return (avg_pairwise_cosine(members, discovery.gram_vectors(seqs, CHAR_N))
+            .select(F.col("ckey").alias("strategy"), F.round("avg_ngram", 6).alias("avg_ngram")))
+
+
+def _q_jaccard_to_modal(spark, sf_dir):
+    seqs, _, members, reps = discovery.known_members(openings_of(spark, sf_dir))
+    return (avg_jaccard(members, seqs.select("sid", "actions"), reps)
+            .select(F.col("ckey").alias("strategy"), F.round("avg_jaccard", 6).alias("avg_jaccard")))
+
+
+def _q_modal_sequences(spark, sf_dir):
+    return modal_sequence(known_sequences(openings_of(spark, sf_dir)), "strategy", ["match_id", "player_id"])
+
+
+def _q_known_variation(spark, sf_dir):
+    return discovery.known_variation(openings_of(spark, sf_dir), CHAR_N)
+
+
+def _q_unknown_clusters(spark, sf_dir):
+    return discovery.unknown_clusters(openings_of(spark, sf_dir), **DISCOVERY_TEST)
+
+
+def _q_unknown_clusters_default(spark, sf_dir):
+    return discovery.unknown_clusters(openings_of(spark, sf_dir), **DISCOVERY_RUN)
+
+
+def _q_cluster_summary(spark, sf_dir):
+    return analyst.cluster_summary(_q_unknown_clusters(spark, sf_dir))
+
+
 def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         "events_clean": silver_of,
@@ -91,6 +186,20 @@ def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "civ_winrates": _q_civ_winrates,
         "strategy_winrates": _q_strategy_winrates,
         "civilizations": _q_civilizations,
+        "known_sequences": _q_known_sequences,
+        "unknown_sequences": _q_unknown_sequences,
+        "action_shingles": _q_action_shingles,
+        "minhash_signatures": _q_minhash_signatures,
+        "lsh_buckets": _q_lsh_buckets,
+        "leader_groups": _q_leader_groups,
+        "char_ngrams": _q_char_ngrams,
+        "pairwise_cohesion": _q_pairwise_cohesion,
+        "jaccard_to_modal": _q_jaccard_to_modal,
+        "modal_sequences": _q_modal_sequences,
+        "known_variation": _q_known_variation,
+        "unknown_clusters": _q_unknown_clusters,
+        "unknown_clusters_default": _q_unknown_clusters_default,
+        "cluster_summary": _q_cluster_summary,
     }
     return q
 
@@ -100,7 +209,7 @@ def oracle_queries() -> dict[str, str]:
     n = OPENING_N
     steps = ", ".join(f'COUNT(*) FILTER (WHERE action_rank = {i}) AS "{i}"' for i in range(1, n + 1))
     like = " OR ".join(f"contains(civilizations, '{c}')" for c in CIV_LIKE_PICK)
-    return {
+    out_base = {
         "events_clean": O.with_(*base) + "SELECT * FROM silver",
         "player_match_results": O.with_(*base, O.PMR) + "SELECT * FROM pmr",
         "player_strategy_usage": O.with_(*base, O.USAGE) + "SELECT * FROM usage",
@@ -143,3 +252,30 @@ def oracle_queries() -> dict[str, str]:
         + f"SELECT strategy, total_games, winrate, civilizations FROM winrate_strat WHERE {like}",
         "civilizations": O.with_(*base) + "SELECT DISTINCT civilization FROM silver WHERE civilization IS NOT NULL",
     }
+    op = (*base, O.PMR, O.openings_cte(100))
+    bands, rows = band_layout(LSH_THRESHOLD, NUM_PERM)
+    uk = O.UKEYS
+    disc = {
+        "known_sequences": O.with_(*op, O.KNOWN_ROWS) + "SELECT strategy, match_id, player_id, build_order_seq FROM kn",
+        "unknown_sequences": O.with_(*op, O.UNKNOWN_ROWS) + f"SELECT {uk}, build_order_seq FROM unk",
+        "action_shingles": O.with_(*op, O.UNKNOWN_ROWS, O.shingles_cte(SHINGLE_N)) + "SELECT * FROM sh",
+        "minhash_signatures": O.with_(*op, O.UNKNOWN_ROWS, O.shingles_cte(SHINGLE_N), O.signature_cte(SHINGLE_N, NUM_PERM))
+        + "SELECT * FROM sig",
+        "lsh_buckets": O.with_(*op, O.UNKNOWN_ROWS, O.shingles_cte(SHINGLE_N), O.signature_cte(SHINGLE_N, NUM_PERM))
+        + f"SELECT {uk}, CAST(perm // {rows} AS INTEGER) AS band, "
+          f"STRING_AGG(CAST(minhash AS VARCHAR), '-' ORDER BY perm) AS bucket FROM sig "
+          f"WHERE perm < {bands * rows} GROUP BY {uk}, perm // {rows}",
+        "char_ngrams": O.with_(*op, O.UNKNOWN_ROWS, O.grams_cte("unk_grams", "unk", uk, CHAR_N)) + "SELECT * FROM unk_grams",
+        "pairwise_cohesion": O.with_(*op, O.KNOWN_ROWS, O.grams_cte("kn_grams", "kn", "strategy, match_id, player_id", CHAR_N),
+                                     O.PAIRWISE_KNOWN)
+        + "SELECT c.strategy, ROUND(CASE WHEN c.n > 1 THEN COALESCE(s.s, 0) / (c.n * (c.n - 1) / 2.0) ELSE 1.0 END, 6) "
+          "AS avg_ngram FROM kn_count c LEFT JOIN kn_cos s USING (strategy)",
+        "jaccard_to_modal": O.with_(*op, O.KNOWN_ROWS)
+        + "SELECT k.strategy, ROUND(AVG(CAST(len(list_intersect(list_distinct(k.acts), list_distinct(m.rep_acts))) AS DOUBLE)"
+          " / len(list_distinct(list_concat(k.acts, m.rep_acts)))), 6) AS avg_jaccard "
+          "FROM kn k JOIN modal m USING (strategy) GROUP BY k.strategy",
+        "modal_sequences": O.with_(*op, O.KNOWN_ROWS) + "SELECT strategy, rep_seq FROM modal",
+    }
+    out = dict(out_base)
+    out.update(disc)
+    return out
