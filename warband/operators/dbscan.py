@@ -14,7 +14,7 @@ every block pair is one ``applyInPandas`` task computing a small dense product.
 emitted is quadratic: pass 1 returns per-point neighbour counts, pass 2 a spanning forest
 of core–core links (fewer rows than points), pass 3 one label per border point.
 Components of the forest are found by min-label propagation with pointer jumping, each
-round checkpointed.
+round written to the checkpoint folder.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from warband.session import checkpoint_dir
+from warband.session import checkpoint_dir, materialize
 
 _PAIR_COLS = ["g", "bi", "bj", "blk", "sid", "weight", "grams", "cnts"]
 
@@ -145,8 +145,8 @@ def components(edges: DataFrame, nodes: DataFrame, max_rounds: int = 200) -> Dat
     """(g, sid, label): smallest node id of each connected component, per group."""
     checkpoint_dir(nodes.sparkSession)
     und = edges.select("g", "u", "v").unionByName(edges.select("g", F.col("v").alias("u"), F.col("u").alias("v")))
-    und = und.checkpoint()
-    labels = nodes.select("g", "sid", F.col("sid").alias("label")).checkpoint()
+    und = materialize(und, "cc-edges")
+    labels = materialize(nodes.select("g", "sid", F.col("sid").alias("label")), "cc-labels")
     for _ in range(max_rounds):
         nbr = (und.join(labels.select("g", F.col("sid").alias("v"), F.col("label").alias("_l")), ["g", "v"])
                .groupBy("g", "u").agg(F.min("_l").alias("_nl")))
@@ -154,7 +154,8 @@ def components(edges: DataFrame, nodes: DataFrame, max_rounds: int = 200) -> Dat
                    .select("g", "sid", F.least("label", F.coalesce("_nl", "label")).alias("label")))
         jumped = (stepped.join(stepped.select("g", F.col("sid").alias("label"), F.col("label").alias("_j")),
                                ["g", "label"], "left")
-                  .select("g", "sid", F.least("label", F.coalesce("_j", "label")).alias("label"))).checkpoint()
+                  .select("g", "sid", F.least("label", F.coalesce("_j", "label")).alias("label")))
+        jumped = materialize(jumped, "cc-labels")
         changed = (jumped.join(labels.withColumnRenamed("label", "_old"), ["g", "sid"])
                    .where(F.col("label") != F.col("_old")).limit(1).count())
         labels = jumped
@@ -172,11 +173,11 @@ def dbscan(members: DataFrame, points: DataFrame, eps: float, min_samples: int,
     """
     checkpoint_dir(members.sparkSession)
     pts = points.select("sid", "weight", "grams", "cnts")
-    pairs = _pairs(members.select("g", "sid"), pts, block_size).select(*_PAIR_COLS).checkpoint()
+    pairs = materialize(_pairs(members.select("g", "sid"), pts, block_size).select(*_PAIR_COLS), "dbscan-pairs")
     keys = ["g", "bi", "bj"]
     counts = (pairs.groupBy(*keys).applyInPandas(_count_kernel(eps), "g long, sid long, n double")
               .groupBy("g", "sid").agg(F.sum("n").alias("n")))
-    flags = counts.select("g", "sid", (F.col("n") >= min_samples).alias("core")).checkpoint()
+    flags = materialize(counts.select("g", "sid", (F.col("n") >= min_samples).alias("core")), "dbscan-core")
     with_core = pairs.join(flags, ["g", "sid"])
     forest = with_core.groupBy(*keys).applyInPandas(_forest_kernel(eps), "g long, u long, v long")
     cores = flags.where("core").select("g", "sid")

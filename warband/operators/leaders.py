@@ -9,7 +9,7 @@ Distributed form: in each round every undecided sequence that is the smallest un
 one in *all* of its buckets becomes a leader, and every undecided sequence sharing a bucket
 with a new leader is covered. Only the bipartite (sequence, bucket) table is used — linear
 per round, never the pairs. The round state is checkpointed so a lost executor recomputes
-one round, not the whole lineage. Only the number of undecided rows reaches the driver.
+one round, not the whole lineage (state tables are written to the checkpoint folder). Only the number of undecided rows reaches the driver.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from warband.session import checkpoint_dir
+from warband.session import checkpoint_dir, materialize
 
 UNDECIDED, LEADER, COVERED = 0, 1, 2
 
@@ -29,7 +29,7 @@ def leader_rounds(buckets: DataFrame, max_rounds: int = 500) -> tuple[DataFrame,
     """
     checkpoint_dir(buckets.sparkSession)
     bk = buckets.select("sid", "band", "bucket")
-    state = bk.select("sid").distinct().withColumn("state", F.lit(UNDECIDED)).checkpoint()
+    state = materialize(bk.select("sid").distinct().withColumn("state", F.lit(UNDECIDED)), "leaders")
     rounds = 0
     while state.where(F.col("state") == UNDECIDED).limit(1).count() > 0:
         rounds += 1
@@ -48,7 +48,8 @@ def leader_rounds(buckets: DataFrame, max_rounds: int = 500) -> tuple[DataFrame,
         state = upd.select("sid", F.when(F.col("state") != UNDECIDED, F.col("state"))
                            .when(F.col("_lead"), F.lit(LEADER))
                            .when(F.col("_cov"), F.lit(COVERED))
-                           .otherwise(F.lit(UNDECIDED)).alias("state")).checkpoint()
+                           .otherwise(F.lit(UNDECIDED)).alias("state"))
+        state = materialize(state, "leaders")
     return state, rounds
 
 

@@ -34,13 +34,19 @@ def base_hash(c: Column) -> Column:
 
 
 def signature(shingles: Column, num_perm: int = 128) -> Column:
-    """U4: array of ``num_perm`` minima over the distinct shingles."""
+    """U4: array of ``num_perm`` minima over the distinct shingles.
+
+    A fold over the shingle hashes (each hash computed once) keeps the running minima;
+    the permutation constants are a literal array.
+    """
     sh = F.array_distinct(shingles)
     sh = F.when(F.size(sh) > 0, sh).otherwise(F.array(F.lit(EMPTY_SHINGLE)))
-    hashes = F.transform(sh, base_hash)
     perms = F.array(*[F.struct(F.lit(a).cast("bigint").alias("a"), F.lit(b).cast("bigint").alias("b"))
                       for a, b in permutations(num_perm)])
-    return F.transform(perms, lambda p: F.array_min(F.transform(hashes, lambda h: (p["a"] * h + p["b"]) % PRIME)))
+    start = F.array_repeat(F.lit(PRIME).cast("bigint"), num_perm)
+    return F.aggregate(
+        F.transform(sh, base_hash), start,
+        lambda acc, h: F.zip_with(acc, perms, lambda m, p: F.least(m, (p["a"] * h + p["b"]) % PRIME)))
 
 
 @functools.lru_cache(maxsize=None)

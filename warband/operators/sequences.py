@@ -51,13 +51,14 @@ def char_ngrams(df: DataFrame, key_cols: list[str], seq_col: str = "build_order_
                 n: int = 3) -> DataFrame:
     """Counts of character n-grams per row key (long form: key…, gram, cnt).
 
-    A text shorter than ``n`` has no n-gram (and so a zero vector).
+    The normalized text is projected below the ``explode`` so it is computed once per row,
+    not once per n-gram. A text shorter than ``n`` has no n-gram (a zero vector).
     """
-    t = normalized_text(seq_col)
-    grams = F.when(F.length(t) >= n, F.transform(F.sequence(F.lit(1), F.length(t) - n + 1),
-                                                 lambda i: F.substring(t, i, n)))
-    return (df.select(*key_cols, F.explode(grams).alias("gram"))
-            .groupBy(*key_cols, "gram").agg(F.count("*").cast("int").alias("cnt")))
+    t = df.select(*key_cols, normalized_text(seq_col).alias("_t"))
+    starts = F.when(F.length("_t") >= n, F.sequence(F.lit(1), F.length("_t") - n + 1))
+    return (t.select(*key_cols, "_t", F.explode(starts).alias("_i"))
+            .groupBy(*key_cols, F.substring("_t", F.col("_i"), n).alias("gram"))
+            .agg(F.count("*").cast("int").alias("cnt")))
 
 
 def modal_sequence(seqs: DataFrame, group_col: str, order_cols: list[str],

@@ -18,22 +18,23 @@ from warband.operators.minhash import band_buckets, band_layout, signature
 from warband.operators.sequences import (UNKNOWN_KEYS, action_shingles, char_ngrams, known_sequences,
                                          modal_sequence, unknown_sequences)
 from warband.operators.similarity import avg_against_representative, avg_pairwise_cosine, medoid
-from warband.session import checkpoint_dir
+from warband.session import checkpoint_dir, materialize
 
 
 def sequence_ids(rows: DataFrame, order_cols: list[str]) -> tuple[DataFrame, DataFrame]:
     """Distinct sequences ``(sid, actions, build_order_seq, weight)`` and rows with their sid.
 
     ``sid`` increases with the first row's ``order_cols`` (a distributed range sort, then
-    per-partition ids), and the table is checkpointed so the ids survive recomputation.
+    per-partition ids), and the table is written to the checkpoint folder so the ids survive
+    recomputation.
     """
     checkpoint_dir(rows.sparkSession)
     d = (rows.groupBy("actions")
          .agg(F.min(F.struct(*order_cols)).alias("_o"), F.count("*").alias("weight"))
          .orderBy("_o")
          .withColumn("sid", F.monotonically_increasing_id())
-         .select("sid", "actions", F.array_join("actions", ",").alias("build_order_seq"), "weight")
-         .checkpoint())
+         .select("sid", "actions", F.array_join("actions", ",").alias("build_order_seq"), "weight"))
+    d = materialize(d, "sequences")
     return d, rows.join(d.select("actions", "sid"), "actions")
 
 
@@ -77,7 +78,7 @@ def candidate_groups(seqs: DataFrame, ngram_n: int = 3, num_perm: int = 128,
     """(g, sid) memberships of the greedy LSH candidate groups (g = leader sid)."""
     sigs = seqs.select("sid", signature(action_shingles("actions", ngram_n), num_perm).alias("sig"))
     bands, rows = band_layout(lsh_threshold, num_perm)
-    buckets = band_buckets(sigs, ["sid"], "sig", bands, rows).checkpoint()
+    buckets = materialize(band_buckets(sigs, ["sid"], "sig", bands, rows), "buckets")
     return leader_groups(buckets, seqs.select("sid", "weight")).select(F.col("leader").alias("g"), "sid")
 
 
@@ -104,7 +105,7 @@ def unknown_clusters(openings: DataFrame, ngram_n: int = 3, num_perm: int = 128,
         "sid", "weight", F.coalesce("grams", F.array().cast("array<string>")).alias("grams"),
         F.coalesce("cnts", F.array().cast("array<int>")).alias("cnts"))
     labels = dbscan(groups, points, dbscan_eps, dbscan_min_samples, block_size)
-    labels = labels.select(F.struct("g", "label").alias("ckey"), "sid").checkpoint()
+    labels = materialize(labels.select(F.struct("g", "label").alias("ckey"), "sid"), "clusters")
 
     members = labels.join(seqs.select("sid", "weight"), "sid")
     per_player = (labels.join(rows_sid.select("sid", "player_id"), "sid")

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -43,3 +44,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(path)
     return path
+
+
+def materialize(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` as a parquet table in the checkpoint folder and read it back.
+
+    Cuts the lineage like ``checkpoint()`` but computes the plan once (a reliable RDD
+    checkpoint recomputes it to write), and later reads are column-pruned scans. The
+    folder is shared storage on a cluster, so a lost executor costs only a re-read.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

@@ -8,8 +8,18 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
+_HANDLES: dict = {}
+
+
 def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Read one table; column pruning and filters reach the parquet scan."""
+    """Read one table; column pruning and filters reach the parquet scan.
+
+    The handle (file listing and footer schema) is kept per session: the inputs are
+    read-only, and a plan built on it still scans the files on every execution.
+    """
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    key = (id(spark), sf_dir.rstrip("/"), name)
+    if key not in _HANDLES:
+        _HANDLES[key] = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return _HANDLES[key]

@@ -43,11 +43,13 @@ def _entry(key: str, value: Column) -> Column:
 
 
 def _last_wins_map(entries: Column) -> Column:
-    """Map from entries where a later entry overrides an earlier one with the same key."""
-    kept = F.filter(entries, lambda x, i: ~F.exists(
-        F.slice(entries, i + 2, F.greatest(F.size(entries) - i - 1, F.lit(0))),
-        lambda y: y["_key"] == x["_key"]))
-    return F.map_from_entries(kept)
+    """Map from entries where a later entry overrides an earlier one with the same key.
+
+    A fold that references ``entries`` once, so the entry array is built once per row.
+    """
+    empty = F.create_map().cast(T.MapType(T.StringType(), T.StringType()))
+    return F.aggregate(entries, empty, lambda acc, x: F.map_concat(
+        F.map_filter(acc, lambda k, v: k != x["_key"]), F.create_map(x["_key"], x["_value"])))
 
 
 def _last_value(arr: Column, key: str | None = None) -> Column:
@@ -84,8 +86,7 @@ def read_xes(spark: SparkSession, path: str) -> DataFrame:
     e = F.col("e")
     own = F.concat(F.filter(_entries(e["string"]), lambda x: x["_key"] != _NAME),
                    _entries(e["float"]), _entries(e["int"]))
-    own_map = _last_wins_map(own)
-    idx = F.coalesce(own_map["@@index"], F.col("_pos").cast("string"))
+    idx = F.coalesce(_last_value(F.filter(own, lambda x: x["_key"] == "@@index")), F.col("_pos").cast("string"))
     all_entries = F.concat(
         _entry("case_id", F.col("_case")), own,
         _entry("activity", _last_value(e["string"], _NAME)),
