@@ -29,9 +29,12 @@ def sequence_ids(rows: DataFrame, order_cols: list[str]) -> tuple[DataFrame, Dat
     recomputation.
     """
     checkpoint_dir(rows.sparkSession)
-    d = (rows.groupBy("actions")
-         .agg(F.min(F.struct(*order_cols)).alias("_o"), F.count("*").alias("weight"))
-         .orderBy("_o")
+    # The range sort samples its input first; materializing the distinct sequences keeps that
+    # pass from recomputing the whole upstream plan.
+    distinct = materialize(rows.groupBy("actions")
+                           .agg(F.min(F.struct(*order_cols)).alias("_o"), F.count("*").alias("weight")),
+                           "distinct-sequences")
+    d = (distinct.orderBy("_o")
          .withColumn("sid", F.monotonically_increasing_id())
          .select("sid", "actions", F.array_join("actions", ",").alias("build_order_seq"), "weight"))
     d = materialize(d, "sequences")

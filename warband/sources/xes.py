@@ -59,13 +59,12 @@ def _last_value(arr: Column, key: str | None = None) -> Column:
     return F.try_element_at(a, F.lit(-1))["_value"]
 
 
-def trace_fragments(spark: SparkSession, path: str) -> DataFrame:
-    """One row per ``<trace>`` element of every ``*.xes`` file directly in ``path``."""
-    glob = path if path.endswith(".xes") else f"{path.rstrip('/')}/*.xes"
-    try:
-        raw = spark.read.option("lineSep", "</trace>").text(glob)
-    except AnalysisException as exc:
-        raise FileNotFoundError(f"No .xes files found in {path}") from exc
+def xes_glob(path: str) -> str:
+    return path if path.endswith(".xes") else f"{path.rstrip('/')}/*.xes"
+
+
+def fragments(raw: DataFrame) -> DataFrame:
+    """Cut text records (ending before ``</trace>``) to their ``<trace …>…</trace>`` part."""
     start = F.instr("value", "<trace")
     prefixed = F.col("value").rlike(r"<[A-Za-z_][A-Za-z0-9_.-]*:trace[\s>]")
     frag = F.when(prefixed, F.raise_error(F.lit("namespace-prefixed XES tags are not supported"))) \
@@ -73,9 +72,23 @@ def trace_fragments(spark: SparkSession, path: str) -> DataFrame:
     return raw.select(frag.alias("xml")).where(F.col("xml").isNotNull())
 
 
+def trace_fragments(spark: SparkSession, path: str) -> DataFrame:
+    """One row per ``<trace>`` element of every ``*.xes`` file directly in ``path``."""
+    try:
+        raw = spark.read.option("lineSep", "</trace>").text(xes_glob(path))
+    except AnalysisException as exc:
+        raise FileNotFoundError(f"No .xes files found in {path}") from exc
+    return fragments(raw)
+
+
 def read_xes(spark: SparkSession, path: str) -> DataFrame:
     """I1 + I2: one bronze row per event, trace attributes merged in."""
-    traces = trace_fragments(spark, path).select(F.from_xml("xml", TRACE_SCHEMA).alias("t"))
+    return events_of_fragments(trace_fragments(spark, path))
+
+
+def events_of_fragments(frags: DataFrame) -> DataFrame:
+    """Parse ``xml`` trace fragments into bronze rows (stateless: batch or stream)."""
+    traces = frags.select(F.from_xml("xml", TRACE_SCHEMA).alias("t"))
     t = F.col("t")
     trace_entries = F.concat(_entries(t["string"]), _entries(t["float"]), _entries(t["int"]))
     case_id = _last_value(t["string"], _NAME)
