@@ -101,7 +101,7 @@ def unknown_clusters(openings: DataFrame, ngram_n: int = 3, num_perm: int = 128,
     rows = unknown_sequences(openings)
     seqs, rows_sid = sequence_ids(rows, UNKNOWN_KEYS)
     groups = candidate_groups(seqs, ngram_n, num_perm, lsh_threshold)
-    vectors = gram_vectors(seqs, char_n)
+    vectors = materialize(gram_vectors(seqs, char_n), "vectors")   # used by DBSCAN and the statistics
     points = (vectors.groupBy("sid").agg(F.array_sort(F.collect_list(F.struct("gram", "cnt"))).alias("_v"))
               .select("sid", F.col("_v.gram").alias("grams"), F.col("_v.cnt").alias("cnts")))
     points = seqs.select("sid", "weight").join(points, "sid", "left").select(
@@ -111,23 +111,22 @@ def unknown_clusters(openings: DataFrame, ngram_n: int = 3, num_perm: int = 128,
     labels = materialize(labels.select(F.struct("g", "label").alias("ckey"), "sid"), "clusters")
 
     members = labels.join(seqs.select("sid", "weight"), "sid")
-    per_player = (labels.join(rows_sid.select("sid", "player_id"), "sid")
-                  .groupBy("ckey", "player_id").agg(F.count("*").alias("_n"))
-                  .groupBy("ckey").agg(F.max("_n").alias("_top")))
-    sizes = members.groupBy("ckey").agg(F.sum("weight").alias("num_matches"))
-    kept = (sizes.join(per_player, "ckey")
-            .where((F.col("num_matches") >= dbscan_min_samples) & (F.col("_top") >= min_matches_per_player))
-            .select("ckey", "num_matches"))
+    # Row-level statistics in two partial aggregations: per (cluster, player), then per cluster.
+    per_player = (labels.join(rows_sid.select("sid", "player_id", "win"), "sid")
+                  .groupBy("ckey", "player_id")
+                  .agg(F.count("*").alias("_n"), F.sum("win").alias("_ws"), F.count("win").alias("_wc")))
+    per_cluster = per_player.groupBy("ckey").agg(
+        F.sum("_n").alias("num_matches"), F.max("_n").alias("_top"), F.count("*").alias("num_players"),
+        F.try_divide(F.sum("_ws").cast("double"), F.sum("_wc")).alias("winrate"))
+    kept = per_cluster.where((F.col("num_matches") >= dbscan_min_samples)
+                             & (F.col("_top") >= min_matches_per_player)).drop("_top")
     members = members.join(kept.select("ckey"), "ckey")
 
-    row_stats = (labels.join(kept.select("ckey"), "ckey").join(rows_sid.select("sid", "player_id", "win"), "sid")
-                 .groupBy("ckey").agg(F.avg("win").alias("winrate"),
-                                      F.count_distinct("player_id").alias("num_players")))
     reps = medoid(members, vectors).join(
         seqs.select(F.col("sid").alias("rep_sid"), F.col("actions").alias("rep_actions"),
                     F.col("build_order_seq").alias("rep_seq")), "rep_sid")
     sims = avg_against_representative(members, seqs.select("sid", "actions", "build_order_seq"), reps)
-    out = (kept.join(row_stats, "ckey").join(avg_pairwise_cosine(members, vectors), "ckey").join(sims, "ckey"))
+    out = kept.join(avg_pairwise_cosine(members, vectors), "ckey").join(sims, "ckey")
     return out.select(F.xxhash64("ckey.g", "ckey.label").alias("cluster_id"), "num_matches", "winrate",
                       "num_players", "avg_ngram", "avg_jaccard", "avg_levenshtein")
 

@@ -28,9 +28,12 @@ def _sorted_join(values, sep: str):
 
 def player_strategy_usage(silver: DataFrame) -> DataFrame:
     """Per player, ``'strategy - n'`` for every non-NULL strategy, n = distinct matches."""
+    # Dedupe on all three keys first (spreads a hot player over many tasks), then count with
+    # partial aggregation; a single count_distinct would shuffle on (player, strategy) only.
     per_strategy = (silver.where(F.col("strategy").isNotNull())
+                    .select("player_id", "match_id", "strategy").distinct()
                     .groupBy("player_id", "strategy")
-                    .agg(F.count_distinct("match_id").alias("matches_with_strategy")))
+                    .agg(F.count("*").alias("matches_with_strategy")))
     return per_strategy.groupBy("player_id").agg(
         _sorted_join(F.collect_list(F.concat(F.col("strategy"), F.lit(" - "),
                                              F.col("matches_with_strategy").cast("string"))),
