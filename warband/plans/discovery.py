@@ -47,15 +47,27 @@ def gram_vectors(seqs: DataFrame, char_n: int = 3) -> DataFrame:
 
 
 def known_members(openings: DataFrame):
-    """Known-strategy rows collapsed: (seqs, rows_sid, members(ckey=strategy, sid, weight), reps)."""
-    rows = known_sequences(openings)
-    seqs, rows_sid = sequence_ids(rows, ["strategy", "match_id", "player_id"])
-    members = rows_sid.groupBy(F.col("strategy").alias("ckey"), "sid").agg(F.count("*").alias("weight"))
-    reps = (modal_sequence(rows_sid, "strategy", ["match_id", "player_id"], "sid")
-            .select(F.col("strategy").alias("ckey"), F.col("rep_seq").alias("rep_sid")))
-    reps = reps.join(seqs.select(F.col("sid").alias("rep_sid"), F.col("actions").alias("rep_actions"),
-                                 F.col("build_order_seq").alias("rep_seq")), "rep_sid")
-    return seqs, rows_sid, members, reps
+    """Known-strategy rows collapsed in one pass.
+
+    Returns ``seqs`` (sid, actions, build_order_seq), ``members`` (ckey = strategy, sid,
+    weight = rows with that exact sequence) and ``reps`` (ckey, rep_sid, rep_actions, rep_seq):
+    the most common sequence per strategy, ties → first by (match, player). No walk order is
+    needed here, so ids come without a sort.
+    """
+    per = materialize(known_sequences(openings).groupBy("strategy", "actions")
+                      .agg(F.count("*").alias("weight"), F.min(F.struct("match_id", "player_id")).alias("_first")),
+                      "known-members")
+    seqs = materialize(per.select("actions").distinct()
+                       .withColumn("sid", F.monotonically_increasing_id())
+                       .select("sid", "actions", F.array_join("actions", ",").alias("build_order_seq")),
+                       "known-sequences")
+    members = per.join(seqs.select("actions", "sid"), "actions").select(
+        F.col("strategy").alias("ckey"), "sid", "weight", "_first")
+    best = members.groupBy("ckey").agg(F.min(F.struct((-F.col("weight")).alias("_nw"), "_first", "sid")).alias("_b"))
+    reps = best.select("ckey", F.col("_b.sid").alias("rep_sid")).join(
+        seqs.select(F.col("sid").alias("rep_sid"), F.col("actions").alias("rep_actions"),
+                    F.col("build_order_seq").alias("rep_seq")), "rep_sid")
+    return seqs, members.drop("_first"), reps
 
 
 def known_variation(openings: DataFrame, char_n: int = 3) -> DataFrame:
@@ -65,7 +77,7 @@ def known_variation(openings: DataFrame, char_n: int = 3) -> DataFrame:
     mean action-set Jaccard / indel similarity against the most common build order
     (ties → first by match, player).
     """
-    seqs, _, members, reps = known_members(openings)
+    seqs, members, reps = known_members(openings)
     vectors = gram_vectors(seqs, char_n)
     sizes = members.groupBy("ckey").agg(F.sum("weight").alias("num_matches"))
     out = (sizes.join(avg_against_representative(members, seqs.select("sid", "actions", "build_order_seq"), reps), "ckey")

@@ -34,8 +34,20 @@ DISCOVERY_TEST = dict(ngram_n=2, char_n=3, dbscan_eps=0.05, dbscan_min_samples=5
 DISCOVERY_RUN = dict(ngram_n=3, min_matches_per_player=3)
 
 
+_PLANS: dict = {}
+
+
 def silver_of(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return events_clean(load_bronze(spark, sf_dir))
+    """The silver plan over a folder's tables.
+
+    The plan object (not its data) is kept per session and folder: building the adapter and
+    typing expressions costs thousands of JVM calls, and a plan re-executes its scans on every
+    action anyway.
+    """
+    key = (id(spark), sf_dir.rstrip("/"), "silver")
+    if key not in _PLANS:
+        _PLANS[key] = events_clean(load_bronze(spark, sf_dir))
+    return _PLANS[key]
 
 
 def _gold(name: str, **kw) -> Callable[[SparkSession, str], DataFrame]:
@@ -133,13 +145,13 @@ def _q_char_ngrams(spark, sf_dir):
 
 
 def _q_pairwise_cohesion(spark, sf_dir):
-    seqs, _, members, _ = discovery.known_members(openings_of(spark, sf_dir))
+    seqs, members, _ = discovery.known_members(openings_of(spark, sf_dir))
     return (avg_pairwise_cosine(members, discovery.gram_vectors(seqs, CHAR_N))
             .select(F.col("ckey").alias("strategy"), F.round("avg_ngram", 6).alias("avg_ngram")))
 
 
 def _q_jaccard_to_modal(spark, sf_dir):
-    seqs, _, members, reps = discovery.known_members(openings_of(spark, sf_dir))
+    seqs, members, reps = discovery.known_members(openings_of(spark, sf_dir))
     return (avg_jaccard(members, seqs.select("sid", "actions"), reps)
             .select(F.col("ckey").alias("strategy"), F.round("avg_jaccard", 6).alias("avg_jaccard")))
 
