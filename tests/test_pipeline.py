@@ -1,0 +1,22 @@
+import os
+
+from tests.conftest import REF_XES
+from tests.test_ingest import _split_edge_log
+from warband import pipeline
+
+
+def test_pipeline_steps(spark, scratch):
+    logs = os.path.join(scratch, "logs")
+    _split_edge_log(logs)
+    bronze, silver = os.path.join(scratch, "bronze"), os.path.join(scratch, "silver")
+    pipeline.extract(spark, logs, bronze)
+    pipeline.transform(spark, bronze, silver, "pipe_events_clean")
+    assert spark.table("pipe_events_clean").count() == spark.read.parquet(bronze).where(
+        "activity IS NOT NULL AND match_id IS NOT NULL AND player_id IS NOT NULL").count()
+    written = pipeline.metrics(spark, "pipe_events_clean", "pipe_gold")
+    assert "openings" in written
+    assert not pipeline.discover(spark, "pipe_gold")          # too few sequences: table untouched
+    assert pipeline.discover(spark, "pipe_gold", ngram_n=1, lsh_threshold=0.05, dbscan_eps=0.9, dbscan_min_samples=2,
+                             min_matches_per_player=1)
+    assert spark.table("pipe_gold.clustered_unknown_strategies").count() >= 1
+    assert pipeline.known(spark, "pipe_gold").count() == 2

@@ -1,0 +1,88 @@
+"""Command-line pipeline: the medallion flow as four steps.
+
+    python -m warband.pipeline extract   --xes data/ --bronze warehouse/bronze
+    python -m warband.pipeline transform --bronze warehouse/bronze --silver warehouse/silver
+    python -m warband.pipeline metrics   --silver warehouse/silver [--database gold]
+    python -m warband.pipeline discover  --database gold [--eps 0.3 --min-samples 50 ...]
+
+Tables live in the session catalog (``spark.sql.warehouse.dir``); ``--master`` is only for
+local runs, on a cluster the submit settings apply.
+"""
+
+from __future__ import annotations
+
+import argparse
+
+from pyspark.sql import SparkSession
+
+from warband.plans.discovery import known_variation, publish_clusters, unknown_clusters
+from warband.plans.gold import run_metrics
+from warband.plans.silver import events_clean, write_silver
+from warband.sources.xes import read_xes, write_bronze
+
+
+def extract(spark: SparkSession, xes: str, bronze: str) -> None:
+    """Every ``*.xes`` file of a folder → bronze parquet (replaced)."""
+    write_bronze(read_xes(spark, xes), bronze)
+
+
+def transform(spark: SparkSession, bronze: str, silver: str, table: str = "events_clean") -> None:
+    """Bronze → clustered silver parquet, registered as a table."""
+    write_silver(events_clean(spark.read.parquet(bronze)), silver)
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    spark.catalog.createTable(table, path=silver, source="parquet")
+
+
+def metrics(spark: SparkSession, silver_table: str = "events_clean", database: str = "gold") -> list[str]:
+    """Every gold table from the silver table."""
+    return run_metrics(spark, silver_table, database)
+
+
+def discover(spark: SparkSession, database: str = "gold", **params) -> bool:
+    """Cluster unnamed openings and publish them when any cluster is found."""
+    clusters = unknown_clusters(spark.table(f"{database}.openings"), **params)
+    return publish_clusters(spark, clusters, f"{database}.clustered_unknown_strategies")
+
+
+def known(spark: SparkSession, database: str = "gold"):
+    """U16: similarity report of the named strategies."""
+    return known_variation(spark.table(f"{database}.openings"))
+
+
+def main(argv=None) -> None:
+    ap = argparse.ArgumentParser(prog="warband.pipeline")
+    ap.add_argument("step", choices=["extract", "transform", "metrics", "discover", "known"])
+    ap.add_argument("--master", default=None)
+    ap.add_argument("--xes", default="data")
+    ap.add_argument("--bronze", default="warehouse/bronze")
+    ap.add_argument("--silver", default="warehouse/silver")
+    ap.add_argument("--silver-table", default="events_clean")
+    ap.add_argument("--database", default="gold")
+    ap.add_argument("--ngram-n", type=int, default=3)
+    ap.add_argument("--num-perm", type=int, default=128)
+    ap.add_argument("--lsh-threshold", type=float, default=0.5)
+    ap.add_argument("--eps", type=float, default=0.3)
+    ap.add_argument("--min-samples", type=int, default=50)
+    ap.add_argument("--min-matches-per-player", type=int, default=3)
+    a = ap.parse_args(argv)
+    builder = SparkSession.builder.appName(f"warband-{a.step}").config("spark.sql.session.timeZone", "UTC")
+    if a.master:
+        builder = builder.master(a.master).config("spark.ui.enabled", "false")
+    spark = builder.getOrCreate()
+    if a.step == "extract":
+        extract(spark, a.xes, a.bronze)
+    elif a.step == "transform":
+        transform(spark, a.bronze, a.silver, a.silver_table)
+    elif a.step == "metrics":
+        print("wrote", ", ".join(metrics(spark, a.silver_table, a.database)))
+    elif a.step == "discover":
+        found = discover(spark, a.database, ngram_n=a.ngram_n, num_perm=a.num_perm, lsh_threshold=a.lsh_threshold,
+                         dbscan_eps=a.eps, dbscan_min_samples=a.min_samples,
+                         min_matches_per_player=a.min_matches_per_player)
+        print("published clusters" if found else "no cluster found; table left as it was")
+    else:
+        known(spark, a.database).show(truncate=False)
+
+
+if __name__ == "__main__":
+    main()
