@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from warband.session import checkpoint_dir, materialize
+from warband.session import checkpoint_dir, materialize, materialize_observed
 
 _PAIR_COLS = ["g", "bi", "bj", "blk", "sid", "weight", "grams", "cnts"]
 
@@ -151,15 +151,14 @@ def components(edges: DataFrame, nodes: DataFrame, max_rounds: int = 200) -> Dat
         nbr = (und.join(labels.select("g", F.col("sid").alias("v"), F.col("label").alias("_l")), ["g", "v"])
                .groupBy("g", "u").agg(F.min("_l").alias("_nl")))
         stepped = (labels.join(nbr.withColumnRenamed("u", "sid"), ["g", "sid"], "left")
-                   .select("g", "sid", F.least("label", F.coalesce("_nl", "label")).alias("label")))
+                   .select("g", "sid", F.col("label").alias("_old"),
+                           F.least("label", F.coalesce("_nl", "label")).alias("label")))
         jumped = (stepped.join(stepped.select("g", F.col("sid").alias("label"), F.col("label").alias("_j")),
                                ["g", "label"], "left")
-                  .select("g", "sid", F.least("label", F.coalesce("_j", "label")).alias("label")))
-        jumped = materialize(jumped, "cc-labels")
-        changed = (jumped.join(labels.withColumnRenamed("label", "_old"), ["g", "sid"])
-                   .where(F.col("label") != F.col("_old")).limit(1).count())
-        labels = jumped
-        if changed == 0:
+                  .select("g", "sid", "_old", F.least("label", F.coalesce("_j", "label")).alias("label")))
+        labels, m = materialize_observed(jumped, "cc-labels", changed=F.count_if(F.col("label") != F.col("_old")))
+        labels = labels.drop("_old")
+        if m["changed"] == 0:
             return labels
     raise RuntimeError(f"components did not settle in {max_rounds} rounds")
 

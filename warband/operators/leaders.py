@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from warband.session import checkpoint_dir, materialize
+from warband.session import checkpoint_dir, materialize_observed
 
 UNDECIDED, LEADER, COVERED = 0, 1, 2
 
@@ -29,9 +29,11 @@ def leader_rounds(buckets: DataFrame, max_rounds: int = 500) -> tuple[DataFrame,
     """
     checkpoint_dir(buckets.sparkSession)
     bk = buckets.select("sid", "band", "bucket")
-    state = materialize(bk.select("sid").distinct().withColumn("state", F.lit(UNDECIDED)), "leaders")
+    undecided_now = F.count_if(F.col("state") == UNDECIDED)
+    state, m = materialize_observed(bk.select("sid").distinct().withColumn("state", F.lit(UNDECIDED)),
+                                    "leaders", undecided=undecided_now)
     rounds = 0
-    while state.where(F.col("state") == UNDECIDED).limit(1).count() > 0:
+    while m["undecided"] > 0:
         rounds += 1
         if rounds > max_rounds:
             raise RuntimeError(f"leader selection did not settle in {max_rounds} rounds")
@@ -49,7 +51,7 @@ def leader_rounds(buckets: DataFrame, max_rounds: int = 500) -> tuple[DataFrame,
                            .when(F.col("_lead"), F.lit(LEADER))
                            .when(F.col("_cov"), F.lit(COVERED))
                            .otherwise(F.lit(UNDECIDED)).alias("state"))
-        state = materialize(state, "leaders")
+        state, m = materialize_observed(state, "leaders", undecided=undecided_now)
     return state, rounds
 
 

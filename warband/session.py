@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -57,3 +57,11 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = f"{checkpoint_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def materialize_observed(df: DataFrame, label: str, **metrics) -> tuple[DataFrame, dict]:
+    """``materialize`` that also returns aggregate ``metrics`` (name → Column) of the rows
+    written, collected by the same job (``DataFrame.observe``) instead of a second pass."""
+    obs = Observation(label)
+    out = materialize(df.observe(obs, *[c.alias(k) for k, c in metrics.items()]), label)
+    return out, obs.get
