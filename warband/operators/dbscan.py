@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from warband.session import checkpoint_dir, materialize, materialize_observed
 
-_PAIR_COLS = ["g", "bi", "bj", "blk", "sid", "weight", "grams", "cnts"]
+_PAIR_COLS = ["gk", "g", "bi", "bj", "blk", "sid", "weight", "grams", "cnts"]
 
 
 def _matrix(pdf: pd.DataFrame, vocab: dict) -> np.ndarray:
@@ -58,6 +58,13 @@ def _adjacency(mx, my, nzx, nzy, eps: float) -> np.ndarray:
     return (sim >= round(1.0 - eps, 9)) & nzx[:, None] & nzy[None, :]
 
 
+def _each_group(fn):
+    """Run a one-group kernel on every group ``g`` packed into one call."""
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pd.concat([fn(sub) for _, sub in pdf.groupby("g", sort=False)], ignore_index=True)
+    return run
+
+
 def _count_kernel(eps: float):
     def fn(pdf: pd.DataFrame) -> pd.DataFrame:
         same, x, y, mx, my, nzx, nzy = _blocks(pdf)
@@ -67,7 +74,7 @@ def _count_kernel(eps: float):
         if not same:
             parts.append(pd.DataFrame({"g": g, "sid": y["sid"], "n": adj.T @ x["weight"].to_numpy()}))
         return pd.concat(parts, ignore_index=True)
-    return fn
+    return _each_group(fn)
 
 
 def _propagate(adj: np.ndarray, lx: np.ndarray, ly: np.ndarray, same: bool):
@@ -104,7 +111,7 @@ def _forest_kernel(eps: float):
         keep = us != ls
         out = pd.DataFrame({"g": g, "u": us[keep], "v": ls[keep]}).drop_duplicates()
         return out
-    return fn
+    return _each_group(fn)
 
 
 def _border_kernel(eps: float):
@@ -126,14 +133,24 @@ def _border_kernel(eps: float):
         if not same:
             side(adj.T, y, x)
         return pd.concat(out, ignore_index=True)
-    return fn
+    return _each_group(fn)
 
 
 def _pairs(members: DataFrame, points: DataFrame, block_size: int) -> DataFrame:
-    """Replicate each member to every block pair of its group that contains its block."""
+    """Replicate each member to every block pair of its group that contains its block.
+
+    Task key ``(gk, bi, bj)``: a group of ``block_size`` points or more keeps its own key and
+    is cut into hash blocks; smaller groups are packed into bins of about ``block_size`` rows
+    (one number — the rows in small groups — reaches the driver to size the bins), so tiny
+    groups do not cost one Python call each.
+    """
     sizes = members.groupBy("g").agg(F.count("*").alias("_n"))
+    small_rows = sizes.where(F.col("_n") < block_size).agg(F.sum("_n")).first()[0] or 0
+    n_bins = max(1, -(-int(small_rows) // block_size))
     nb = F.greatest(F.ceil(F.col("_n") / F.lit(block_size)), F.lit(1)).cast("int")
+    gk = F.when(F.col("_n") >= block_size, F.col("g")).otherwise(-1 - F.pmod(F.xxhash64("g"), F.lit(n_bins)))
     m = (members.join(sizes, "g")
+         .withColumn("gk", gk)
          .withColumn("blk", F.pmod(F.xxhash64("sid"), nb.cast("long")).cast("int"))
          .withColumn("k", F.explode(F.sequence(F.lit(0), nb - 1)))
          .withColumn("bi", F.least("blk", "k")).withColumn("bj", F.greatest("blk", "k"))
@@ -173,15 +190,20 @@ def dbscan(members: DataFrame, points: DataFrame, eps: float, min_samples: int,
     checkpoint_dir(members.sparkSession)
     pts = points.select("sid", "weight", "grams", "cnts")
     pairs = materialize(_pairs(members.select("g", "sid"), pts, block_size).select(*_PAIR_COLS), "dbscan-pairs")
-    keys = ["g", "bi", "bj"]
+    keys = ["gk", "bi", "bj"]
     counts = (pairs.groupBy(*keys).applyInPandas(_count_kernel(eps), "g long, sid long, n double")
               .groupBy("g", "sid").agg(F.sum("n").alias("n")))
-    flags = materialize(counts.select("g", "sid", (F.col("n") >= min_samples).alias("core")), "dbscan-core")
+    flags, m = materialize_observed(counts.select("g", "sid", (F.col("n") >= min_samples).alias("core")),
+                                    "dbscan-core", cores=F.count_if("core"))
+    if m["cores"] == 0:
+        return flags.where(F.lit(False)).select("g", "sid", F.lit(None).cast("long").alias("label"))
     with_core = pairs.join(flags, ["g", "sid"])
-    forest = with_core.groupBy(*keys).applyInPandas(_forest_kernel(eps), "g long, u long, v long")
+    forest = (with_core.where("core").groupBy(*keys)
+              .applyInPandas(_forest_kernel(eps), "g long, u long, v long"))
     cores = flags.where("core").select("g", "sid")
     labels = components(forest, cores)
-    with_label = with_core.join(labels, ["g", "sid"], "left")
+    with_label = (with_core.join(cores.select("g").distinct(), "g", "left_semi")
+                  .join(labels, ["g", "sid"], "left"))
     borders = (with_label.groupBy(*keys).applyInPandas(_border_kernel(eps), "g long, sid long, label long")
                .groupBy("g", "sid").agg(F.min("label").alias("label")))
     return labels.unionByName(borders)
