@@ -5,7 +5,6 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from tests import bruteforce as bf
 from tests.conftest import SF01

@@ -1,6 +1,5 @@
 import os
 
-from tests.conftest import REF_XES
 from tests.test_ingest import _split_edge_log
 from warband import pipeline
 

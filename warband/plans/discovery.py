@@ -16,7 +16,7 @@ from warband.operators.dbscan import dbscan
 from warband.operators.leaders import leader_groups
 from warband.operators.minhash import band_buckets, band_layout, signature
 from warband.operators.sequences import (UNKNOWN_KEYS, action_shingles, char_ngrams, known_sequences,
-                                         modal_sequence, unknown_sequences)
+                                         unknown_sequences)
 from warband.operators.similarity import avg_against_representative, avg_pairwise_cosine, medoid
 from warband.session import checkpoint_dir, materialize
 
@@ -29,8 +29,10 @@ def sequence_ids(rows: DataFrame, order_cols: list[str]) -> tuple[DataFrame, Dat
     recomputation.
     """
     checkpoint_dir(rows.sparkSession)
-    # The range sort samples its input first; materializing the distinct sequences keeps that
-    # pass from recomputing the whole upstream plan.
+    # The rows (one per match-player) are used twice below; writing them once keeps the whole
+    # upstream (event shuffle, opening ranks) from running twice. The distinct table is
+    # written too, because the range sort samples its input before sorting it.
+    rows = materialize(rows, "sequence-rows")
     distinct = materialize(rows.groupBy("actions")
                            .agg(F.min(F.struct(*order_cols)).alias("_o"), F.count("*").alias("weight")),
                            "distinct-sequences")
