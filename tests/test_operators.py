@@ -86,8 +86,8 @@ def test_leader_rounds_on_a_chain(spark):
     # path 0-1-2-3-4-5: sequential greedy picks 0, 2, 4 (each covers the next)
     rows = [(i, 0, [i]) for i in range(6)] + [(i + 1, 0, [i]) for i in range(5)]
     bk = spark.createDataFrame(rows, "sid long, band int, bucket array<int>")
-    state, _ = leader_rounds(bk)
-    leaders = sorted(r.sid for r in state.where("state = 1").collect())
+    found, _ = leader_rounds(bk)
+    leaders = sorted(r.sid for r in found.collect())
     assert leaders == [0, 2, 4]
 
 

@@ -8,8 +8,9 @@ lexicographically-first maximal independent set of the "shares a bucket" graph.
 Distributed form: in each round every undecided sequence that is the smallest undecided
 one in *all* of its buckets becomes a leader, and every undecided sequence sharing a bucket
 with a new leader is covered. Only the bipartite (sequence, bucket) table is used — linear
-per round, never the pairs. The round state is checkpointed so a lost executor recomputes
-one round, not the whole lineage (state tables are written to the checkpoint folder). Only the number of undecided rows reaches the driver.
+per round, never the pairs — and each round carries forward only the rows of sequences still
+undecided. Round tables are written to the checkpoint folder, so a lost executor recomputes
+one round, not the whole lineage. Only the number of open rows reaches the driver.
 """
 
 from __future__ import annotations
@@ -17,42 +18,38 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from warband.session import checkpoint_dir, materialize_observed
-
-UNDECIDED, LEADER, COVERED = 0, 1, 2
+from warband.session import checkpoint_dir, materialize, materialize_observed
 
 
 def leader_rounds(buckets: DataFrame, max_rounds: int = 500) -> tuple[DataFrame, int]:
     """Leaders among ``buckets`` rows ``(sid, band, bucket)``; ``sid`` is the walk order.
 
-    Returns the (sid, state) table and the number of rounds used.
+    Each round reads only the bucket rows of still-undecided sequences and writes the
+    shrinking remainder, so later rounds cost less. Returns the leaders ``(sid)`` and the
+    number of rounds used.
     """
     checkpoint_dir(buckets.sparkSession)
-    bk = buckets.select("sid", "band", "bucket")
-    undecided_now = F.count_if(F.col("state") == UNDECIDED)
-    state, m = materialize_observed(bk.select("sid").distinct().withColumn("state", F.lit(UNDECIDED)),
-                                    "leaders", undecided=undecided_now)
+    und, m = materialize_observed(buckets.select("sid", "band", "bucket"), "leader-open", rows=F.count("*"))
+    found = []
     rounds = 0
-    while m["undecided"] > 0:
+    while m["rows"] > 0:
         rounds += 1
         if rounds > max_rounds:
             raise RuntimeError(f"leader selection did not settle in {max_rounds} rounds")
-        und = state.where(F.col("state") == UNDECIDED).select("sid")
-        b_und = bk.join(und, "sid")
-        bmin = b_und.groupBy("band", "bucket").agg(F.min("sid").alias("_m"))
-        new_leaders = (b_und.join(bmin, ["band", "bucket"])
-                       .groupBy("sid").agg(F.bool_and(F.col("_m") == F.col("sid")).alias("_ok"))
-                       .where("_ok").select("sid"))
-        lead_buckets = bk.join(new_leaders, "sid").select("band", "bucket").distinct()
-        covered = b_und.join(lead_buckets, ["band", "bucket"], "left_semi").select("sid").distinct()
-        upd = (state.join(new_leaders.withColumn("_lead", F.lit(True)), "sid", "left")
-               .join(covered.withColumn("_cov", F.lit(True)), "sid", "left"))
-        state = upd.select("sid", F.when(F.col("state") != UNDECIDED, F.col("state"))
-                           .when(F.col("_lead"), F.lit(LEADER))
-                           .when(F.col("_cov"), F.lit(COVERED))
-                           .otherwise(F.lit(UNDECIDED)).alias("state"))
-        state, m = materialize_observed(state, "leaders", undecided=undecided_now)
-    return state, rounds
+        bmin = und.groupBy("band", "bucket").agg(F.min("sid").alias("_m"))
+        new_leaders = materialize(
+            und.join(bmin, ["band", "bucket"]).groupBy("sid")
+            .agg(F.bool_and(F.col("_m") == F.col("sid")).alias("_ok")).where("_ok").select("sid"),
+            "leaders")
+        found.append(new_leaders)
+        lead_buckets = und.join(new_leaders, "sid", "left_semi").select("band", "bucket").distinct()
+        # every undecided sequence sharing a bucket with a new leader (the leaders included)
+        decided = und.join(lead_buckets, ["band", "bucket"], "left_semi").select("sid").distinct()
+        und, m = materialize_observed(und.join(decided, "sid", "left_anti"), "leader-open", rows=F.count("*"))
+    leaders = found[0] if found else und.select("sid")
+    for part in found[1:]:
+        leaders = leaders.unionByName(part)
+    return leaders, rounds
 
 
 def leader_groups(buckets: DataFrame, weights: DataFrame, max_rounds: int = 500) -> DataFrame:
@@ -63,9 +60,8 @@ def leader_groups(buckets: DataFrame, weights: DataFrame, max_rounds: int = 500)
     leaders share a bucket, so the membership join emits at most one row per bucket row.
     Groups may overlap: a covered sequence can share buckets with several leaders.
     """
-    state, _ = leader_rounds(buckets, max_rounds)
+    leaders, _ = leader_rounds(buckets, max_rounds)
     bk = buckets.select("sid", "band", "bucket")
-    leaders = state.where(F.col("state") == LEADER).select("sid")
     lead_b = bk.join(leaders, "sid").select("band", "bucket", F.col("sid").alias("leader"))
     members = bk.join(lead_b, ["band", "bucket"]).select("leader", "sid").distinct()
     sizes = members.join(weights, "sid").groupBy("leader").agg(F.sum("weight").alias("_w"))
