@@ -5,8 +5,8 @@ any SQL engine. Permutation ``i`` maps ``h`` to ``(a_i·h + b_i) mod (2^31 − 1
 ``a_i, b_i < 2^31`` and ``h < 2^32`` the product stays inside a signed 64-bit integer.
 The constants follow from a rule (MD5 of ``'a<i>'`` / ``'b<i>'``), not from a table.
 
-Work per sequence stays inside one row (array functions, codegen'd). Identical sequences
-get identical signatures, so the callers hash each distinct sequence once.
+Work per sequence stays inside its row (no explode, no shuffle). Identical sequences get
+identical signatures, so the callers hash each distinct sequence once.
 """
 
 from __future__ import annotations
@@ -14,8 +14,11 @@ from __future__ import annotations
 import functools
 import hashlib
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 PRIME = 2_147_483_647  # 2^31 − 1
 EMPTY_SHINGLE = ""     # stands for a sequence with no shingle: all such sequences collide
@@ -33,20 +36,44 @@ def base_hash(c: Column) -> Column:
     return F.conv(F.substring(F.md5(c), 1, 8), 16, 10).cast("bigint")
 
 
+def _min_hash_kernel(num_perm: int):
+    """Arrow batch kernel: rows of base hashes → rows of ``num_perm`` permuted minima.
+
+    The whole batch is one flat array; each permutation is a vectorized multiply-add-mod
+    over it and ``np.minimum.reduceat`` takes the per-row minima, in slices of about 64k
+    hashes so memory stays bounded. No per-row Python loop.
+    """
+    ab = np.array(permutations(num_perm), dtype=np.int64)
+    a, b = ab[:, :1], ab[:, 1:]
+
+    @F.pandas_udf(T.ArrayType(T.LongType()))
+    def kernel(hashes: pd.Series) -> pd.Series:
+        lens = hashes.map(len).to_numpy()
+        flat = np.concatenate(hashes.to_numpy()).astype(np.int64) if len(hashes) else np.zeros(0, np.int64)
+        starts = np.concatenate([[0], np.cumsum(lens)[:-1]])
+        out = np.empty((len(hashes), num_perm), dtype=np.int64)
+        row = 0
+        while row < len(hashes):
+            end = row + 1
+            while end < len(hashes) and starts[end] + lens[end] - starts[row] <= 65536:
+                end += 1
+            lo, hi = starts[row], starts[end - 1] + lens[end - 1]
+            vals = (a * flat[None, lo:hi] + b) % PRIME
+            out[row:end] = np.minimum.reduceat(vals, starts[row:end] - lo, axis=1).T
+            row = end
+        return pd.Series(list(out))
+    return kernel
+
+
 def signature(shingles: Column, num_perm: int = 128) -> Column:
     """U4: array of ``num_perm`` minima over the distinct shingles.
 
-    A fold over the shingle hashes (each hash computed once) keeps the running minima;
-    the permutation constants are a literal array.
+    Base hashes are a Spark expression (MD5, once per shingle); the permuted minima run in
+    the vectorized batch kernel above. An empty shingle set hashes the sentinel shingle.
     """
     sh = F.array_distinct(shingles)
     sh = F.when(F.size(sh) > 0, sh).otherwise(F.array(F.lit(EMPTY_SHINGLE)))
-    perms = F.array(*[F.struct(F.lit(a).cast("bigint").alias("a"), F.lit(b).cast("bigint").alias("b"))
-                      for a, b in permutations(num_perm)])
-    start = F.array_repeat(F.lit(PRIME).cast("bigint"), num_perm)
-    return F.aggregate(
-        F.transform(sh, base_hash), start,
-        lambda acc, h: F.zip_with(acc, perms, lambda m, p: F.least(m, (p["a"] * h + p["b"]) % PRIME)))
+    return _min_hash_kernel(num_perm)(F.transform(sh, base_hash))
 
 
 @functools.lru_cache(maxsize=None)
