@@ -287,6 +287,11 @@ def oracle_queries() -> dict[str, str]:
           " / len(list_distinct(list_concat(k.acts, m.rep_acts)))), 6) AS avg_jaccard "
           "FROM kn k JOIN modal m USING (strategy) GROUP BY k.strategy",
         "modal_sequences": O.with_(*op, O.KNOWN_ROWS) + "SELECT strategy, rep_seq FROM modal",
+        "leader_groups": O.with_(*op, O.UNKNOWN_ROWS, O.shingles_cte(SHINGLE_N), O.signature_cte(SHINGLE_N, NUM_PERM),
+                                 O.leader_groups_sql(bands, rows)).replace("WITH ", "WITH RECURSIVE ", 1)
+        + f"SELECT g.match_id AS group_match_id, g.player_id AS group_player_id, r.match_id, r.player_id, "
+          f"r.civilization, r.map_type, r.win FROM members m JOIN kept USING (leader) "
+          f"JOIN walk g ON g.rk = m.leader JOIN walk r ON r.rk = m.rk",
     }
     out = dict(out_base)
     out.update(disc)
