@@ -90,6 +90,16 @@ def known_variation(openings: DataFrame, char_n: int = 3) -> DataFrame:
                       (F.col("avg_levenshtein") * 100).alias("avg_levenshtein"))
 
 
+def dbscan_points(seqs: DataFrame, vectors: DataFrame) -> DataFrame:
+    """(sid, weight, grams, cnts): each distinct sequence's n-gram counts as parallel arrays
+    (bounded by the text length), the input rows of the DBSCAN block kernels."""
+    points = (vectors.groupBy("sid").agg(F.array_sort(F.collect_list(F.struct("gram", "cnt"))).alias("_v"))
+              .select("sid", F.col("_v.gram").alias("grams"), F.col("_v.cnt").alias("cnts")))
+    return seqs.select("sid", "weight").join(points, "sid", "left").select(
+        "sid", "weight", F.coalesce("grams", F.array().cast("array<string>")).alias("grams"),
+        F.coalesce("cnts", F.array().cast("array<int>")).alias("cnts"))
+
+
 def candidate_groups(seqs: DataFrame, ngram_n: int = 3, num_perm: int = 128,
                      lsh_threshold: float = 0.5) -> DataFrame:
     """(g, sid) memberships of the greedy LSH candidate groups (g = leader sid)."""
@@ -116,12 +126,7 @@ def unknown_clusters(openings: DataFrame, ngram_n: int = 3, num_perm: int = 128,
     seqs, rows_sid = sequence_ids(rows, UNKNOWN_KEYS)
     groups = candidate_groups(seqs, ngram_n, num_perm, lsh_threshold)
     vectors = materialize(gram_vectors(seqs, char_n), "vectors")   # used by DBSCAN and the statistics
-    points = (vectors.groupBy("sid").agg(F.array_sort(F.collect_list(F.struct("gram", "cnt"))).alias("_v"))
-              .select("sid", F.col("_v.gram").alias("grams"), F.col("_v.cnt").alias("cnts")))
-    points = seqs.select("sid", "weight").join(points, "sid", "left").select(
-        "sid", "weight", F.coalesce("grams", F.array().cast("array<string>")).alias("grams"),
-        F.coalesce("cnts", F.array().cast("array<int>")).alias("cnts"))
-    labels = dbscan(groups, points, dbscan_eps, dbscan_min_samples, block_size)
+    labels = dbscan(groups, dbscan_points(seqs, vectors), dbscan_eps, dbscan_min_samples, block_size)
     labels = materialize(labels.select(F.struct("g", "label").alias("ckey"), "sid"), "clusters")
 
     members = labels.join(seqs.select("sid", "weight"), "sid")

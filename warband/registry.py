@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from warband import oracle as O
+from warband.operators.dbscan import dbscan
 from warband.operators.minhash import band_buckets, band_layout, signature
 from warband.operators.sequences import (UNKNOWN_KEYS, action_shingles, char_ngrams, known_sequences,
                                          modal_sequence, unknown_sequences)
@@ -140,6 +141,22 @@ def _q_leader_groups(spark, sf_dir):
             .select("group_match_id", "group_player_id", *UNKNOWN_KEYS))
 
 
+def _q_dbscan_clusters(spark, sf_dir):
+    """DBSCAN cluster membership per row, before the size and repeated-player filter."""
+    p = DISCOVERY_TEST
+    seqs, rows_sid = discovery.sequence_ids(_unknown(spark, sf_dir), UNKNOWN_KEYS)
+    groups = discovery.candidate_groups(seqs, p["ngram_n"], NUM_PERM, LSH_THRESHOLD)
+    points = discovery.dbscan_points(seqs, discovery.gram_vectors(seqs, p["char_n"]))
+    labels = dbscan(groups, points, p["dbscan_eps"], p["dbscan_min_samples"])
+    first = rows_sid.groupBy("sid").agg(F.min(F.struct("match_id", "player_id")).alias("_o"))
+    lead = first.select(F.col("sid").alias("g"), F.col("_o.match_id").alias("group_match_id"),
+                        F.col("_o.player_id").alias("group_player_id"))
+    lab = first.select(F.col("sid").alias("label"), F.col("_o.match_id").alias("cluster_match_id"),
+                       F.col("_o.player_id").alias("cluster_player_id"))
+    return (labels.join(lead, "g").join(lab, "label").join(rows_sid.select("sid", *UNKNOWN_KEYS), "sid")
+            .select("group_match_id", "group_player_id", "cluster_match_id", "cluster_player_id", *UNKNOWN_KEYS))
+
+
 def _q_char_ngrams(spark, sf_dir):
     return char_ngrams(_unknown(spark, sf_dir), UNKNOWN_KEYS, "build_order_seq", CHAR_N)
 
@@ -204,6 +221,7 @@ def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "minhash_signatures": _q_minhash_signatures,
         "lsh_buckets": _q_lsh_buckets,
         "leader_groups": _q_leader_groups,
+        "dbscan_clusters": _q_dbscan_clusters,
         "char_ngrams": _q_char_ngrams,
         "pairwise_cohesion": _q_pairwise_cohesion,
         "jaccard_to_modal": _q_jaccard_to_modal,
@@ -287,6 +305,13 @@ def oracle_queries() -> dict[str, str]:
           " / len(list_distinct(list_concat(k.acts, m.rep_acts)))), 6) AS avg_jaccard "
           "FROM kn k JOIN modal m USING (strategy) GROUP BY k.strategy",
         "modal_sequences": O.with_(*op, O.KNOWN_ROWS) + "SELECT strategy, rep_seq FROM modal",
+        "dbscan_clusters": O.with_(*op, O.UNKNOWN_ROWS, O.shingles_cte(DISCOVERY_TEST["ngram_n"]),
+                                   O.signature_cte(DISCOVERY_TEST["ngram_n"], NUM_PERM), O.leader_groups_sql(bands, rows),
+                                   O.dbscan_sql(DISCOVERY_TEST["dbscan_eps"], DISCOVERY_TEST["dbscan_min_samples"],
+                                                DISCOVERY_TEST["char_n"])).replace("WITH ", "WITH RECURSIVE ", 1)
+        + "SELECT g.match_id AS group_match_id, g.player_id AS group_player_id, l.match_id AS cluster_match_id, "
+          "l.player_id AS cluster_player_id, r.match_id, r.player_id, r.civilization, r.map_type, r.win "
+          "FROM clustered c JOIN walk g ON g.rk = c.leader JOIN walk l ON l.rk = c.label JOIN walk r ON r.rk = c.rk",
         "leader_groups": O.with_(*op, O.UNKNOWN_ROWS, O.shingles_cte(SHINGLE_N), O.signature_cte(SHINGLE_N, NUM_PERM),
                                  O.leader_groups_sql(bands, rows)).replace("WITH ", "WITH RECURSIVE ", 1)
         + f"SELECT g.match_id AS group_match_id, g.player_id AS group_player_id, r.match_id, r.player_id, "
