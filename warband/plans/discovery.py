@@ -17,7 +17,7 @@ from warband.operators.leaders import leader_groups
 from warband.operators.minhash import band_buckets, band_layout, signature
 from warband.operators.sequences import (UNKNOWN_KEYS, action_shingles, char_ngrams, known_sequences,
                                          unknown_sequences)
-from warband.operators.similarity import avg_against_representative, avg_pairwise_cosine, medoid
+from warband.operators.similarity import avg_against_representative, avg_jaccard, avg_pairwise_cosine, medoid
 from warband.session import checkpoint_dir, materialize
 
 
@@ -109,6 +109,38 @@ def candidate_groups(seqs: DataFrame, ngram_n: int = 3, num_perm: int = 128,
     return leader_groups(buckets, seqs.select("sid", "weight")).select(F.col("leader").alias("g"), "sid")
 
 
+def cluster_statistics(labels: DataFrame, seqs: DataFrame, rows_sid: DataFrame, vectors: DataFrame,
+                       min_samples: int, min_matches_per_player: int, with_indel: bool = True) -> DataFrame:
+    """U10–U14 per DBSCAN cluster ``ckey = (g, label)``.
+
+    Keeps clusters with at least ``min_samples`` rows and one player using them at least
+    ``min_matches_per_player`` times; returns num_matches, winrate (NULL wins skipped),
+    num_players, the medoid ``rep_sid``, avg_ngram, avg_jaccard and (``with_indel``)
+    avg_levenshtein, all 0–1.
+    """
+    labels = labels.select(F.struct("g", "label").alias("ckey"), "sid")
+    members = labels.join(seqs.select("sid", "weight"), "sid")
+    # Row-level statistics in two partial aggregations: per (cluster, player), then per cluster.
+    per_player = (labels.join(rows_sid.select("sid", "player_id", "win"), "sid")
+                  .groupBy("ckey", "player_id")
+                  .agg(F.count("*").alias("_n"), F.sum("win").alias("_ws"), F.count("win").alias("_wc")))
+    per_cluster = per_player.groupBy("ckey").agg(
+        F.sum("_n").alias("num_matches"), F.max("_n").alias("_top"), F.count("*").alias("num_players"),
+        F.try_divide(F.sum("_ws").cast("double"), F.sum("_wc")).alias("winrate"))
+    kept = per_cluster.where((F.col("num_matches") >= min_samples)
+                             & (F.col("_top") >= min_matches_per_player)).drop("_top")
+    members = members.join(kept.select("ckey"), "ckey")
+
+    reps = medoid(members, vectors).join(
+        seqs.select(F.col("sid").alias("rep_sid"), F.col("actions").alias("rep_actions"),
+                    F.col("build_order_seq").alias("rep_seq")), "rep_sid")
+    seq_cols = seqs.select("sid", "actions", "build_order_seq")
+    sims = (avg_against_representative(members, seq_cols, reps) if with_indel
+            else avg_jaccard(members, seq_cols, reps))
+    return (kept.join(reps.select("ckey", "rep_sid"), "ckey")
+            .join(avg_pairwise_cosine(members, vectors), "ckey").join(sims, "ckey"))
+
+
 def unknown_clusters(openings: DataFrame, ngram_n: int = 3, num_perm: int = 128,
                      lsh_threshold: float = 0.5, dbscan_eps: float = 0.3, dbscan_min_samples: int = 50,
                      min_matches_per_player: int = 2, char_n: int | None = None,
@@ -127,25 +159,8 @@ def unknown_clusters(openings: DataFrame, ngram_n: int = 3, num_perm: int = 128,
     groups = candidate_groups(seqs, ngram_n, num_perm, lsh_threshold)
     vectors = materialize(gram_vectors(seqs, char_n), "vectors")   # used by DBSCAN and the statistics
     labels = dbscan(groups, dbscan_points(seqs, vectors), dbscan_eps, dbscan_min_samples, block_size)
-    labels = materialize(labels.select(F.struct("g", "label").alias("ckey"), "sid"), "clusters")
-
-    members = labels.join(seqs.select("sid", "weight"), "sid")
-    # Row-level statistics in two partial aggregations: per (cluster, player), then per cluster.
-    per_player = (labels.join(rows_sid.select("sid", "player_id", "win"), "sid")
-                  .groupBy("ckey", "player_id")
-                  .agg(F.count("*").alias("_n"), F.sum("win").alias("_ws"), F.count("win").alias("_wc")))
-    per_cluster = per_player.groupBy("ckey").agg(
-        F.sum("_n").alias("num_matches"), F.max("_n").alias("_top"), F.count("*").alias("num_players"),
-        F.try_divide(F.sum("_ws").cast("double"), F.sum("_wc")).alias("winrate"))
-    kept = per_cluster.where((F.col("num_matches") >= dbscan_min_samples)
-                             & (F.col("_top") >= min_matches_per_player)).drop("_top")
-    members = members.join(kept.select("ckey"), "ckey")
-
-    reps = medoid(members, vectors).join(
-        seqs.select(F.col("sid").alias("rep_sid"), F.col("actions").alias("rep_actions"),
-                    F.col("build_order_seq").alias("rep_seq")), "rep_sid")
-    sims = avg_against_representative(members, seqs.select("sid", "actions", "build_order_seq"), reps)
-    out = kept.join(avg_pairwise_cosine(members, vectors), "ckey").join(sims, "ckey")
+    labels = materialize(labels, "clusters")
+    out = cluster_statistics(labels, seqs, rows_sid, vectors, dbscan_min_samples, min_matches_per_player)
     return out.select(F.xxhash64("ckey.g", "ckey.label").alias("cluster_id"), "num_matches", "winrate",
                       "num_players", "avg_ngram", "avg_jaccard", "avg_levenshtein")
 

@@ -20,6 +20,7 @@ from warband.operators.sequences import (UNKNOWN_KEYS, action_shingles, char_ngr
                                          modal_sequence, unknown_sequences)
 from warband.operators.similarity import avg_jaccard, avg_pairwise_cosine
 from warband.plans import analyst, discovery, gold
+from warband.session import materialize
 from warband.plans.silver import events_clean
 from warband.sources.adapter import load_bronze
 
@@ -141,22 +142,46 @@ def _q_leader_groups(spark, sf_dir):
             .select("group_match_id", "group_player_id", *UNKNOWN_KEYS))
 
 
-def _q_dbscan_clusters(spark, sf_dir):
-    """DBSCAN cluster membership per row, before the size and repeated-player filter."""
+def _test_clusters(spark, sf_dir):
+    """Collapsed sequences, their rows, n-gram vectors and DBSCAN labels (test parameters)."""
     p = DISCOVERY_TEST
     seqs, rows_sid = discovery.sequence_ids(_unknown(spark, sf_dir), UNKNOWN_KEYS)
     groups = discovery.candidate_groups(seqs, p["ngram_n"], NUM_PERM, LSH_THRESHOLD)
-    points = discovery.dbscan_points(seqs, discovery.gram_vectors(seqs, p["char_n"]))
-    labels = dbscan(groups, points, p["dbscan_eps"], p["dbscan_min_samples"])
+    vectors = materialize(discovery.gram_vectors(seqs, p["char_n"]), "vectors")
+    labels = materialize(dbscan(groups, discovery.dbscan_points(seqs, vectors), p["dbscan_eps"],
+                                p["dbscan_min_samples"]), "clusters")
     first = rows_sid.groupBy("sid").agg(F.min(F.struct("match_id", "player_id")).alias("_o"))
-    lead = first.select(F.col("sid").alias("g"), F.col("_o.match_id").alias("group_match_id"),
-                        F.col("_o.player_id").alias("group_player_id"))
-    lab = first.select(F.col("sid").alias("label"), F.col("_o.match_id").alias("cluster_match_id"),
-                       F.col("_o.player_id").alias("cluster_player_id"))
-    return (labels.join(lead, "g").join(lab, "label").join(rows_sid.select("sid", *UNKNOWN_KEYS), "sid")
+    return seqs, rows_sid, vectors, labels, first
+
+
+def _first_keys(first, col: str, prefix: str):
+    return first.select(F.col("sid").alias(col), F.col("_o.match_id").alias(f"{prefix}_match_id"),
+                        F.col("_o.player_id").alias(f"{prefix}_player_id"))
+
+
+def _q_dbscan_clusters(spark, sf_dir):
+    """DBSCAN cluster membership per row, before the size and repeated-player filter."""
+    _, rows_sid, _, labels, first = _test_clusters(spark, sf_dir)
+    return (labels.join(_first_keys(first, "g", "group"), "g").join(_first_keys(first, "label", "cluster"), "label")
+            .join(rows_sid.select("sid", *UNKNOWN_KEYS), "sid")
             .select("group_match_id", "group_player_id", "cluster_match_id", "cluster_player_id", *UNKNOWN_KEYS))
 
 
+def _q_cluster_stats(spark, sf_dir):
+    """U10–U13 per kept cluster: size, win rate, players, medoid, pairwise cosine, Jaccard."""
+    p = DISCOVERY_TEST
+    seqs, rows_sid, vectors, labels, first = _test_clusters(spark, sf_dir)
+    st = discovery.cluster_statistics(labels, seqs, rows_sid, vectors, p["dbscan_min_samples"],
+                                      p["min_matches_per_player"], with_indel=False)
+    st = st.select(F.col("ckey.g").alias("g"), F.col("ckey.label").alias("label"), "rep_sid", "num_matches",
+                   "winrate", "num_players", F.round("avg_ngram", 6).alias("avg_ngram"),
+                   F.round("avg_jaccard", 6).alias("avg_jaccard"))
+    return (st.join(_first_keys(first, "g", "group"), "g").join(_first_keys(first, "label", "cluster"), "label")
+            .join(_first_keys(first, "rep_sid", "rep"), "rep_sid")
+            .select("group_match_id", "group_player_id", "cluster_match_id", "cluster_player_id", "rep_match_id",
+                    "rep_player_id", "num_matches", "winrate", "num_players", "avg_ngram", "avg_jaccard"))
+
+
 def _q_char_ngrams(spark, sf_dir):
     return char_ngrams(_unknown(spark, sf_dir), UNKNOWN_KEYS, "build_order_seq", CHAR_N)
 
@@ -222,6 +247,7 @@ def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "lsh_buckets": _q_lsh_buckets,
         "leader_groups": _q_leader_groups,
         "dbscan_clusters": _q_dbscan_clusters,
+        "cluster_stats": _q_cluster_stats,
         "char_ngrams": _q_char_ngrams,
         "pairwise_cohesion": _q_pairwise_cohesion,
         "jaccard_to_modal": _q_jaccard_to_modal,
@@ -312,6 +338,17 @@ def oracle_queries() -> dict[str, str]:
         + "SELECT g.match_id AS group_match_id, g.player_id AS group_player_id, l.match_id AS cluster_match_id, "
           "l.player_id AS cluster_player_id, r.match_id, r.player_id, r.civilization, r.map_type, r.win "
           "FROM clustered c JOIN walk g ON g.rk = c.leader JOIN walk l ON l.rk = c.label JOIN walk r ON r.rk = c.rk",
+        "cluster_stats": O.with_(*op, O.UNKNOWN_ROWS, O.shingles_cte(DISCOVERY_TEST["ngram_n"]),
+                                 O.signature_cte(DISCOVERY_TEST["ngram_n"], NUM_PERM), O.leader_groups_sql(bands, rows),
+                                 O.dbscan_sql(DISCOVERY_TEST["dbscan_eps"], DISCOVERY_TEST["dbscan_min_samples"],
+                                              DISCOVERY_TEST["char_n"]),
+                                 O.cluster_stats_sql(DISCOVERY_TEST["dbscan_min_samples"],
+                                                     DISCOVERY_TEST["min_matches_per_player"])
+                                 ).replace("WITH ", "WITH RECURSIVE ", 1)
+        + "SELECT g.match_id AS group_match_id, g.player_id AS group_player_id, l.match_id AS cluster_match_id, "
+          "l.player_id AS cluster_player_id, r.match_id AS rep_match_id, r.player_id AS rep_player_id, "
+          "c.num_matches, c.winrate, c.num_players, c.avg_ngram, c.avg_jaccard "
+          "FROM cstats c JOIN walk g ON g.rk = c.leader JOIN walk l ON l.rk = c.label JOIN walk r ON r.rk = c.rep",
         "leader_groups": O.with_(*op, O.UNKNOWN_ROWS, O.shingles_cte(SHINGLE_N), O.signature_cte(SHINGLE_N, NUM_PERM),
                                  O.leader_groups_sql(bands, rows)).replace("WITH ", "WITH RECURSIVE ", 1)
         + f"SELECT g.match_id AS group_match_id, g.player_id AS group_player_id, r.match_id, r.player_id, "
