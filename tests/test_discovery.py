@@ -74,3 +74,17 @@ def test_sequence_ids_follow_walk_order(spark):
     orders = [tuple(r.o) for r in first]
     assert orders == sorted(orders, key=lambda t: tuple((x is not None, x) for x in t))
     assert seqs.agg(F.sum("weight")).first()[0] == rows.count()
+
+
+def test_clusters_unchanged_by_partitioning(spark):
+    op = gold.openings(silver_of(spark, SF01))
+    a = sorted(tuple(r) for r in unknown_clusters(op, **TEST_PARAMS).collect())
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "13")
+    try:
+        shuffled = op.repartition(5, F.rand(11))
+        b = sorted(tuple(r) for r in unknown_clusters(shuffled, block_size=4, **TEST_PARAMS).collect())
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    key = lambda t: (t[0], t[1], t[2], t[3], round(t[4], 9), round(t[5], 9), round(t[6], 9))
+    assert [key(t) for t in a] == [key(t) for t in b]

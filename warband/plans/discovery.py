@@ -22,7 +22,7 @@ from warband.session import checkpoint_dir, materialize
 
 
 def sequence_ids(rows: DataFrame, order_cols: list[str]) -> tuple[DataFrame, DataFrame]:
-    """Distinct sequences ``(sid, actions, build_order_seq, weight)`` and rows with their sid.
+    """Distinct sequences ``(sid, actions, build_order_seq, weight, first_row)`` and rows with their sid.
 
     ``sid`` increases with the first row's ``order_cols`` (a distributed range sort, then
     per-partition ids), and the table is written to the checkpoint folder so the ids survive
@@ -38,7 +38,8 @@ def sequence_ids(rows: DataFrame, order_cols: list[str]) -> tuple[DataFrame, Dat
                            "distinct-sequences")
     d = (distinct.orderBy("_o")
          .withColumn("sid", F.monotonically_increasing_id())
-         .select("sid", "actions", F.array_join("actions", ",").alias("build_order_seq"), "weight"))
+         .select("sid", "actions", F.array_join("actions", ",").alias("build_order_seq"), "weight",
+                 F.col("_o").alias("first_row")))
     d = materialize(d, "sequences")
     return d, rows.join(d.select("actions", "sid"), "actions")
 
@@ -161,7 +162,12 @@ def unknown_clusters(openings: DataFrame, ngram_n: int = 3, num_perm: int = 128,
     labels = dbscan(groups, dbscan_points(seqs, vectors), dbscan_eps, dbscan_min_samples, block_size)
     labels = materialize(labels, "clusters")
     out = cluster_statistics(labels, seqs, rows_sid, vectors, dbscan_min_samples, min_matches_per_player)
-    return out.select(F.xxhash64("ckey.g", "ckey.label").alias("cluster_id"), "num_matches", "winrate",
+    # The id hashes the natural keys of the group leader's and the first core's first rows, so it
+    # does not depend on how the internal sequence ids were assigned.
+    first = seqs.select("sid", "first_row")
+    out = (out.join(first.select(F.col("sid").alias("_g"), F.col("first_row").alias("_gk")), F.col("ckey.g") == F.col("_g"))
+           .join(first.select(F.col("sid").alias("_l"), F.col("first_row").alias("_lk")), F.col("ckey.label") == F.col("_l")))
+    return out.select(F.xxhash64("_gk", "_lk").alias("cluster_id"), "num_matches", "winrate",
                       "num_players", "avg_ngram", "avg_jaccard", "avg_levenshtein")
 
 
