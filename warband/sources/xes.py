@@ -87,34 +87,38 @@ def read_xes(spark: SparkSession, path: str) -> DataFrame:
 
 
 def events_of_fragments(frags: DataFrame) -> DataFrame:
-    """Parse ``xml`` trace fragments into bronze rows (stateless: batch or stream)."""
+    """Parse ``xml`` trace fragments into bronze rows (stateless: batch or stream).
+
+    The trace-attribute map is built once per trace; each event folds only its own entries.
+    A column takes the trace's value when the trace has that key, else the event's.
+    """
     traces = frags.select(F.from_xml("xml", TRACE_SCHEMA).alias("t"))
     t = F.col("t")
     trace_entries = F.concat(_entries(t["string"]), _entries(t["float"]), _entries(t["int"]))
-    case_id = _last_value(t["string"], _NAME)
-    events = traces.select(
-        trace_entries.alias("_tr"), case_id.alias("_case"),
-        F.posexplode(F.coalesce(t["event"], F.array().cast(T.ArrayType(_EVENT)))).alias("_pos", "e"))
+    events = (traces.select(_last_wins_map(trace_entries).alias("_tm"), _last_value(t["string"], _NAME).alias("_case"),
+                            F.coalesce(t["event"], F.array().cast(T.ArrayType(_EVENT))).alias("_evs"))
+              .select("_tm", "_case", F.posexplode("_evs").alias("_pos", "e")))
 
     e = F.col("e")
     own = F.concat(F.filter(_entries(e["string"]), lambda x: x["_key"] != _NAME),
                    _entries(e["float"]), _entries(e["int"]))
     idx = F.coalesce(_last_value(F.filter(own, lambda x: x["_key"] == "@@index")), F.col("_pos").cast("string"))
-    all_entries = F.concat(
+    event_entries = F.concat(
         _entry("case_id", F.col("_case")), own,
         _entry("activity", _last_value(e["string"], _NAME)),
         _entry("ts", _last_value(e["date"])),
-        _entry("event_id", F.concat(F.coalesce(F.col("_case"), F.lit("None")), F.lit("-"), idx)),
-        F.col("_tr"))
-    merged = events.select(_last_wins_map(all_entries).alias("m"))
-    m = F.col("m")
-    cols = []
-    for c in BRONZE_COLUMNS:
-        if c == "ts":
-            cols.append(F.try_to_timestamp(m["ts"]).alias("ts"))
-        else:
-            cols.append(m[c].alias(c))
-    extra = F.map_filter(m, lambda k, v: ~k.isin(*BRONZE_COLUMNS, _NAME))
+        _entry("event_id", F.concat(F.coalesce(F.col("_case"), F.lit("None")), F.lit("-"), idx)))
+    merged = events.select("_tm", _last_wins_map(event_entries).alias("_em"))
+    tm, em = F.col("_tm"), F.col("_em")
+
+    def value(key: str):
+        return F.when(F.map_contains_key(tm, F.lit(key)), tm[key]).otherwise(em[key])
+
+    cols = [F.try_to_timestamp(value("ts")).alias("ts") if c == "ts" else value(c).alias(c) for c in BRONZE_COLUMNS]
+    hidden = [*BRONZE_COLUMNS, _NAME]
+    extra = F.map_concat(
+        F.map_filter(em, lambda k, v: ~k.isin(*hidden) & ~F.array_contains(F.map_keys(tm), k)),
+        F.map_filter(tm, lambda k, v: ~k.isin(*hidden)))
     return merged.select(*cols, extra.alias("attrs"))
 
 
