@@ -81,7 +81,7 @@ def known_variation(openings: DataFrame, char_n: int = 3) -> DataFrame:
     (ties → first by match, player).
     """
     seqs, members, reps = known_members(openings)
-    vectors = gram_vectors(seqs, char_n)
+    vectors = materialize(gram_vectors(seqs, char_n), "known-vectors")   # read by several joins
     sizes = members.groupBy("ckey").agg(F.sum("weight").alias("num_matches"))
     out = (sizes.join(avg_against_representative(members, seqs.select("sid", "actions", "build_order_seq"), reps), "ckey")
            .join(avg_pairwise_cosine(members, vectors), "ckey"))

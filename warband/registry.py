@@ -188,7 +188,7 @@ def _q_char_ngrams(spark, sf_dir):
 
 def _q_pairwise_cohesion(spark, sf_dir):
     seqs, members, _ = discovery.known_members(openings_of(spark, sf_dir))
-    return (avg_pairwise_cosine(members, discovery.gram_vectors(seqs, CHAR_N))
+    return (avg_pairwise_cosine(members, materialize(discovery.gram_vectors(seqs, CHAR_N), "known-vectors"))
             .select(F.col("ckey").alias("strategy"), F.round("avg_ngram", 6).alias("avg_ngram")))
 
 
