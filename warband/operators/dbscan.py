@@ -158,13 +158,21 @@ def _pairs(members: DataFrame, points: DataFrame, block_size: int) -> DataFrame:
     return m.join(points, "sid")
 
 
-def components(edges: DataFrame, nodes: DataFrame, max_rounds: int = 200) -> DataFrame:
-    """(g, sid, label): smallest node id of each connected component, per group."""
+def components(edges: DataFrame, nodes: DataFrame, max_rounds: int | None = None) -> DataFrame:
+    """(g, sid, label): smallest node id of each connected component, per group.
+
+    Labels only decrease, so the propagation ends; pointer jumping shortens chains each round.
+    ``max_rounds`` is an optional guard, none by default.
+    """
     checkpoint_dir(nodes.sparkSession)
     und = edges.select("g", "u", "v").unionByName(edges.select("g", F.col("v").alias("u"), F.col("u").alias("v")))
     und = materialize(und, "cc-edges")
     labels = materialize(nodes.select("g", "sid", F.col("sid").alias("label")), "cc-labels")
-    for _ in range(max_rounds):
+    rounds = 0
+    while True:
+        rounds += 1
+        if max_rounds is not None and rounds > max_rounds:
+            raise RuntimeError(f"components did not settle in {max_rounds} rounds")
         nbr = (und.join(labels.select("g", F.col("sid").alias("v"), F.col("label").alias("_l")), ["g", "v"])
                .groupBy("g", "u").agg(F.min("_l").alias("_nl")))
         stepped = (labels.join(nbr.withColumnRenamed("u", "sid"), ["g", "sid"], "left")
@@ -177,7 +185,6 @@ def components(edges: DataFrame, nodes: DataFrame, max_rounds: int = 200) -> Dat
         labels = labels.drop("_old")
         if m["changed"] == 0:
             return labels
-    raise RuntimeError(f"components did not settle in {max_rounds} rounds")
 
 
 def dbscan(members: DataFrame, points: DataFrame, eps: float, min_samples: int,

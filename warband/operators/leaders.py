@@ -21,12 +21,17 @@ from pyspark.sql import functions as F
 from warband.session import checkpoint_dir, materialize, materialize_observed
 
 
-def leader_rounds(buckets: DataFrame, max_rounds: int = 500) -> tuple[DataFrame, int]:
+def leader_rounds(buckets: DataFrame, max_rounds: int | None = None) -> tuple[DataFrame, int]:
     """Leaders among ``buckets`` rows ``(sid, band, bucket)``; ``sid`` is the walk order.
 
     Each round reads only the bucket rows of still-undecided sequences and writes the
     shrinking remainder, so later rounds cost less. Returns the leaders ``(sid)`` and the
     number of rounds used.
+
+    Every round decides at least the smallest undecided sequence, so the loop ends; for a walk
+    order unrelated to similarity the expected number of rounds is polylogarithmic (the
+    greedy-MIS analysis of Blelloch, Fineman and Shun, SPAA 2012). ``max_rounds`` is an
+    optional guard for callers who prefer an error to a long run; by default there is none.
     """
     checkpoint_dir(buckets.sparkSession)
     und, m = materialize_observed(buckets.select("sid", "band", "bucket"), "leader-open", rows=F.count("*"))
@@ -34,7 +39,7 @@ def leader_rounds(buckets: DataFrame, max_rounds: int = 500) -> tuple[DataFrame,
     rounds = 0
     while m["rows"] > 0:
         rounds += 1
-        if rounds > max_rounds:
+        if max_rounds is not None and rounds > max_rounds:
             raise RuntimeError(f"leader selection did not settle in {max_rounds} rounds")
         bmin = und.groupBy("band", "bucket").agg(F.min("sid").alias("_m"))
         new_leaders = materialize(
@@ -52,7 +57,7 @@ def leader_rounds(buckets: DataFrame, max_rounds: int = 500) -> tuple[DataFrame,
     return leaders, rounds
 
 
-def leader_groups(buckets: DataFrame, weights: DataFrame, max_rounds: int = 500) -> DataFrame:
+def leader_groups(buckets: DataFrame, weights: DataFrame, max_rounds: int | None = None) -> DataFrame:
     """(leader, sid) rows — each leader with every sequence sharing a bucket with it.
 
     ``weights`` is (sid, weight): the number of identical copies a distinct sequence stands
