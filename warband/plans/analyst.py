@@ -75,7 +75,8 @@ def opening_sequences(openings: DataFrame, n: int = 50, lo: float = 2500, hi: fl
             .agg(F.array_join(F.transform(seq, lambda x: x["activity"]), " → ").alias("activity"))
             .select("elo", short_id("player_id", 8).alias("player_id"),
                     short_id("match_id", 10).alias("match_id"), (F.col("win") == 1).alias("win"),
-                    "civilization", "civilization_category", "map_type", "strategy", "activity"))
+                    "civilization", "civilization_category", "map_type", "strategy", "activity")
+            .orderBy(F.desc("elo")))   # display order: highest elo first (range-partitioned sort)
 
 
 def action_step_counts(openings: DataFrame, n: int = 50, lo: float = 2500, hi: float = 3100,
