@@ -18,6 +18,7 @@ from pyspark.sql import SparkSession
 from warband.plans.discovery import known_variation, publish_clusters, unknown_clusters
 from warband.plans.gold import run_metrics
 from warband.plans.silver import events_clean, write_silver
+from warband.session import ship_package
 from warband.sources.xes import read_xes, write_bronze
 
 
@@ -69,6 +70,7 @@ def main(argv=None) -> None:
     if a.master:
         builder = builder.master(a.master).config("spark.ui.enabled", "false")
     spark = builder.getOrCreate()
+    ship_package(spark)
     if a.step == "extract":
         extract(spark, a.xes, a.bronze)
     elif a.step == "transform":

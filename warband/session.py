@@ -65,3 +65,31 @@ def materialize_observed(df: DataFrame, label: str, **metrics) -> tuple[DataFram
     obs = Observation(label)
     out = materialize(df.observe(obs, *[c.alias(k) for k, c in metrics.items()]), label)
     return out, obs.get
+
+
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``warband`` importable in the Python workers of this SparkContext.
+
+    The Arrow kernels (MinHash, DBSCAN blocks, indel similarity) are imported by the workers.
+    When the package is not installed on the executors, a zip of it is added once per context
+    with ``addPyFile``, which Spark copies to every executor.
+    """
+    sc = spark.sparkContext
+    key = (id(sc), sc.applicationId)
+    if key in _SHIPPED:
+        return
+    import os
+    import zipfile
+    root = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(tempfile.mkdtemp(prefix="warband-pkg-"), "warband.zip")
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, files in os.walk(root):
+            for name in files:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.relpath(full, os.path.dirname(root)))
+    sc.addPyFile(target)
+    _SHIPPED.add(key)
