@@ -1,9 +1,9 @@
-"""Command-line pipeline: the medallion flow as four steps.
+"""Command line: the medallion flow as four steps.
 
-    python -m warband.pipeline extract   --xes data/ --bronze warehouse/bronze
-    python -m warband.pipeline transform --bronze warehouse/bronze --silver warehouse/silver
-    python -m warband.pipeline metrics   --silver warehouse/silver [--database gold]
-    python -m warband.pipeline discover  --database gold [--eps 0.3 --min-samples 50 ...]
+    python -m warband.cli extract   --xes data/ --bronze warehouse/bronze
+    python -m warband.cli transform --bronze warehouse/bronze --silver warehouse/silver
+    python -m warband.cli metrics   --silver warehouse/silver [--database gold]
+    python -m warband.cli discover  --database gold [--eps 0.3 --min-samples 50 ...]
 
 Tables live in the session catalog (``spark.sql.warehouse.dir``); ``--master`` is only for
 local runs, on a cluster the submit settings apply.
@@ -51,7 +51,7 @@ def known(spark: SparkSession, database: str = "gold"):
 
 
 def main(argv=None) -> None:
-    ap = argparse.ArgumentParser(prog="warband.pipeline")
+    ap = argparse.ArgumentParser(prog="warband.cli")
     ap.add_argument("step", choices=["extract", "transform", "metrics", "discover", "known"])
     ap.add_argument("--master", default=None)
     ap.add_argument("--xes", default="data")
