@@ -34,12 +34,20 @@ def get_spark(master: str = "local[8]", shuffle_partitions: int = 8, app: str =
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as is.
-    Only when it is unset (local runs, tests) a fresh scratch folder is taken.
+    ``spark.checkpoint.dir`` is used as is where it is set (a cluster names a shared folder
+    there). Where it is unset, a fresh folder under the warehouse location is taken; on a
+    cluster that location must be shared storage too, so a plain local path raises.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
-        path = tempfile.mkdtemp(prefix="warband-ckpt-")
+        warehouse = spark.conf.get("spark.sql.warehouse.dir", "spark-warehouse")
+        local = spark.sparkContext.master.startswith("local[") or spark.sparkContext.master == "local"
+        if not local and (":" not in warehouse.split("/")[0] or warehouse.startswith("file:")):
+            raise ValueError("set spark.checkpoint.dir to a shared folder: neither it nor the warehouse is shared")
+        if local:
+            path = tempfile.mkdtemp(prefix="warband-ckpt-")
+        else:
+            path = f"{warehouse.rstrip('/')}/_scratch-{uuid.uuid4().hex}"
         spark.conf.set("spark.checkpoint.dir", path)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(path)
