@@ -5,10 +5,16 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from warband.llm.common import held_out
+from warband.llm.embedding_dedup import near_duplicate_vectors
+from warband.llm.html_extract import extract_main_text
+from warband.llm.language_id import fit_languages, predict_languages
 from warband.llm.sentencepiece_sa import encode_pieces
 from warband.llm.tables import table, tokenizer_path
 from warband.llm.token_counts import token_counts
+from warband.llm.toxicity import fit_toxicity, score_toxicity
 
 
 def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,15 +22,45 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_pieces(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
 
 
+def op2_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return extract_main_text(table(spark, sf_dir, "pages"))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token count of every whole text under the 50k byte-level vocabulary."""
     return token_counts(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every whole text, learned from the training fold."""
+    docs = table(spark, sf_dir, "documents")
+    model = fit_languages(docs, ~held_out(F.col("doc_id")))
+    out = predict_languages(docs.select("doc_id", "text"), model)
+    return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every whole text, learned from the training fold's labels."""
+    docs = table(spark, sf_dir, "documents")
+    model = fit_toxicity(docs, table(spark, sf_dir, "labels"))
+    return score_toxicity(docs, model).select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of near-duplicate vectors under one label."""
+    return near_duplicate_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_sentencepiece": op1_sentencepiece,
+        "op2_html_extract": op2_html_extract,
         "op4_token_counts": op4_token_counts,
+        "op5_language_id": op5_language_id,
+        "op9_toxicity": op9_toxicity,
+        "op10_embedding_dedup": op10_embedding_dedup,
     }
 
 
