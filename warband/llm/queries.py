@@ -11,6 +11,7 @@ from warband.llm.common import held_out
 from warband.llm.embedding_dedup import near_duplicate_vectors
 from warband.llm.html_extract import extract_main_text
 from warband.llm.language_id import fit_languages, predict_languages
+from warband.llm import line_dedup
 from warband.llm.sentencepiece_sa import encode_pieces
 from warband.llm.tables import table, tokenizer_path
 from warband.llm.token_counts import token_counts
@@ -40,6 +41,11 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without its repeated line chunks."""
+    return line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every whole text, learned from the training fold's labels."""
     docs = table(spark, sf_dir, "documents")
@@ -59,10 +65,13 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_html_extract": op2_html_extract,
         "op4_token_counts": op4_token_counts,
         "op5_language_id": op5_language_id,
+        "op7_line_dedup": op7_line_dedup,
         "op9_toxicity": op9_toxicity,
         "op10_embedding_dedup": op10_embedding_dedup,
     }
 
 
 def llm_oracles() -> dict[str, str]:
-    return {}
+    return {
+        "op7_line_dedup": line_dedup.ORACLE_SQL,
+    }
