@@ -12,6 +12,7 @@ from warband.llm.embedding_dedup import near_duplicate_vectors
 from warband.llm.html_extract import extract_main_text
 from warband.llm.language_id import fit_languages, predict_languages
 from warband.llm import line_dedup
+from warband.llm.ngram_join import ngram_components
 from warband.llm.sentencepiece_sa import encode_pieces
 from warband.llm.tables import table, tokenizer_path
 from warband.llm.token_counts import token_counts
@@ -46,6 +47,11 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose sets of 4-word shingles have a Jaccard similarity of 0.85 or more."""
+    return ngram_components(table(spark, sf_dir, "documents"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every whole text, learned from the training fold's labels."""
     docs = table(spark, sf_dir, "documents")
@@ -66,6 +72,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_token_counts": op4_token_counts,
         "op5_language_id": op5_language_id,
         "op7_line_dedup": op7_line_dedup,
+        "op8_ngram_jaccard": op8_ngram_jaccard,
         "op9_toxicity": op9_toxicity,
         "op10_embedding_dedup": op10_embedding_dedup,
     }
