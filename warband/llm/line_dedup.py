@@ -81,9 +81,10 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     k1, k2 = row_key(id_col, text_col)
     keep = [c for c in docs.columns if c != "lines_removed"]
     rows = docs.select(F.struct(*keep).alias("row"), k1, k2).join(gone, ["k1", "k2"], "left")
-    ls = F.split(F.col("row")[text_col], "\n")
-    left = F.array_except(F.sequence(F.lit(0), F.size(ls) - 1), F.col("gone"))
-    text = F.when(F.col("gone").isNull(), F.col("row")[text_col]).otherwise(F.array_join(F.transform(left, lambda i: F.get(ls, i)), "\n"))
+    # the lines are a column of their own: inside the lambda they would be split anew for each line
+    rows = rows.withColumn("ls", F.when(F.col("gone").isNotNull(), F.split(F.col("row")[text_col], "\n")))
+    left = F.array_except(F.sequence(F.lit(0), F.size("ls") - 1), F.col("gone"))
+    text = F.when(F.col("gone").isNull(), F.col("row")[text_col]).otherwise(F.array_join(F.transform(left, lambda i: F.get("ls", i)), "\n"))
     return rows.select(*[text.alias(c) if c == text_col else F.col("row")[c].alias(c) for c in keep],
                        F.when(F.col("gone").isNull(), 0).otherwise(F.size("gone")).cast("bigint").alias("lines_removed"))
 

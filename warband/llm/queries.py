@@ -12,6 +12,7 @@ from warband.llm.embedding_dedup import near_duplicate_vectors
 from warband.llm.html_extract import extract_main_text
 from warband.llm.language_id import fit_languages, predict_languages
 from warband.llm import line_dedup
+from warband.llm import license_scan
 from warband.llm.ngram_join import ngram_components
 from warband.llm.sentencepiece_sa import encode_pieces
 from warband.llm.tables import table, tokenizer_path
@@ -42,6 +43,11 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License notices found in every whole text."""
+    return license_scan.scan_licenses(table(spark, sf_dir, "documents"))
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without its repeated line chunks."""
     return line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -71,6 +77,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_html_extract": op2_html_extract,
         "op4_token_counts": op4_token_counts,
         "op5_language_id": op5_language_id,
+        "op6_license_scan": op6_license_scan,
         "op7_line_dedup": op7_line_dedup,
         "op8_ngram_jaccard": op8_ngram_jaccard,
         "op9_toxicity": op9_toxicity,
@@ -80,5 +87,6 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def llm_oracles() -> dict[str, str]:
     return {
+        "op6_license_scan": license_scan.oracle_sql(),
         "op7_line_dedup": line_dedup.ORACLE_SQL,
     }
