@@ -82,18 +82,18 @@ def scan_licenses(docs: DataFrame, templates: list[tuple[str, str]] | None = Non
     """
     spark = docs.sparkSession
     known = materialize(template_table(spark, TEMPLATES if templates is None else templates), "license-templates")
-    parts = F.broadcast(known.select(F.explode("shingles").alias("h")).distinct())
+    parts = F.broadcast(known.select("m", "stride", F.explode("shingles").alias("h")).distinct())
     key = [F.xxhash64(id_col, text_col).alias("k1"), F.xxhash64(F.lit(3), text_col, id_col).alias("k2")]
     # the word list is a column of its own: inside the shingle lambda it would be made anew for each shingle
     base = docs.select(*key, F.col(id_col).alias("id"), word_list(F.col(text_col)).alias("words")).select(
         "k1", "k2", "id", shingle_list(F.col("words")).alias("sh"))
-    found = base.select("k1", "k2", F.posexplode("sh").alias("pos", "h")).join(parts, "h").select("k1", "k2", "h", "pos").distinct()
+    # the outer form: an inner one makes Spark test the array's size first, building all shingles twice
+    found = base.select("k1", "k2", F.posexplode_outer("sh").alias("pos", "h")).join(parts, "h").select("k1", "k2", "m", "stride", "pos").distinct()
     found = materialize(found, "license-hits")
-    # windows that hold a hit of a template, by the template's own length and stride
-    sizes = F.broadcast(known.select("m", "stride").distinct())
+    # windows that hold a hit, by its template's own length and stride
     span = F.col("m") + F.col("stride")
     first = F.greatest(F.lit(0), F.ceil((F.col("pos") - span + 1) / F.col("stride"))).cast("int")
-    windows = (found.join(sizes).select("k1", "k2", "m", "stride", F.explode(F.sequence(first, F.floor(F.col("pos") / F.col("stride")).cast("int"))).alias("w"))
+    windows = (found.select("k1", "k2", "m", "stride", F.explode(F.sequence(first, F.floor(F.col("pos") / F.col("stride")).cast("int"))).alias("w"))
                .distinct().groupBy("k1", "k2").agg(F.collect_list(F.struct("m", "stride", "w")).alias("ws")))
     texts = base.join(windows, ["k1", "k2"]).dropDuplicates(["k1", "k2"])
     cut = texts.select("k1", "k2", "id", "sh", F.explode("ws").alias("w")).select(
@@ -139,9 +139,9 @@ d AS (SELECT doc_id, unnest(sh) AS h, generate_subscripts(sh, 1) - 1 AS pos FROM
 hit AS (SELECT doc_id, template, m, stride, h, pos FROM d JOIN ts USING (h)),
 win AS (SELECT *, unnest(generate_series(CAST(greatest(0, ceil((pos - m - stride + 1) / CAST(stride AS DOUBLE))) AS BIGINT),
                                          CAST(pos // stride AS BIGINT))) AS w FROM hit),
-c AS (SELECT doc_id, template, m, w * stride AS start, COUNT(DISTINCT h) AS n, MIN(pos) AS at FROM win GROUP BY ALL),
-k AS (SELECT *, row_number() OVER (PARTITION BY doc_id, template ORDER BY n DESC, start, at) AS nth,
+c AS (SELECT doc_id, template, m, w * stride AS start, COUNT(DISTINCT h) AS n, MIN(pos) AS place FROM win GROUP BY ALL),
+k AS (SELECT *, row_number() OVER (PARTITION BY doc_id, template ORDER BY n DESC, start, place) AS nth,
              COUNT(*) OVER (PARTITION BY doc_id, template) AS windows FROM c WHERE n >= ceil(m * {CONTAINED}))
-SELECT k.doc_id, k.template, t.license, ROUND(k.n / CAST(k.m AS DOUBLE), 6) AS containment, CAST(k.at AS BIGINT) AS first_shingle,
+SELECT k.doc_id, k.template, t.license, ROUND(k.n / CAST(k.m AS DOUBLE), 6) AS containment, CAST(k.place AS BIGINT) AS first_shingle,
        CAST(k.windows AS BIGINT) AS windows
 FROM k JOIN t USING (template) WHERE nth = 1"""

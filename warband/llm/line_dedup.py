@@ -34,8 +34,9 @@ def words_in(line: Column) -> Column:
 def removed_lines(docs: DataFrame, id_col: str, text_col: str, min_words: int, long_line: int) -> DataFrame:
     """(k1, k2, gone): per document the positions of the lines to remove."""
     key = ["k1", "k2"]
-    base = docs.select(*row_key(id_col, text_col), F.col(id_col).alias("id"), F.split(text_col, "\n").alias("ls")).where("ls is not null")
-    lines = materialize(base.select(*key, "id", F.posexplode("ls").alias("pos", "line"))
+    base = docs.select(*row_key(id_col, text_col), F.col(id_col).alias("id"), F.split(text_col, "\n").alias("ls"))
+    # the outer form: an inner one makes Spark test the array's size first, splitting the texts twice
+    lines = materialize(base.select(*key, "id", F.posexplode_outer("ls").alias("pos", "line")).where("pos is not null")
                         .select(*key, "id", "pos", F.md5("line").alias("h"), words_in(F.col("line")).alias("nw")), "line-hashes")
     often = materialize(lines.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"), "repeated-lines")
     w = Window.partitionBy(*key).orderBy("pos")
