@@ -120,11 +120,11 @@ def oracle_sql(templates: list[tuple[str, str]] = TEMPLATES) -> str:
 
     def words(col: str) -> str:
         return (f"list_filter(string_split_regex(trim(regexp_replace(regexp_replace(lower({col}), '[^a-z0-9.+-]+', ' ', 'g'), "
-                f"'[.-]+( |$)', ' ', 'g')), ' +'), x -> x <> '')")
+                f"'[.-]+( |$)', ' ', 'g')), ' +'), lambda x: x <> '')")
 
     def shingles(w: str) -> str:
         return (f"CASE WHEN len({w}) >= {SHINGLE} THEN list_transform(generate_series(1, len({w}) - {SHINGLE - 1}), "
-                f"i -> array_to_string({w}[i:i + {SHINGLE - 1}], ' ')) WHEN len({w}) > 0 THEN [array_to_string({w}, ' ')] ELSE [] END")
+                f"lambda i: array_to_string({w}[i:i + {SHINGLE - 1}], ' ')) WHEN len({w}) > 0 THEN [array_to_string({w}, ' ')] ELSE [] END")
 
     return f"""
 WITH t0 AS (SELECT * FROM (VALUES {rows}) v(template, license, text)),
