@@ -17,6 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from warband.llm.common import row_key
 from warband.session import materialize
 
 SHINGLE, BANDS = 5, 32
@@ -83,9 +84,8 @@ def scan_licenses(docs: DataFrame, templates: list[tuple[str, str]] | None = Non
     spark = docs.sparkSession
     known = materialize(template_table(spark, TEMPLATES if templates is None else templates), "license-templates")
     parts = F.broadcast(known.select("m", "stride", F.explode("shingles").alias("h")).distinct())
-    key = [F.xxhash64(id_col, text_col).alias("k1"), F.xxhash64(F.lit(3), text_col, id_col).alias("k2")]
     # the word list is a column of its own: inside the shingle lambda it would be made anew for each shingle
-    base = docs.select(*key, F.col(id_col).alias("id"), word_list(F.col(text_col)).alias("words")).select(
+    base = docs.select(*row_key(id_col, text_col), F.col(id_col).alias("id"), word_list(F.col(text_col)).alias("words")).select(
         "k1", "k2", "id", shingle_list(F.col("words")).alias("sh"))
     # the outer form: an inner one makes Spark test the array's size first, building all shingles twice
     found = base.select("k1", "k2", F.posexplode_outer("sh").alias("pos", "h")).join(parts, "h").select("k1", "k2", "m", "stride", "pos").distinct()

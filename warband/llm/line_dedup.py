@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from warband.llm.common import row_key
 from warband.session import materialize
 
 MIN_WORDS = 10       # chunks with fewer words stay: short lines repeat by chance
@@ -64,11 +65,6 @@ def removed_lines(docs: DataFrame, id_col: str, text_col: str, min_words: int, l
     return materialize(gone, "removed-lines")
 
 
-def row_key(id_col: str, text_col: str) -> list[Column]:
-    """128 hash bits of a row's id and text; rows that repeat both are one document."""
-    return [F.xxhash64(id_col, text_col).alias("k1"), F.xxhash64(F.lit(3), text_col, id_col).alias("k2")]
-
-
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS,
                 long_line: int = LONG_LINE) -> DataFrame:
     """``docs`` with repeated chunks removed from ``text_col``; adds ``lines_removed``.

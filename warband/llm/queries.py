@@ -7,12 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from warband.llm import license_scan, line_dedup
 from warband.llm.common import held_out
+from warband.llm.decontaminate import find_leaks
 from warband.llm.embedding_dedup import near_duplicate_vectors
 from warband.llm.html_extract import extract_main_text
 from warband.llm.language_id import fit_languages, predict_languages
-from warband.llm import line_dedup
-from warband.llm import license_scan
 from warband.llm.ngram_join import ngram_components
 from warband.llm.sentencepiece_sa import encode_pieces
 from warband.llm.tables import table, tokenizer_path
@@ -30,6 +30,12 @@ def op2_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_main_text(table(spark, sf_dir, "pages"))
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(document, benchmark item) pairs: the item's text stands in the document."""
+    return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).select(
+        "doc_id", "item_id", F.round("lcs", 6).alias("lcs"), F.col("answer").alias("answer_found"))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token count of every whole text under the 50k byte-level vocabulary."""
     return token_counts(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
@@ -71,10 +77,17 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The training-corpus pipeline over ``documents``."""
+    import corpus_pipeline
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_sentencepiece": op1_sentencepiece,
         "op2_html_extract": op2_html_extract,
+        "op3_decontaminate": op3_decontaminate,
         "op4_token_counts": op4_token_counts,
         "op5_language_id": op5_language_id,
         "op6_license_scan": op6_license_scan,
@@ -82,6 +95,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_ngram_jaccard": op8_ngram_jaccard,
         "op9_toxicity": op9_toxicity,
         "op10_embedding_dedup": op10_embedding_dedup,
+        "pipeline": pipeline,
     }
 
 
