@@ -7,9 +7,10 @@ Two sets link when their Jaccard distance is at most ε. The space is divided in
    then by hash) breaks the ties. A linked pair misses so few shingles of each other that both lie in the cell of
    a common pivot among the first ``n − ⌈(1−ε)·n⌉ + 1`` of each: the window in which boundary sets
    are replicated. Cells with one set hold no pair and go.
-2. *Small cells* list their pairs; sizes (distance to the empty set) and a histogram over 256 shingle
-   classes bound the distance from below and drop nearly all others before sets are fetched and compared.
-3. *Large cells* join recursively: a set not yet in a region becomes a pivot, takes the sets within ε as its
+2. *Small cells* list their pairs, of which the cells of all shingles together keep each once; sizes (distance to the
+   empty set) and a histogram over 256 shingle classes bound the distance from below and drop nearly all others before
+   sets are fetched and compared. A large cell is first compared with one pivot of its own in the same way.
+3. *Large cells* whose sets do not hang together by then join recursively: a set not yet in a region becomes a pivot, takes the sets within ε as its
    Voronoi region, and so on. Regions of pivots farther apart than 3ε hold no pair; between others only
    members within 2ε of the other pivot, the boundary, are compared, and not at all once the regions
    hang together. One link per region member is returned, not all pairs.
@@ -31,7 +32,7 @@ from warband.session import materialize
 
 #: Links need 100 · intersection >= 85 · union.
 NUM, DEN = 85, 100
-SMALL_CELL = 16
+SMALL_CELL = 128
 BLOCK = 2_048
 BUCKET_BITS = 18
 CLASSES = 256
@@ -43,7 +44,7 @@ def _buckets(value: np.ndarray) -> np.ndarray:
 
 
 def _texts(batches, columns: int):
-    """Slices of at most ROWS rows: (other columns, texts)."""
+    """Slices of at most ROWS rows: (other columns, texts as UTF-8 bytes)."""
     for big in batches:
         for lo in range(0, big.num_rows, ROWS):
             b = big.slice(lo, ROWS)
@@ -157,7 +158,7 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     empty result.
     """
     kind = docs.schema[id_col].dataType.simpleString()
-    texts = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"))
+    texts = docs.select(docs[id_col].alias("id"), docs[text_col].cast("binary").alias("text"))
     order = docs.sparkSession.sparkContext.broadcast(frequent_buckets(texts.select("text"), size))   # 2^18 counts
 
     def described(batches):
@@ -167,7 +168,8 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
             n = np.diff(offs)
             owner = np.repeat(np.arange(len(n)), n)
             digest = _digests(value, offs)
-            by = np.lexsort((value, order.value[_buckets(value)], owner))
+            rank_of = order.value[_buckets(value)]
+            by = np.argsort(owner * (int(rank_of.max(initial=0)) + 1) + rank_of, kind="stable")   # values ascend already
             keep = n - -(-num * n // den) + 1
             keep[n == 0] = 0
             rank = np.arange(len(value)) - np.repeat(offs[:-1], n)
@@ -191,6 +193,11 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     x, y = few.select("cell", F.col("node").alias("a"), F.col("n").alias("na")), few.select("cell", F.col("node").alias("b"), F.col("n").alias("nb"))
     pairs = (x.join(y, "cell").where("a < b").where((F.col("na") * den >= F.col("nb") * num) & (F.col("nb") * den >= F.col("na") * num))
              .select("a", "b").distinct())
+    large = inside.where(F.col("m") > SMALL_CELL).select("cell", "node", "n")
+    pivot = materialize(large.groupBy("cell").agg(F.min(F.struct("node", "n")).alias("p")), "cell-pivots")
+    stars = (large.join(pivot, "cell").select(F.col("p.node").alias("a"), F.col("node").alias("b"), F.col("p.n").alias("na"), F.col("n").alias("nb"))
+             .where("a < b").where((F.col("na") * den >= F.col("nb") * num) & (F.col("nb") * den >= F.col("na") * num)).select("a", "b").distinct())
+    pairs = pairs.union(stars).distinct()
     hist = sets.where("n > 0 and id is not null").groupBy("node").agg(F.min("id").alias("one"), F.min("n").alias("n"), F.min("hist").alias("hist"))
     hist = materialize(hist, "set-histograms")
 
@@ -210,16 +217,6 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
             .mapInArrow(bounded, "a bigint, b bigint"))
     near = materialize(near, "near-pairs")
 
-    blocks = F.ceil(F.col("m") / BLOCK).cast("int")
-    many = (inside.where(F.col("m") > SMALL_CELL).withColumn("blocks", blocks)
-            .withColumn("mine", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-            .select("cell", "node", "mine", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-            .select("cell", "node", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j")))
-    many = materialize(many, "large-cells")
-
-    wanted = near.select(F.explode(F.array("a", "b")).alias("node")).union(many.select("node")).distinct()
-    wanted = materialize(hist.join(wanted, "node").select("node", "one"), "wanted-sets")
-
     def listed(batches):
         known = WordHashes()
         for _, rows in _texts(batches, 0):
@@ -228,10 +225,6 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
                 [pa.array(_digests(value, offs).view(np.int64)),
                  pa.ListArray.from_arrays(pa.array(offs.astype(np.int32)), pa.array(value.view(np.int64)))], names=["node", "set"])
 
-    ids = wanted.select(F.col("one").alias("id")).distinct()
-    full = texts.join(ids, "id").select("text").mapInArrow(listed, "node bigint, set array<bigint>")
-    full = materialize(full.join(wanted.select("node"), "node").dropDuplicates(["node"]), "full-sets")   # an id may repeat
-
     def compared(batches):
         for b in batches:
             if not b.num_rows:
@@ -242,10 +235,6 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
                 ok.append(bool(linked(inter, len(u), len(v), num, den)))
             yield pa.RecordBatch.from_arrays(b.columns[:2], names=["a", "b"]).filter(pa.array(ok))
 
-    exact = (near.join(full.select(F.col("node").alias("a"), F.col("set").alias("sa")), "a")
-             .join(full.select(F.col("node").alias("b"), F.col("set").alias("sb")), "b").select("a", "b", "sa", "sb")
-             .mapInArrow(compared, "a bigint, b bigint"))
-
     def regions(batches):
         for g in stream_groups(batches, ["cell", "i", "j"]):
             if g.num_rows < 2:
@@ -257,10 +246,34 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
             x, y = region_links(values, offs - offs[0], num, den)
             yield pa.RecordBatch.from_arrays([pa.array(node[x]), pa.array(node[y])], names=["a", "b"])
 
+    def fetched(nodes: DataFrame, label: str) -> DataFrame:
+        """(node, set) of the given sets, shingled again from a text that has each."""
+        wanted = materialize(hist.join(nodes.distinct(), "node").select("node", "one"), f"{label}-wanted")
+        ids = wanted.select(F.col("one").alias("id")).distinct()
+        full = texts.join(ids, "id").select("text").mapInArrow(listed, "node bigint, set array<bigint>")
+        return materialize(full.join(wanted.select("node"), "node").dropDuplicates(["node"]), label)      # an id may repeat
+
+    full = fetched(near.select(F.explode(F.array("a", "b")).alias("node")), "pair-sets")
+    exact = (near.join(full.select(F.col("node").alias("a"), F.col("set").alias("sa")), "a")
+             .join(full.select(F.col("node").alias("b"), F.col("set").alias("sb")), "b").select("a", "b", "sa", "sb")
+             .mapInArrow(compared, "a bigint, b bigint"))
+    links = materialize(exact, "pair-links")
+
+    # a large cell whose sets already hang together holds no link that could matter
+    so_far = components(links)
+    member = large.join(so_far, "node", "left").select("cell", "node", F.coalesce("component", "node").alias("part"))
+    mixed = materialize(member.groupBy("cell").agg(F.min("part").alias("lo"), F.max("part").alias("hi"), F.count("*").alias("m"))
+                        .where("lo <> hi").select("cell", "m"), "mixed-cells")
+    blocks = F.ceil(F.col("m") / BLOCK).cast("int")
+    many = (large.join(mixed, "cell").withColumn("blocks", blocks)
+            .withColumn("mine", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+            .select("cell", "node", "mine", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+            .select("cell", "node", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j")))
+    many = materialize(many, "large-cells")
     keys = ["cell", "i", "j"]
-    joined = (many.join(full, "node").select(*keys, "node", "set").repartition(*keys).sortWithinPartitions(*keys, "node")
-              .mapInArrow(regions, "a bigint, b bigint"))
-    links = materialize(exact.union(joined).distinct(), "set-links")
+    joined = (many.join(fetched(many.select("node"), "cell-sets-full"), "node").select(*keys, "node", "set").repartition(*keys)
+              .sortWithinPartitions(*keys, "node").mapInArrow(regions, "a bigint, b bigint"))
+    links = materialize(links.union(joined).distinct(), "set-links")
     comp = components(links)
     lead = sets.where("node is not null and id is not null").join(comp, "node", "left").select(
         "id", "node", F.coalesce("component", "node").alias("component"))

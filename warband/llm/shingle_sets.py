@@ -2,22 +2,18 @@
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 import xxhash
 
 SHINGLE = 4
 MAX_WORDS = 500_000
-_WORD = re.compile(r"[^\x20\x09-\x0D]+")
-_LOWER = {c: c + 32 for c in range(65, 91)}
 
 
 class WordHashes(dict):
     """Word → 64-bit hash, remembered."""
 
-    def __missing__(self, w: str) -> int:
-        h = self[w] = xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass"))
+    def __missing__(self, w: bytes) -> int:
+        h = self[w] = xxhash.xxh3_64_intdigest(w)
         return h
 
 
@@ -28,29 +24,28 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-def lower_ascii(text: str) -> str:
-    """A-Z to a-z, all else as it is."""
-    return text.lower() if text.isascii() else text.translate(_LOWER)
+def words_of(text: bytes) -> list[bytes]:
+    """Words of an UTF-8 text: A-Z lower-cased, cut at the bytes 0x20 and 0x09 to 0x0D."""
+    return text.lower().split()
 
 
-def shingle_rows(texts: list[str], known: WordHashes, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
+def shingle_rows(texts: list[bytes | None], known: WordHashes, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
     """(hash, text index) of all shingles, repeats included; a text with fewer than ``size`` words has its
     whole word sequence as one shingle, a text without words none."""
     if len(known) > MAX_WORDS:
         known.clear()
-    words: list[str] = []
+    words: list[bytes] = []
     counts = np.zeros(len(texts), np.int64)
     for i, t in enumerate(texts):
         if t:
-            found = _WORD.findall(lower_ascii(t))
+            found = words_of(t)
             counts[i] = len(found)
             words += found
     h = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
     ends = np.cumsum(counts)
     owner = np.repeat(np.arange(len(texts)), counts)
-    place = np.arange(len(h)) - np.repeat(ends - counts, counts)
-    full = place + size <= counts[owner]
-    at = np.flatnonzero(full)
+    last = np.repeat(ends, counts)
+    at = np.flatnonzero(np.arange(len(h)) + size <= last)
     value = np.zeros(len(at), np.uint64)
     for k in range(size):
         value = _mix(value + h[at + k] + np.uint64(k + 1))
@@ -66,10 +61,12 @@ def shingle_rows(texts: list[str], known: WordHashes, size: int = SHINGLE) -> tu
     return value, owner[at]
 
 
-def shingle_sets(texts: list[str], known: WordHashes, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
+def shingle_sets(texts: list[bytes | None], known: WordHashes, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
     """Distinct shingle hashes of all texts, ascending inside each text, and the offsets of each text."""
     value, owner = shingle_rows(texts, known, size)
-    by = np.lexsort((value, owner))
+    by = np.argsort(value)
+    small = owner.astype(np.uint16) if len(texts) <= 1 << 16 else owner      # short keys sort in linear time
+    by = by[np.argsort(small[by], kind="stable")]
     value, owner = value[by], owner[by]
     if len(value):
         new = np.r_[True, (value[1:] != value[:-1]) | (owner[1:] != owner[:-1])]
