@@ -84,11 +84,14 @@ def scan_licenses(docs: DataFrame, templates: list[tuple[str, str]] | None = Non
     spark = docs.sparkSession
     known = materialize(template_table(spark, TEMPLATES if templates is None else templates), "license-templates")
     parts = F.broadcast(known.select("m", "stride", F.explode("shingles").alias("h")).distinct())
-    # the word list is a column of its own: inside the shingle lambda it would be made anew for each shingle
-    base = docs.select(*row_key(id_col, text_col), F.col(id_col).alias("id"), word_list(F.col(text_col)).alias("words")).select(
-        "k1", "k2", "id", shingle_list(F.col("words")).alias("sh"))
-    # the outer form: an inner one makes Spark test the array's size first, building all shingles twice
-    found = base.select("k1", "k2", F.posexplode_outer("sh").alias("pos", "h")).join(parts, "h").select("k1", "k2", "m", "stride", "pos").distinct()
+    mine = sorted(r["h"] for r in parts.select("h").distinct().collect())      # the caller's templates
+    # One-element arrays are exploded to pass words and shingles on: Spark moves no filter and no expression
+    # through a generator, so neither is made anew for each shingle or a second time for the filter.
+    base = (docs.select(*row_key(id_col, text_col), F.col(id_col).alias("id"), F.explode_outer(F.array(word_list(F.col(text_col)))).alias("words"))
+            .select("k1", "k2", "id", F.explode_outer(F.array(shingle_list(F.col("words")))).alias("sh"))
+            .where(F.arrays_overlap("sh", F.lit(mine).cast("array<bigint>"))))
+    base = materialize(base, "license-documents")
+    found = base.select("k1", "k2", F.posexplode("sh").alias("pos", "h")).join(parts, "h").select("k1", "k2", "m", "stride", "pos").distinct()
     found = materialize(found, "license-hits")
     # windows that hold a hit, by its template's own length and stride
     span = F.col("m") + F.col("stride")
