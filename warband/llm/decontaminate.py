@@ -3,7 +3,8 @@
 Per block of benchmark items (a block holds a bounded number of items and characters; all blocks are done):
 
 1. Document frequencies of the block's terms over all documents. Terms in more than ``COMMON`` of the
-   documents are dropped like stop words, but every item keeps its ``KEEP_RAREST`` rarest terms. TF-IDF weights.
+   documents (and more than ``COMMON_DOCS``) are dropped like stop words, but every item keeps its ``KEEP_RAREST`` rarest
+   terms. TF-IDF weights.
 2. Passages are windows of ``WINDOW`` words, half overlapping, over every whole document. Passages
    without block terms are zero rows of the matrix and need no storing; of the others only positions
    and terms are kept, in a table that the later passes read instead of the texts.
@@ -29,7 +30,7 @@ from warband.llm.common import row_key
 from warband.session import materialize
 
 WINDOW, STRIDE = 64, 32
-COMMON, KEEP_RAREST = 0.02, 6
+COMMON, COMMON_DOCS, KEEP_RAREST = 0.02, 50, 12
 MIN_RANK, MAX_RANK, OVERSAMPLE = 128, 512, 16
 COSINE, SAME, PARAPHRASE = 0.55, 0.8, 0.6
 ANSWER_WORDS = 3
@@ -227,7 +228,7 @@ def _block_leaks(rows: DataFrame, items: Items, n_docs: int, item_type: str, id_
     if n_terms:
         seen = rows.select("text").mapInArrow(counted, "term bigint, n bigint").groupBy("term").agg(F.sum("n").alias("n")).toPandas()
         df[seen["term"].to_numpy()] = seen["n"].to_numpy()
-    keep = df <= max(1.0, COMMON * n_docs)
+    keep = df <= max(COMMON_DOCS, COMMON * n_docs)
     for ws in items.words:
         own = sorted({items.number[w] for w in ws}, key=lambda i: (df[i], i))
         keep[own[:KEEP_RAREST]] = True

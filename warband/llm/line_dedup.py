@@ -2,7 +2,8 @@
 
 Lines are the stretches between line feeds. A chunk is a run of consecutive lines that each occur more
 than once in the corpus; inside a run a border falls around every line of ``long_line`` words or more,
-and wherever the rolling hash over the last two line hashes has a fixed remainder. All three rules
+and wherever the rolling hash over the last two line hashes has a fixed remainder. A chunk of fewer than
+``min_words`` words counts only as one with a neighbour that follows or precedes it directly. All these rules
 look at line contents only, so a passage put at another place of another document is cut in the same
 way, whatever stands around it. Chunks whose hash occurs more than once are compared byte for byte (by
 grouping on their text); of equal chunks the first (smallest id, then place) stays and the others go.
@@ -21,7 +22,7 @@ from pyspark.sql.window import Window
 from warband.llm.common import row_key
 from warband.session import materialize
 
-MIN_WORDS = 10       # chunks with fewer words stay: short lines repeat by chance
+MIN_WORDS = 10       # chunks with fewer words count only together with the next one: short lines repeat by chance
 LONG_LINE = 12       # words from which a line is a chunk of its own
 BORDER_DIGITS = ("0", "4", "8", "c")      # a border at one of four rolling hashes on average
 
@@ -47,10 +48,17 @@ def removed_lines(docs: DataFrame, id_col: str, text_col: str, min_words: int, l
              | (before("nw") >= long_line) | rolled.isin(*BORDER_DIGITS))
     runs = lines.join(often, "h").distinct().withColumn("opens", F.when(opens, 1).otherwise(0))
     runs = runs.withColumn("chunk", F.sum("opens").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    chunks = (runs.groupBy(*key, "chunk").agg(F.first("id").alias("id"), F.min("pos").alias("a"), F.max("pos").alias("b"),
-                                              F.sum("nw").alias("nw"), F.sort_array(F.collect_list(F.struct("pos", "h"))).alias("hs"))
-              .where(F.col("nw") >= min_words)
-              .select(*key, "id", "a", "b", F.xxhash64(F.transform("hs", lambda x: x["h"])).alias("hash")))
+    parts = (runs.groupBy(*key, "chunk").agg(F.first("id").alias("id"), F.min("pos").alias("a"), F.max("pos").alias("b"),
+                                             F.sum("nw").alias("nw"), F.sort_array(F.collect_list(F.struct("pos", "h"))).alias("hs")))
+    w = Window.partitionBy(*key).orderBy("a")
+    after = lambda c: F.lead(c).over(w)
+    parts = parts.select("*", *[F.when(after("a") == F.col("b") + 1, after(c)).alias(f"next_{c}") for c in ("b", "nw", "hs")])
+    one = F.when(F.col("nw") >= min_words, F.array(F.struct("a", "b", "hs")))
+    two = F.when((F.least("nw", "next_nw") < min_words) & (F.col("nw") + F.col("next_nw") >= min_words),
+                 F.array(F.struct(F.col("a"), F.col("next_b").alias("b"), F.concat("hs", "next_hs").alias("hs"))))
+    none = F.array().cast("array<struct<a:int,b:int,hs:array<struct<pos:int,h:string>>>>")
+    chunks = (parts.select(*key, "id", F.explode(F.concat(F.coalesce(one, none), F.coalesce(two, none))).alias("u"))
+              .select(*key, "id", "u.a", "u.b", F.xxhash64(F.transform("u.hs", lambda x: x["h"])).alias("hash")))
     chunks = materialize(chunks, "line-chunks")
     again = materialize(chunks.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash"), "repeated-chunks")
     spans = chunks.join(again, "hash").groupBy(*key).agg(F.first("id").alias("id"), F.collect_list(F.struct("a", "b", "hash")).alias("spans"))
@@ -61,7 +69,7 @@ def removed_lines(docs: DataFrame, id_col: str, text_col: str, min_words: int, l
     place = F.struct(F.col("id").isNull().alias("no_id"), "id", "k1", "k2", "a")
     first = materialize(texts.groupBy("hash", "body").agg(F.min(place).alias("first")), "first-chunks")
     gone = (texts.join(first, ["hash", "body"]).where(place != F.col("first"))
-            .groupBy(*key).agg(F.flatten(F.collect_list(F.sequence("a", "b"))).alias("gone")))
+            .groupBy(*key).agg(F.array_distinct(F.flatten(F.collect_list(F.sequence("a", "b")))).alias("gone")))
     return materialize(gone, "removed-lines")
 
 
@@ -98,10 +106,15 @@ o AS (SELECT *, CASE WHEN lag(pos) OVER w IS DISTINCT FROM pos - 1 OR nw >= {LON
                        OR substr(md5(lag(h) OVER w || h), 1, 1) IN ('0', '4', '8', 'c') THEN 1 ELSE 0 END AS opens
       FROM r WINDOW w AS (PARTITION BY doc_id ORDER BY pos)),
 n AS (SELECT *, SUM(opens) OVER (PARTITION BY doc_id ORDER BY pos ROWS UNBOUNDED PRECEDING) AS chunk FROM o),
-k AS (SELECT doc_id, MIN(pos) AS a, MAX(pos) AS b, string_agg(line, chr(10) ORDER BY pos) AS body
-      FROM n GROUP BY doc_id, chunk HAVING SUM(nw) >= {MIN_WORDS}),
+p AS (SELECT doc_id, MIN(pos) AS a, MAX(pos) AS b, SUM(nw) AS nw, string_agg(line, chr(10) ORDER BY pos) AS body
+      FROM n GROUP BY doc_id, chunk),
+q AS (SELECT *, lead(a) OVER v AS na, lead(b) OVER v AS nb, lead(nw) OVER v AS nnw, lead(body) OVER v AS nbody
+      FROM p WINDOW v AS (PARTITION BY doc_id ORDER BY a)),
+k AS (SELECT doc_id, a, b, body FROM q WHERE nw >= {MIN_WORDS} UNION ALL
+      SELECT doc_id, a, nb, body || chr(10) || nbody FROM q
+      WHERE na = b + 1 AND least(nw, nnw) < {MIN_WORDS} AND nw + nnw >= {MIN_WORDS}),
 f AS (SELECT *, row_number() OVER (PARTITION BY body ORDER BY doc_id, a) AS nth FROM k),
-g AS (SELECT doc_id, unnest(generate_series(a, b)) AS pos FROM f WHERE nth > 1),
+g AS (SELECT DISTINCT doc_id, unnest(generate_series(a, b)) AS pos FROM f WHERE nth > 1),
 t AS (SELECT l.doc_id, string_agg(line, chr(10) ORDER BY l.pos) FILTER (WHERE g.pos IS NULL) AS text, COUNT(g.pos) AS lines_removed
       FROM l LEFT JOIN g ON l.doc_id = g.doc_id AND l.pos = g.pos GROUP BY l.doc_id)
 SELECT documents.doc_id, CASE WHEN documents.text IS NULL THEN NULL ELSE COALESCE(t.text, '') END AS text,
