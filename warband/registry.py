@@ -22,13 +22,15 @@ from warband.operators.similarity import avg_jaccard, avg_pairwise_cosine
 from warband.plans import analyst, discovery, gold
 from warband.session import materialize
 from warband.plans.silver import events_clean
-from warband.sources.adapter import load_bronze
+from warband.sources.adapter import ACTIVITY_OF_EVENT_TYPE, load_bronze, traces_from_bronze
+from warband.sources.xes import events_of_fragments
 
 ELO_LO, ELO_HI = 2500, 3100
 OPENING_N = 10            # adapter matches have 9–40 actions; 10 makes the cut bite
 APM_WIDE_WINDOW = 172_800  # two days: most adapter rows fall inside
 CIV_PICK = ["NATION_1", "NATION_2", "NATION_3", "NATION_4", "NATION_5"]
 CIV_LIKE_PICK = ["NATION_1", "NATION_2"]  # substring test: NATION_1 also hits NATION_1x
+AGE_ACTIVITIES = sorted(a for a in ACTIVITY_OF_EVENT_TYPE.values() if a.endswith(" Age"))
 SHINGLE_N, NUM_PERM, LSH_THRESHOLD, CHAR_N = 3, 128, 0.5, 3
 # Discovery parameters that give clusters on the adapter data (the defaults give none).
 DISCOVERY_TEST = dict(ngram_n=2, char_n=3, dbscan_eps=0.05, dbscan_min_samples=5, min_matches_per_player=2)
@@ -36,20 +38,14 @@ DISCOVERY_TEST = dict(ngram_n=2, char_n=3, dbscan_eps=0.05, dbscan_min_samples=5
 DISCOVERY_RUN = dict(ngram_n=3, min_matches_per_player=3)
 
 
-_PLANS: dict = {}
-
-
 def silver_of(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The silver plan over a folder's tables.
+    """The silver plan over a folder's tables."""
+    return events_clean(load_bronze(spark, sf_dir))
+
 
-    The plan object (not its data) is kept per session and folder: building the adapter and
-    typing expressions costs thousands of JVM calls, and a plan re-executes its scans on every
-    action anyway.
-    """
-    key = (id(spark), sf_dir.rstrip("/"), "silver")
-    if key not in _PLANS:
-        _PLANS[key] = events_clean(load_bronze(spark, sf_dir))
-    return _PLANS[key]
+def _q_bronze_from_xes(spark, sf_dir):
+    """The events log written as XES traces and read back through the XES parser."""
+    return events_of_fragments(traces_from_bronze(load_bronze(spark, sf_dir))).drop("attrs").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 
 
 def _gold(name: str, **kw) -> Callable[[SparkSession, str], DataFrame]:
@@ -220,6 +216,7 @@ def _q_cluster_summary(spark, sf_dir):
 
 def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+        "bronze_from_xes": _q_bronze_from_xes,
         "events_clean": silver_of,
         "player_match_results": _gold("player_match_results"),
         "player_strategy_usage": _gold("player_strategy_usage"),
@@ -266,6 +263,7 @@ def oracle_queries() -> dict[str, str]:
     steps = ", ".join(f'COUNT(*) FILTER (WHERE action_rank = {i}) AS "{i}"' for i in range(1, n + 1))
     like = " OR ".join(f"contains(civilizations, '{c}')" for c in CIV_LIKE_PICK)
     out_base = {
+        "bronze_from_xes": O.with_(O.BRONZE) + "SELECT * FROM bronze",
         "events_clean": O.with_(*base) + "SELECT * FROM silver",
         "player_match_results": O.with_(*base, O.PMR) + "SELECT * FROM pmr",
         "player_strategy_usage": O.with_(*base, O.USAGE) + "SELECT * FROM usage",
@@ -286,8 +284,10 @@ def oracle_queries() -> dict[str, str]:
           "SELECT DISTINCT e.elo, a.player_id, a.match_id, a.apm, e.civilization FROM apm a "
           "JOIN (SELECT DISTINCT elo, player_id, match_id, civilization FROM silver) e USING (player_id, match_id) "
           f"WHERE e.elo BETWEEN {ELO_LO} AND {ELO_HI} AND {O.civ_in('e.civilization', None)})",
-        "age_matrix": O.with_(*base, O.AGE, "sel AS (SELECT * FROM age WHERE civilization IS NOT NULL)")
-        + "SELECT * FROM (PIVOT sel ON activity USING first(avg_time_mins) GROUP BY civilization)",
+        "age_matrix": O.with_(*base, O.AGE)
+        + "SELECT civilization, "
+        + ", ".join(f"MAX(avg_time_mins) FILTER (WHERE activity = '{a}') AS \"{a}\"" for a in AGE_ACTIVITIES)
+        + " FROM age WHERE civilization IS NOT NULL GROUP BY civilization",
         "opening_sequences": O.with_(*base, O.PMR, O.openings_cte(100))
         + "SELECT elo, " + O.short("player_id", 8) + " AS player_id, " + O.short("match_id", 10)
         + " AS match_id, win = 1 AS win, civilization, civilization_category, map_type, strategy, "

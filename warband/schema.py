@@ -2,6 +2,7 @@
 
 from pyspark.sql import types as T
 
+# Column names and order of both layers.
 # Bronze column order: the preferred attribute columns first; every other attribute key
 # lands in ``attrs``.
 BRONZE_COLUMNS = [

@@ -73,3 +73,22 @@ def bronze_from_events(events: DataFrame, nation: DataFrame, region: DataFrame)
 def load_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bronze_from_events(load_table(spark, sf_dir, "events"), load_table(spark, sf_dir, "nation"),
                               load_table(spark, sf_dir, "region"))
+
+
+def traces_from_bronze(bronze: DataFrame) -> DataFrame:
+    """The same log as XES text: one ``xml`` row per match, events in order of their index."""
+    def attr(tag: str, key: str, value):
+        text = value.cast("string")
+        for raw, escaped in (("&", "&amp;"), ("<", "&lt;"), ('"', "&quot;")):
+            text = F.replace(text, F.lit(raw), F.lit(escaped))
+        return F.coalesce(F.concat(F.lit(f'<{tag} key="{key}" value="'), text, F.lit('"/>')), F.lit(""))
+
+    stamp = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+    event = F.concat(F.lit("<event>"), attr("string", "concept:name", F.col("activity")), attr("date", "time:timestamp", stamp),
+                     attr("string", "win", F.col("win")), attr("string", "amount", F.col("amount")),
+                     attr("int", "@@index", F.col("`@@index`")), attr("int", "@@case_index", F.col("`@@case_index`")), F.lit("</event>"))
+    own = ["case_id", "match_id", "player_id", "map_type", "civilization", "civilization_category", "strategy", "elo"]
+    head = F.concat(*[attr("string", "concept:name" if c == "case_id" else c, F.col(c)) for c in own])
+    return (bronze.select(*own, F.struct(F.col("`@@index`").cast("bigint").alias("i"), event.alias("xml")).alias("e"))
+            .groupBy(*own).agg(F.sort_array(F.collect_list("e")).alias("es"))       # bounded by one match
+            .select(F.concat(F.lit("<trace>"), head, F.array_join(F.transform("es", lambda e: e["xml"]), ""), F.lit("</trace>")).alias("xml")))

@@ -11,7 +11,7 @@ Attribute rules: event ``concept:name`` (string) is the activity, the event's ``
 attributes of the same key. Within one element the later duplicate wins; across element
 types the order is string < float < int. Every trace attribute applies to every event of
 its trace, wherever it appears in the trace. A missing ``@@index`` falls back to the
-event's position within its trace.
+event's position within its trace. Malformed XML in a trace and files without an end tag raise.
 """
 
 from __future__ import annotations
@@ -64,12 +64,27 @@ def xes_glob(path: str) -> str:
 
 
 def fragments(raw: DataFrame) -> DataFrame:
-    """Cut text records (ending before ``</trace>``) to their ``<trace …>…</trace>`` part."""
-    start = F.instr("value", "<trace")
-    prefixed = F.col("value").rlike(r"<[A-Za-z_][A-Za-z0-9_.-]*:trace[\s>]")
-    frag = F.when(prefixed, F.raise_error(F.lit("namespace-prefixed XES tags are not supported"))) \
-        .when(start > 0, F.concat(F.expr("substring(value, instr(value, '<trace'))"), F.lit("</trace>")))
-    return raw.select(frag.alias("xml")).where(F.col("xml").isNotNull())
+    """Cut text records (ending before ``</trace>``) to their ``<trace …>…</trace>`` part.
+
+    Comments and CDATA sections are cut out first, then traces closed in their own tag (they hold no events).
+    Traces do not nest, so what is left holds at most one opening tag. A comment or CDATA section that
+    itself holds a trace end tag splits a record in two; its first half is left open, which raises.
+    """
+    value = F.regexp_replace("value", r"(?s)<!--.*?-->|<!\[CDATA\[.*?\]\]>", "")
+    value = F.regexp_replace(value, r"<trace(?:\s(?:[^>\"']|\"[^\"]*\"|'[^']*')*)?/>", "")
+    bad = (F.when(F.col("v").rlike(r"<[A-Za-z_][A-Za-z0-9_.-]*:trace[\s>]"), F.lit("namespace-prefixed XES tags are not supported"))
+           .when(F.col("v").rlike(r"<!--|<!\[CDATA\["), F.lit("a comment or CDATA section is not closed within its trace")))
+    found = F.regexp_extract("v", r"(?s)<trace[\s>].*", 0)
+    frag = F.when(bad.isNotNull(), F.raise_error(bad)).when(found != "", F.concat(found, F.lit("</trace>")))
+    return raw.select(value.alias("v")).select(frag.alias("xml")).where(F.col("xml").isNotNull())
+
+
+def check_complete(raw: DataFrame) -> None:
+    """Raise when a file has no end of its log: it was cut off, and its last trace with it."""
+    ended = F.max(F.col("value").rlike(r"</(?:[\w.-]+:)?log\s*>|<(?:[\w.-]+:)?log(?:\s[^>]*)?/>"))
+    cut = raw.groupBy(F.col("_metadata.file_path").alias("file")).agg(ended.alias("ended")).where("not ended").select("file").head(3)
+    if cut:
+        raise ValueError("log files without an end tag (cut off?): " + ", ".join(r["file"] for r in cut))
 
 
 def trace_fragments(spark: SparkSession, path: str) -> DataFrame:
@@ -78,6 +93,7 @@ def trace_fragments(spark: SparkSession, path: str) -> DataFrame:
         raw = spark.read.option("lineSep", "</trace>").text(xes_glob(path))
     except AnalysisException as exc:
         raise FileNotFoundError(f"No .xes files found in {path}") from exc
+    check_complete(raw)
     return fragments(raw)
 
 
@@ -92,7 +108,7 @@ def events_of_fragments(frags: DataFrame) -> DataFrame:
     The trace-attribute map is built once per trace; each event folds only its own entries.
     A column takes the trace's value when the trace has that key, else the event's.
     """
-    traces = frags.select(F.from_xml("xml", TRACE_SCHEMA).alias("t"))
+    traces = frags.select(F.from_xml("xml", TRACE_SCHEMA, {"mode": "FAILFAST"}).alias("t"))
     t = F.col("t")
     trace_entries = F.concat(_entries(t["string"]), _entries(t["float"]), _entries(t["int"]))
     events = (traces.select(_last_wins_map(trace_entries).alias("_tm"), _last_value(t["string"], _NAME).alias("_case"),
