@@ -10,10 +10,10 @@ Two sets link when their Jaccard distance is at most ε. The space is divided in
 2. *Small cells* list their pairs, of which the cells of all shingles together keep each once; sizes (distance to the
    empty set) and a histogram over 256 shingle classes bound the distance from below and drop nearly all others before
    sets are fetched and compared. A large cell is first compared with one pivot of its own in the same way.
-3. *Large cells* whose sets do not hang together by then join recursively: a set not yet in a region becomes a pivot, takes the sets within ε as its
-   Voronoi region, and so on. Regions of pivots farther apart than 3ε hold no pair; between others only
-   members within 2ε of the other pivot, the boundary, are compared, and not at all once the regions
-   hang together. One link per region member is returned, not all pairs.
+3. *Large cells* not settled by that join recursively, cells of one pivot together: a set not yet in a region
+   becomes a pivot, takes the sets within ε as its Voronoi region, and so on. Only sets within 2ε of another
+   region's pivot, the boundary, can link into it; each is compared once more, unless the regions hang together
+   by then. Links that join nothing new are not returned.
 
 Every bound is the triangle inequality or an exact counting bound, so no link is lost and the
 components are exact. Shingles and sets are known by 64-bit hashes.
@@ -135,17 +135,12 @@ def region_links(values: np.ndarray, offsets: np.ndarray, num: int = NUM, den: i
     if len(pivots) > 1:
         d = np.stack(dist)
         slack = 1e-5
-        for i, j in zip(*np.nonzero(np.triu(d[:, pivots] <= 3 * eps + slack, 1))):
-            if find(pivots[i]) == find(pivots[j]):
-                continue
-            left = np.flatnonzero((region == i) & (d[j] <= 2 * eps + slack))
-            right = np.flatnonzero((region == j) & (d[i] <= 2 * eps + slack))
-            small, other = (left, right) if len(left) <= len(right) else (right, left)
-            for x in small.tolist():
-                hit = other[linked(meet(x)[other], size[other], size[x], num, den)]
-                if len(hit):
-                    join(x, int(hit[0]))
-                    break
+        # a set linked into another region lies within 2ε of that region's pivot
+        for x in np.flatnonzero((d <= 2 * eps + slack).sum(axis=0) > 1).tolist():
+            tops = {find(pivots[j]) for j in np.flatnonzero(d[:, x] <= 2 * eps + slack).tolist()}
+            if tops - {find(x)}:
+                for y in np.flatnonzero(linked(meet(x), size, size[x], num, den)).tolist():
+                    join(x, y)
     return np.array(a, np.int64), np.array(b, np.int64)
 
 
@@ -259,13 +254,16 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
              .mapInArrow(compared, "a bigint, b bigint"))
     links = materialize(exact, "pair-links")
 
-    # a large cell whose sets already hang together holds no link that could matter
-    so_far = components(links)
-    member = large.join(so_far, "node", "left").select("cell", "node", F.coalesce("component", "node").alias("part"))
-    mixed = materialize(member.groupBy("cell").agg(F.min("part").alias("lo"), F.max("part").alias("hi"), F.count("*").alias("m"))
-                        .where("lo <> hi").select("cell", "m"), "mixed-cells")
+    # a large cell whose sets all link with its pivot holds no other link that could matter; the others are
+    # joined per pivot, as cells of one pivot hold mostly the same sets
+    aimed = large.join(pivot.select("cell", F.col("p.node").alias("a")), "cell").where("node <> a")
+    hit = links.withColumnRenamed("b", "node").withColumn("hit", F.lit(1))
+    mixed = materialize(aimed.join(hit, ["a", "node"], "left").groupBy("cell", "a").agg(F.count("hit").alias("hits"), F.count("*").alias("others"))
+                        .where("hits < others").select("cell", "a"), "mixed-cells")
+    groups = materialize(large.join(mixed, "cell").select(F.col("a").alias("cell"), "node").distinct(), "mixed-groups")
+    size_of = materialize(groups.groupBy("cell").agg(F.count("*").alias("m")), "group-sizes")
     blocks = F.ceil(F.col("m") / BLOCK).cast("int")
-    many = (large.join(mixed, "cell").withColumn("blocks", blocks)
+    many = (groups.join(size_of, "cell").withColumn("blocks", blocks)
             .withColumn("mine", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
             .select("cell", "node", "mine", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
             .select("cell", "node", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j")))
