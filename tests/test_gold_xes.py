@@ -4,10 +4,9 @@ import os
 
 import duckdb
 import pytest
-from pyspark.sql import functions as F
 
-from tests.conftest import REF_XES
 from tests.test_ingest import _split_edge_log
+from tests.xes_samples import HEADER, attr, event, iso, trace, write_log
 from tools.oracle_check import rows_of
 from warband import oracle as O
 from warband.plans import gold
@@ -84,26 +83,34 @@ def test_edge_semantics(edge):
 
 
 @pytest.fixture(scope="module")
-def fixture_silver(spark):
-    if not os.path.exists(REF_XES):
-        pytest.skip("fixture not present")
-    return events_clean(read_xes(spark, REF_XES))
-
-
-def test_fixture_golden(fixture_silver):
-    s = fixture_silver
-    apm = sorted(r.apm for r in gold.apm(s).collect())
-    assert apm == sorted([4.1, 3.1, 2.9, 4.5, 3.9, 3.5, 3.1, 2.9, 5.1, 2.9, 3.7, 4.6])
-    assert gold.openings(s).count() == 920
-    assert gold.player_summary(s).count() == 12
-    assert gold.winrate_civ(s).count() == 11
-    strat = {r.strategy: (r.winrate, r.total_games) for r in gold.winrate_strat(s).collect()}
-    assert strat == {"Unknown": (2 / 3, 3), "drush": (2 / 3, 3), "scout_rush": (0.0, 3),
-                     "fast_castle": (0.0, 2), "archer_rush": (1.0, 1)}
-    raw = (s.where(F.lower("activity").rlike("(?<![0-9a-z_])age(?![0-9a-z_])"))
-           .groupBy("civilization", "activity").agg((F.avg("seconds_since_start") / 60).alias("m")))
-    means = {(r.civilization, r.activity.split()[1]): r.m for r in raw.collect()}
-    assert len(means) == 18
-    assert means[("Bengalis", "Feudal")] == pytest.approx(11.33815, abs=1e-6)
-    assert means[("Slavs", "Castle")] == pytest.approx(23.94375, abs=1e-6)
-    assert means[("Teutons", "Feudal")] == pytest.approx(10.4195, abs=1e-6)
+def golden(spark, tmp_path_factory):
+    """Six matches whose figures are known by construction: match k has 10·k events, 30 s apart."""
+    from datetime import datetime
+    b = datetime(2024, 5, 1)
+    folder = str(tmp_path_factory.mktemp("golden"))
+    traces = []
+    for k in range(1, 7):
+        attrs = [attr("string", "match_id", f"m{k}"), attr("string", "player_id", f"p{k % 3}"), attr("string", "map_type", "Arena"),
+                 attr("string", "civilization", "Franks" if k % 2 else "Celts"), attr("string", "civilization_category", "Cavalry"),
+                 attr("string", "strategy", "drush" if k < 4 else "Unknown"), attr("float", "elo", str(1000.0 + k))]
+        acts = {3: "Upgrade Feudal Age", 9: "Upgrade Castle Age"}
+        traces.append(trace(f"c{k}", attrs, [event(acts.get(i, "Queue Villager"), iso(b, 30 * i), index=i, win=str(k % 2)) for i in range(10 * k)]))
+    write_log(folder, "g.xes", HEADER + "".join(traces) + "</log>\n")
+    return events_clean(read_xes(spark, folder))
+
+
+def test_golden_log(golden):
+    s = golden
+    assert s.count() == 210
+    apm = {r.match_id: r.apm for r in gold.apm(s).collect()}
+    assert apm == {f"m{k}": min(10 * k, 21) * 60 / 600 for k in range(1, 7)}         # events at 0, 30, …, 600 s
+    assert gold.openings(s, top_n=25).count() == 10 + 20 + 25 * 4
+    ages = {(r.civilization, r.activity): r.avg_time_mins for r in gold.age_timings(s).collect()}
+    assert ages == {(c, a): m for c in ("Franks", "Celts") for a, m in (("Upgrade Feudal Age", 1.5), ("Upgrade Castle Age", 4.5))}
+    civ = {r.civilization: (r.winrate, r.total_games, r.playrate) for r in gold.winrate_civ(s).collect()}
+    assert civ == {"Franks": (1.0, 3, 0.5), "Celts": (0.0, 3, 0.5)}
+    strat = {r.strategy: (r.winrate, r.total_games, r.civilizations) for r in gold.winrate_strat(s).collect()}
+    assert strat == {"drush": (2 / 3, 3, "Celts, Franks"), "Unknown": (1 / 3, 3, "Celts, Franks")}
+    summary = {r.player_id: (r.max_elo, r.total_matches, r.total_wins, r.used_strategies) for r in gold.player_summary(s).collect()}
+    assert summary == {"p0": (1006.0, 2, 1, "Unknown - 1, drush - 1"), "p1": (1004.0, 2, 1, "Unknown - 1, drush - 1"),
+                       "p2": (1005.0, 2, 1, "Unknown - 1, drush - 1")}

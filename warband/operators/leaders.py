@@ -41,20 +41,22 @@ def leader_rounds(buckets: DataFrame, max_rounds: int | None = None) -> tuple[Da
         rounds += 1
         if max_rounds is not None and rounds > max_rounds:
             raise RuntimeError(f"leader selection did not settle in {max_rounds} rounds")
-        bmin = und.groupBy("band", "bucket").agg(F.min("sid").alias("_m"))
+        # stored first: as an aggregate below the join it would be partitioned by the bucket already, and a
+        # hot bucket's rows could not be split over tasks
+        bmin = materialize(und.groupBy("band", "bucket").agg(F.min("sid").alias("_m")), "bucket-minima")
         new_leaders = materialize(
             und.join(bmin, ["band", "bucket"]).groupBy("sid")
             .agg(F.bool_and(F.col("_m") == F.col("sid")).alias("_ok")).where("_ok").select("sid"),
             "leaders")
         found.append(new_leaders)
-        lead_buckets = und.join(new_leaders, "sid", "left_semi").select("band", "bucket").distinct()
+        lead_buckets = materialize(und.join(new_leaders, "sid", "left_semi").select("band", "bucket").distinct(), "leader-buckets")
         # every undecided sequence sharing a bucket with a new leader (the leaders included)
         decided = und.join(lead_buckets, ["band", "bucket"], "left_semi").select("sid").distinct()
         und, m = materialize_observed(und.join(decided, "sid", "left_anti"), "leader-open", rows=F.count("*"))
     leaders = found[0] if found else und.select("sid")
     for part in found[1:]:
         leaders = leaders.unionByName(part)
-    return leaders, rounds
+    return (materialize(leaders, "all-leaders") if rounds > 1 else leaders), rounds
 
 
 def leader_groups(buckets: DataFrame, weights: DataFrame, max_rounds: int | None = None) -> DataFrame:
@@ -67,7 +69,7 @@ def leader_groups(buckets: DataFrame, weights: DataFrame, max_rounds: int | None
     """
     leaders, _ = leader_rounds(buckets, max_rounds)
     bk = buckets.select("sid", "band", "bucket")
-    lead_b = bk.join(leaders, "sid").select("band", "bucket", F.col("sid").alias("leader"))
-    members = bk.join(lead_b, ["band", "bucket"]).select("leader", "sid").distinct()
+    lead_b = materialize(bk.join(leaders, "sid").select("band", "bucket", F.col("sid").alias("leader")), "leaders-of-buckets")
+    members = materialize(bk.join(lead_b, ["band", "bucket"]).select("leader", "sid").distinct(), "group-members")
     sizes = members.join(weights, "sid").groupBy("leader").agg(F.sum("weight").alias("_w"))
     return members.join(sizes.where(F.col("_w") > 1).select("leader"), "leader")

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from warband.functions.indel import indel_similarity
+from warband.session import materialize
 
 
 def avg_pairwise_cosine(members: DataFrame, vectors: DataFrame, ckey: str = "ckey") -> DataFrame:
@@ -44,6 +45,7 @@ def medoid(members: DataFrame, vectors: DataFrame, ckey: str = "ckey") -> DataFr
     mv = members.join(vectors, "sid")
     cent = (mv.groupBy(ckey, "gram").agg(F.sum(F.col("weight") * F.col("cnt")).alias("_wc"))
             .join(total, ckey).select(ckey, "gram", (F.col("_wc") / F.col("_W")).alias("_c")))
+    cent = materialize(cent, "centroids")    # stored: a gram of all members of a big group can then be split over tasks
     c2 = cent.groupBy(ckey).agg(F.sum(F.col("_c") * F.col("_c")).alias("_c2"))
     xc = (mv.join(cent, [ckey, "gram"]).groupBy(ckey, "sid")
           .agg(F.sum(F.col("cnt") * F.col("_c")).alias("_xc"), F.sum(F.col("cnt") * F.col("cnt")).alias("_x2")))

@@ -12,6 +12,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from warband.functions.casts import short_id
+from warband.session import materialize
+
+MAX_ACTIVITIES = 2_000
 
 OPENING_KEYS = ["elo", "player_id", "match_id", "win", "civilization", "civilization_category",
                 "map_type", "strategy"]
@@ -46,11 +49,13 @@ def age_matrix(age_timings: DataFrame, civs=None) -> DataFrame:
 
     Columns are ordered by their mean over civilizations, ascending. A pivot needs its
     column names at plan time; they come from a one-row-per-activity aggregate of the
-    (already tiny) gold table — the number of matching activity names, not the data size.
+    stored gold rows. At most ``MAX_ACTIVITIES`` names make a table of columns; more raise.
     """
-    rows = age_timings.where(_civ_filter("civilization", civs))
+    rows = materialize(age_timings.where(_civ_filter("civilization", civs)), "age-timings")   # read twice, computed once
     order = (rows.groupBy("activity").agg(F.avg("avg_time_mins").alias("m"))
-             .orderBy(F.asc_nulls_last("m"), "activity").collect())
+             .orderBy(F.asc_nulls_last("m"), "activity").limit(MAX_ACTIVITIES + 1).collect())
+    if len(order) > MAX_ACTIVITIES:
+        raise ValueError(f"more than {MAX_ACTIVITIES} age activities: use age_timings, the long form")
     names = [r["activity"] for r in order]
     return rows.groupBy("civilization").pivot("activity", names).agg(F.first("avg_time_mins"))
 

@@ -107,7 +107,8 @@ def candidate_groups(seqs: DataFrame, ngram_n: int = 3, num_perm: int = 128,
     sigs = seqs.select("sid", signature(action_shingles("actions", ngram_n), num_perm).alias("sig"))
     bands, rows = band_layout(lsh_threshold, num_perm)
     buckets = materialize(band_buckets(sigs, ["sid"], "sig", bands, rows), "buckets")
-    return leader_groups(buckets, seqs.select("sid", "weight")).select(F.col("leader").alias("g"), "sid")
+    groups = leader_groups(buckets, seqs.select("sid", "weight")).select(F.col("leader").alias("g"), "sid")
+    return materialize(groups, "candidate-groups")
 
 
 def cluster_statistics(labels: DataFrame, seqs: DataFrame, rows_sid: DataFrame, vectors: DataFrame,
@@ -120,7 +121,6 @@ def cluster_statistics(labels: DataFrame, seqs: DataFrame, rows_sid: DataFrame,
     avg_levenshtein, all 0–1.
     """
     labels = labels.select(F.struct("g", "label").alias("ckey"), "sid")
-    members = labels.join(seqs.select("sid", "weight"), "sid")
     # Row-level statistics in two partial aggregations: per (cluster, player), then per cluster.
     per_player = (labels.join(rows_sid.select("sid", "player_id", "win"), "sid")
                   .groupBy("ckey", "player_id")
@@ -128,13 +128,14 @@ def cluster_statistics(labels: DataFrame, seqs: DataFrame, rows_sid: DataFrame,
     per_cluster = per_player.groupBy("ckey").agg(
         F.sum("_n").alias("num_matches"), F.max("_n").alias("_top"), F.count("*").alias("num_players"),
         F.try_divide(F.sum("_ws").cast("double"), F.sum("_wc")).alias("winrate"))
-    kept = per_cluster.where((F.col("num_matches") >= min_samples)
-                             & (F.col("_top") >= min_matches_per_player)).drop("_top")
-    members = members.join(kept.select("ckey"), "ckey")
+    kept = materialize(per_cluster.where((F.col("num_matches") >= min_samples)
+                                         & (F.col("_top") >= min_matches_per_player)).drop("_top"), "kept-clusters")
+    members = materialize(labels.join(seqs.select("sid", "weight"), "sid").join(kept.select("ckey"), "ckey"), "cluster-members")
 
     reps = medoid(members, vectors).join(
         seqs.select(F.col("sid").alias("rep_sid"), F.col("actions").alias("rep_actions"),
                     F.col("build_order_seq").alias("rep_seq")), "rep_sid")
+    reps = materialize(reps, "representatives")
     seq_cols = seqs.select("sid", "actions", "build_order_seq")
     sims = (avg_against_representative(members, seq_cols, reps) if with_indel
             else avg_jaccard(members, seq_cols, reps))
@@ -171,10 +172,19 @@ def unknown_clusters(openings: DataFrame, ngram_n: int = 3, num_perm: int = 128,
                       "num_players", "avg_ngram", "avg_jaccard", "avg_levenshtein")
 
 
-def publish_clusters(spark: SparkSession, clusters: DataFrame, table: str = "gold.clustered_unknown_strategies") -> bool:
-    """Replace the cluster table only when there is at least one cluster."""
+def publish_clusters(spark: SparkSession, clusters: DataFrame, table: str = "gold.clustered_unknown_strategies",
+                     path: str | None = None) -> bool:
+    """Replace the cluster table only when there is at least one cluster.
+
+    With ``path`` the clusters are written to that folder instead of a catalog table. The clusters are
+    computed once, into the scratch folder, before they are tested and published.
+    """
+    clusters = materialize(clusters, "clusters-to-publish")
     if clusters.isEmpty():
         return False
+    if path:
+        clusters.write.mode("overwrite").parquet(path)
+        return True
     db = table.split(".")[0] if "." in table else None
     if db:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")

@@ -161,3 +161,14 @@ def run_metrics(spark: SparkSession, silver_table: str, database: str = "gold")
         frame.write.mode("overwrite").saveAsTable(f"{database}.{name}")
         written.append(name)
     return written
+
+
+def write_gold(silver: DataFrame, path: str) -> list[str]:
+    """G9 without a catalog: every gold table as a parquet folder under ``path``, old versions replaced."""
+    spark = silver.sparkSession
+    base = path.rstrip("/")
+    player_match_results(silver).write.mode("overwrite").parquet(f"{base}/player_match_results")
+    frames = gold_frames(silver, spark.read.parquet(f"{base}/player_match_results"))
+    for name in GOLD_TABLES[1:]:
+        frames[name].write.mode("overwrite").parquet(f"{base}/{name}")
+    return list(GOLD_TABLES)

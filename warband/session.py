@@ -63,10 +63,23 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    _WRITTEN.append(path)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
 
+_WRITTEN: list[str] = []
+
+
+def drop_scratch(spark: SparkSession) -> int:
+    """Delete the intermediate tables this process wrote, once no result that reads them is needed; their number."""
+    jvm, n = spark.sparkContext._jvm, 0
+    while _WRITTEN:
+        path = jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+        n += bool(path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True))
+    return n
+
+
 def materialize_observed(df: DataFrame, label: str, **metrics) -> tuple[DataFrame, dict]:
     """``materialize`` that also returns aggregate ``metrics`` (name → Column) of the rows
     written, collected by the same job (``DataFrame.observe``) instead of a second pass."""
