@@ -5,8 +5,9 @@ import pytest
 import __spark_entry__ as E
 from tests.conftest import SF01
 from tools.oracle_check import compare, duck
+from warband.registry import oracle_queries, spark_queries
 
-ORACLE = E.oracle_sql()
+ORACLE = oracle_queries()
 
 
 @pytest.fixture(scope="module")
@@ -15,9 +16,8 @@ def con():
 
 
 def test_every_query_has_an_oracle_or_is_listed():
-    rows_only = {"known_variation", "unknown_clusters", "unknown_clusters_default",
-                 "cluster_summary", "indel_similarity"}
-    assert set(E.queries()) - set(ORACLE) <= rows_only
+    assert set(spark_queries()) - set(ORACLE) == {"unknown_clusters_default"}
+    assert set(spark_queries()) <= set(E.queries()) and set(ORACLE) <= set(E.oracle_sql())
 
 
 @pytest.mark.parametrize("key", sorted(ORACLE))

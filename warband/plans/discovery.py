@@ -143,11 +143,11 @@ def cluster_statistics(labels: DataFrame, seqs: DataFrame, rows_sid: DataFrame,
             .join(avg_pairwise_cosine(members, vectors), "ckey").join(sims, "ckey"))
 
 
-def unknown_clusters(openings: DataFrame, ngram_n: int = 3, num_perm: int = 128,
+def unknown_cluster_rows(openings: DataFrame, ngram_n: int = 3, num_perm: int = 128,
                      lsh_threshold: float = 0.5, dbscan_eps: float = 0.3, dbscan_min_samples: int = 50,
                      min_matches_per_player: int = 2, char_n: int | None = None,
                      block_size: int = 512) -> DataFrame:
-    """Recurring unnamed openings.
+    """Recurring unnamed openings, with the natural keys they are known by.
 
     MinHash-LSH candidate groups → DBSCAN per group on char n-gram cosine distance →
     clusters with at least ``dbscan_min_samples`` rows and one player using them at least
@@ -163,13 +163,22 @@ def unknown_clusters(openings: DataFrame, ngram_n: int = 3, num_perm: int = 128,
     labels = dbscan(groups, dbscan_points(seqs, vectors), dbscan_eps, dbscan_min_samples, block_size)
     labels = materialize(labels, "clusters")
     out = cluster_statistics(labels, seqs, rows_sid, vectors, dbscan_min_samples, min_matches_per_player)
-    # The id hashes the natural keys of the group leader's and the first core's first rows, so it
-    # does not depend on how the internal sequence ids were assigned.
     first = seqs.select("sid", "first_row")
-    out = (out.join(first.select(F.col("sid").alias("_g"), F.col("first_row").alias("_gk")), F.col("ckey.g") == F.col("_g"))
-           .join(first.select(F.col("sid").alias("_l"), F.col("first_row").alias("_lk")), F.col("ckey.label") == F.col("_l")))
-    return out.select(F.xxhash64("_gk", "_lk").alias("cluster_id"), "num_matches", "winrate",
-                      "num_players", "avg_ngram", "avg_jaccard", "avg_levenshtein")
+    out = (out.join(first.select(F.col("sid").alias("_g"), F.col("first_row").alias("group_first")), F.col("ckey.g") == F.col("_g"))
+           .join(first.select(F.col("sid").alias("_l"), F.col("first_row").alias("cluster_first")), F.col("ckey.label") == F.col("_l")))
+    return out.select("group_first", "cluster_first", "num_matches", "winrate", "num_players", "avg_ngram", "avg_jaccard",
+                      "avg_levenshtein")
+
+
+def unknown_clusters(openings: DataFrame, **params) -> DataFrame:
+    """U17 as published: ``unknown_cluster_rows`` under one id.
+
+    The id hashes the first rows of the group's leader and of the first core, so it does not depend on
+    how the internal sequence ids were assigned.
+    """
+    return unknown_cluster_rows(openings, **params).select(
+        F.xxhash64("group_first", "cluster_first").alias("cluster_id"), "num_matches", "winrate", "num_players", "avg_ngram",
+        "avg_jaccard", "avg_levenshtein")
 
 
 def publish_clusters(spark: SparkSession, clusters: DataFrame, table: str = "gold.clustered_unknown_strategies",

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from warband import oracle as O
+from warband.functions.indel import indel_similarity
 from warband.operators.dbscan import dbscan
 from warband.operators.minhash import band_buckets, band_layout, signature
 from warband.operators.sequences import (UNKNOWN_KEYS, action_shingles, char_ngrams, known_sequences,
@@ -198,16 +199,34 @@ def _q_modal_sequences(spark, sf_dir):
     return modal_sequence(known_sequences(openings_of(spark, sf_dir)), "strategy", ["match_id", "player_id"])
 
 
+def _q_indel_to_modal(spark, sf_dir):
+    """Indel similarity of every distinct named build order to its strategy's most common one."""
+    seqs, members, reps = discovery.known_members(openings_of(spark, sf_dir))
+    rows = members.join(seqs.select("sid", "build_order_seq"), "sid").join(reps.select("ckey", "rep_seq"), "ckey")
+    return rows.select(F.col("ckey").alias("strategy"), "build_order_seq",
+                       F.round(indel_similarity(F.col("build_order_seq"), F.col("rep_seq")), 6).alias("indel"))
+
+
 def _q_known_variation(spark, sf_dir):
-    return discovery.known_variation(openings_of(spark, sf_dir), CHAR_N)
+    out = discovery.known_variation(openings_of(spark, sf_dir), CHAR_N)
+    return out.select("strategy", "num_matches", *[F.round(c, 4).alias(c) for c in ("avg_jaccard", "avg_ngram", "avg_levenshtein")])
+
+
+def _cluster_rows(spark, sf_dir, **params):
+    """Clusters under the first rows of their group and first core: a 64-bit id cannot be written in SQL."""
+    out = discovery.unknown_cluster_rows(openings_of(spark, sf_dir), **params)
+    return out.select(F.col("group_first.match_id").alias("group_match_id"), F.col("group_first.player_id").alias("group_player_id"),
+                      F.col("cluster_first.match_id").alias("cluster_match_id"), F.col("cluster_first.player_id").alias("cluster_player_id"),
+                      "num_matches", "winrate", "num_players",
+                      *[F.round(c, 6).alias(c) for c in ("avg_ngram", "avg_jaccard", "avg_levenshtein")])
 
 
 def _q_unknown_clusters(spark, sf_dir):
-    return discovery.unknown_clusters(openings_of(spark, sf_dir), **DISCOVERY_TEST)
+    return _cluster_rows(spark, sf_dir, **DISCOVERY_TEST)
 
 
 def _q_unknown_clusters_default(spark, sf_dir):
-    return discovery.unknown_clusters(openings_of(spark, sf_dir), **DISCOVERY_RUN)
+    return _cluster_rows(spark, sf_dir, **DISCOVERY_RUN)
 
 
 def _q_cluster_summary(spark, sf_dir):
@@ -249,6 +268,7 @@ def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "pairwise_cohesion": _q_pairwise_cohesion,
         "jaccard_to_modal": _q_jaccard_to_modal,
         "modal_sequences": _q_modal_sequences,
+        "indel_to_modal": _q_indel_to_modal,
         "known_variation": _q_known_variation,
         "unknown_clusters": _q_unknown_clusters,
         "unknown_clusters_default": _q_unknown_clusters_default,
@@ -355,6 +375,36 @@ def oracle_queries() -> dict[str, str]:
           f"r.civilization, r.map_type, r.win FROM members m JOIN kept USING (leader) "
           f"JOIN walk g ON g.rk = m.leader JOIN walk r ON r.rk = m.rk",
     }
+    clusters = (*op, O.UNKNOWN_ROWS, O.shingles_cte(DISCOVERY_TEST["ngram_n"]), O.signature_cte(DISCOVERY_TEST["ngram_n"], NUM_PERM),
+                O.leader_groups_sql(bands, rows),
+                O.dbscan_sql(DISCOVERY_TEST["dbscan_eps"], DISCOVERY_TEST["dbscan_min_samples"], DISCOVERY_TEST["char_n"]),
+                O.cluster_stats_sql(DISCOVERY_TEST["dbscan_min_samples"], DISCOVERY_TEST["min_matches_per_player"]),
+                O.CLUSTER_INDEL_PAIRS, O.indel_ctes("cl_pairs"), O.CLUSTER_INDEL)
+
+    def recursive(*ctes: str) -> str:
+        return O.with_(*ctes).replace("WITH ", "WITH RECURSIVE ", 1)
+
+    disc |= {
+        "indel_to_modal": recursive(*op, O.KNOWN_ROWS, O.KNOWN_INDEL_PAIRS, O.indel_ctes("kn_pairs"))
+        + "SELECT DISTINCT k.strategy, k.build_order_seq, ROUND(n.ratio, 6) AS indel FROM kn k JOIN modal m USING (strategy) "
+          "JOIN indel n ON n.a = k.build_order_seq AND n.b = m.rep_seq",
+        "known_variation": recursive(*op, O.KNOWN_ROWS, O.grams_cte("kn_grams", "kn", "strategy, match_id, player_id", CHAR_N),
+                                     O.PAIRWISE_KNOWN, O.KNOWN_INDEL_PAIRS, O.indel_ctes("kn_pairs"))
+        + "SELECT k.strategy, COUNT(*) AS num_matches, "
+          "ROUND(100 * AVG(CAST(len(list_intersect(list_distinct(k.acts), list_distinct(m.rep_acts))) AS DOUBLE)"
+          " / len(list_distinct(list_concat(k.acts, m.rep_acts)))), 4) AS avg_jaccard, "
+          "ROUND(100 * ANY_VALUE(CASE WHEN c.n > 1 THEN COALESCE(s.s, 0) / (c.n * (c.n - 1) / 2.0) ELSE 1.0 END), 4) AS avg_ngram, "
+          "ROUND(100 * AVG(n.ratio), 4) AS avg_levenshtein "
+          "FROM kn k JOIN modal m USING (strategy) JOIN kn_count c USING (strategy) LEFT JOIN kn_cos s USING (strategy) "
+          "JOIN indel n ON n.a = k.build_order_seq AND n.b = m.rep_seq GROUP BY k.strategy",
+        "unknown_clusters": recursive(*clusters)
+        + "SELECT g.match_id AS group_match_id, g.player_id AS group_player_id, l.match_id AS cluster_match_id, "
+          "l.player_id AS cluster_player_id, c.num_matches, c.winrate, c.num_players, c.avg_ngram, c.avg_jaccard, v.avg_levenshtein "
+          "FROM cstats c JOIN clev v USING (leader, label) JOIN walk g ON g.rk = c.leader JOIN walk l ON l.rk = c.label",
+        "cluster_summary": recursive(*clusters)
+        + "SELECT num_matches, num_players, ROUND(winrate, 2) AS winrate, avg_ngram, avg_jaccard, avg_levenshtein "
+          "FROM cstats JOIN clev USING (leader, label)",
+    }
     out = dict(out_base)
     out.update(disc)
     return out
