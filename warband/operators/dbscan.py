@@ -29,11 +29,14 @@ from warband.session import checkpoint_dir, materialize, materialize_observed
 _PAIR_COLS = ["gk", "g", "bi", "bj", "blk", "sid", "weight", "grams", "cnts"]
 
 
-def _matrix(pdf: pd.DataFrame, vocab: dict) -> np.ndarray:
-    m = np.zeros((len(pdf), len(vocab)))
-    for r, (gs, cs) in enumerate(zip(pdf["grams"], pdf["cnts"])):
-        for gram, c in zip(gs, cs):
-            m[r, vocab[gram]] = c
+def _unit_rows(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Dense unit vectors of all rows over the grams that occur in them, and which rows are not zero."""
+    sizes = pdf["grams"].map(len).to_numpy()
+    m = np.zeros((len(pdf), 1))
+    if sizes.sum():
+        _, col = np.unique(np.concatenate(pdf["grams"].to_list()), return_inverse=True)
+        m = np.zeros((len(pdf), col.max() + 1))
+        m[np.repeat(np.arange(len(pdf)), sizes), col] = np.concatenate(pdf["cnts"].to_list())
     nrm = np.linalg.norm(m, axis=1)
     nz = nrm > 0
     m[nz] /= nrm[nz, None]
@@ -42,15 +45,13 @@ def _matrix(pdf: pd.DataFrame, vocab: dict) -> np.ndarray:
 
 def _blocks(pdf: pd.DataFrame):
     bi, bj = pdf["bi"].iat[0], pdf["bj"].iat[0]
-    x = pdf[pdf["blk"] == bi].reset_index(drop=True)
-    y = x if bi == bj else pdf[pdf["blk"] == bj].reset_index(drop=True)
-    vocab: dict = {}
-    for gs in pdf["grams"]:
-        for gram in gs:
-            vocab.setdefault(gram, len(vocab))
-    mx, nzx = _matrix(x, vocab)
-    my, nzy = (mx, nzx) if bi == bj else _matrix(y, vocab)
-    return bi == bj, x, y, mx, my, nzx, nzy
+    m, nz = _unit_rows(pdf)
+    blk = pdf["blk"].to_numpy()
+    i = np.flatnonzero(blk == bi)
+    j = i if bi == bj else np.flatnonzero(blk == bj)
+    x = pdf.iloc[i].reset_index(drop=True)
+    y = x if bi == bj else pdf.iloc[j].reset_index(drop=True)
+    return bi == bj, x, y, m[i], m[j], nz[i], nz[j]
 
 
 def _adjacency(mx, my, nzx, nzy, eps: float) -> np.ndarray:
@@ -136,26 +137,27 @@ def _border_kernel(eps: float):
     return _each_group(fn)
 
 
-def _pairs(members: DataFrame, points: DataFrame, block_size: int) -> DataFrame:
-    """Replicate each member to every block pair of its group that contains its block.
+def _assigned(members: DataFrame, block_size: int) -> DataFrame:
+    """(g, sid, gk, blk, nb): each member's task key, its block and its group's number of blocks.
 
-    Task key ``(gk, bi, bj)``: a group of ``block_size`` points or more keeps its own key and
-    is cut into hash blocks; smaller groups are packed into bins of about ``block_size`` rows
-    (one number — the rows in small groups — reaches the driver to size the bins), so tiny
-    groups do not cost one Python call each.
+    A group of ``block_size`` points or more keeps its own key and is cut into hash blocks; smaller groups
+    are packed into bins of about ``block_size`` rows (one number — the rows in small groups — reaches the
+    driver to size the bins), so tiny groups do not cost one Python call each.
     """
-    sizes = members.groupBy("g").agg(F.count("*").alias("_n"))
+    sizes = materialize(members.groupBy("g").agg(F.count("*").alias("_n")), "dbscan-sizes")
     small_rows = sizes.where(F.col("_n") < block_size).agg(F.sum("_n")).first()[0] or 0
     n_bins = max(1, -(-int(small_rows) // block_size))
     nb = F.greatest(F.ceil(F.col("_n") / F.lit(block_size)), F.lit(1)).cast("int")
     gk = F.when(F.col("_n") >= block_size, F.col("g")).otherwise(-1 - F.pmod(F.xxhash64("g"), F.lit(n_bins)))
-    m = (members.join(sizes, "g")
-         .withColumn("gk", gk)
-         .withColumn("blk", F.pmod(F.xxhash64("sid"), nb.cast("long")).cast("int"))
-         .withColumn("k", F.explode(F.sequence(F.lit(0), nb - 1)))
-         .withColumn("bi", F.least("blk", "k")).withColumn("bj", F.greatest("blk", "k"))
-         .drop("k", "_n"))
-    return m.join(points, "sid")
+    return members.join(sizes, "g").select("g", "sid", gk.alias("gk"), F.pmod(F.xxhash64("sid"), nb.cast("long")).cast("int").alias("blk"),
+                                           nb.alias("nb"))
+
+
+def _pairs(assigned: DataFrame, points: DataFrame) -> DataFrame:
+    """Each member copied to every block pair of its group that contains its block, task key ``(gk, bi, bj)``.
+    The copies exist in the shuffle of a pass only; what is stored are the assignments."""
+    return (assigned.join(points, "sid").withColumn("k", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
+            .withColumn("bi", F.least("blk", "k")).withColumn("bj", F.greatest("blk", "k")).drop("k", "nb"))
 
 
 def components(edges: DataFrame, nodes: DataFrame, max_rounds: int | None = None) -> DataFrame:
@@ -196,7 +198,8 @@ def dbscan(members: DataFrame, points: DataFrame, eps: float, min_samples: int,
     """
     checkpoint_dir(members.sparkSession)
     pts = points.select("sid", "weight", "grams", "cnts")
-    pairs = materialize(_pairs(members.select("g", "sid"), pts, block_size).select(*_PAIR_COLS), "dbscan-pairs")
+    assigned = materialize(_assigned(members.select("g", "sid"), block_size), "dbscan-members")
+    pairs = _pairs(assigned, pts).select(*_PAIR_COLS)
     keys = ["gk", "bi", "bj"]
     counts = (pairs.groupBy(*keys).applyInPandas(_count_kernel(eps), "g long, sid long, n double")
               .groupBy("g", "sid").agg(F.sum("n").alias("n")))
@@ -204,13 +207,12 @@ def dbscan(members: DataFrame, points: DataFrame, eps: float, min_samples: int,
                                     "dbscan-core", cores=F.count_if("core"))
     if m["cores"] == 0:
         return flags.where(F.lit(False)).select("g", "sid", F.lit(None).cast("long").alias("label"))
-    with_core = pairs.join(flags, ["g", "sid"])
-    forest = (with_core.where("core").groupBy(*keys)
+    flagged = materialize(assigned.join(flags, ["g", "sid"]), "dbscan-flags")
+    forest = (_pairs(flagged.where("core"), pts).groupBy(*keys)
               .applyInPandas(_forest_kernel(eps), "g long, u long, v long"))
     cores = flags.where("core").select("g", "sid")
     labels = components(forest, cores)
-    with_label = (with_core.join(cores.select("g").distinct(), "g", "left_semi")
-                  .join(labels, ["g", "sid"], "left"))
-    borders = (with_label.groupBy(*keys).applyInPandas(_border_kernel(eps), "g long, sid long, label long")
+    with_label = materialize(flagged.join(cores.select("g").distinct(), "g", "left_semi").join(labels, ["g", "sid"], "left"), "dbscan-labels")
+    borders = (_pairs(with_label, pts).groupBy(*keys).applyInPandas(_border_kernel(eps), "g long, sid long, label long")
                .groupBy("g", "sid").agg(F.min("label").alias("label")))
     return labels.unionByName(borders)

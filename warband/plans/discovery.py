@@ -92,13 +92,14 @@ def known_variation(openings: DataFrame, char_n: int = 3) -> DataFrame:
 
 
 def dbscan_points(seqs: DataFrame, vectors: DataFrame) -> DataFrame:
-    """(sid, weight, grams, cnts): each distinct sequence's n-gram counts as parallel arrays
-    (bounded by the text length), the input rows of the DBSCAN block kernels."""
-    points = (vectors.groupBy("sid").agg(F.array_sort(F.collect_list(F.struct("gram", "cnt"))).alias("_v"))
-              .select("sid", F.col("_v.gram").alias("grams"), F.col("_v.cnt").alias("cnts")))
-    return seqs.select("sid", "weight").join(points, "sid", "left").select(
-        "sid", "weight", F.coalesce("grams", F.array().cast("array<string>")).alias("grams"),
-        F.coalesce("cnts", F.array().cast("array<int>")).alias("cnts"))
+    """(sid, weight, grams, cnts): each distinct sequence's n-gram counts as parallel arrays of gram numbers and
+    counts (bounded by the text length), the input rows of the DBSCAN block kernels."""
+    number = materialize(vectors.select("gram").distinct().withColumn("no", F.monotonically_increasing_id()), "gram-numbers")
+    points = (vectors.join(number, "gram").groupBy("sid").agg(F.array_sort(F.collect_list(F.struct("no", "cnt"))).alias("_v"))
+              .select("sid", F.col("_v.no").alias("grams"), F.col("_v.cnt").alias("cnts")))
+    return materialize(seqs.select("sid", "weight").join(points, "sid", "left").select(
+        "sid", "weight", F.coalesce("grams", F.array().cast("array<bigint>")).alias("grams"),
+        F.coalesce("cnts", F.array().cast("array<int>")).alias("cnts")), "points")
 
 
 def candidate_groups(seqs: DataFrame, ngram_n: int = 3, num_perm: int = 128,
