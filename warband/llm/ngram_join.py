@@ -7,10 +7,11 @@ Two sets link when their Jaccard distance is at most ε. The space is divided in
    then by hash) breaks the ties. A linked pair misses so few shingles of each other that both lie in the cell of
    a common pivot among the first ``n − ⌈(1−ε)·n⌉ + 1`` of each: the window in which boundary sets
    are replicated. Cells with one set hold no pair and go.
-2. *Small cells* list their pairs, of which the cells of all shingles together keep each once; sizes (distance to the
-   empty set) and a histogram over 256 shingle classes bound the distance from below and drop nearly all others before
-   sets are fetched and compared. A large cell is first compared with one pivot of its own in the same way.
-3. *Large cells* not settled by that join recursively, cells of one pivot together: a set not yet in a region
+2. *Cells* are compared with one pivot of their own, one of their sets. Those that link with it hang together and need
+   no comparison among themselves. Pairs with a set that does not are listed in small cells, each once over all
+   cells. Before sets are fetched and compared, sizes (distance to the empty set) and a histogram over 256 shingle
+   classes bound the distance from below and drop nearly all pairs.
+3. *Large cells* not settled by their pivot join recursively, cells of one pivot together: a set not yet in a region
    becomes a pivot, takes the sets within ε as its Voronoi region, and so on. Only sets within 2ε of another
    region's pivot, the boundary, can link into it; each is compared once more, unless the regions hang together
    by then. Links that join nothing new are not returned.
@@ -33,6 +34,7 @@ from warband.session import materialize
 #: Links need 100 · intersection >= 85 · union.
 NUM, DEN = 85, 100
 SMALL_CELL = 128
+PART = 512
 BLOCK = 2_048
 BUCKET_BITS = 18
 CLASSES = 256
@@ -184,15 +186,12 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     count = materialize(inside.groupBy("cell").agg(F.count("*").alias("m")).where("m > 1"), "cell-sizes")
     inside = materialize(inside.join(count, "cell"), "cells")
 
-    few = inside.where(F.col("m") <= SMALL_CELL)
-    x, y = few.select("cell", F.col("node").alias("a"), F.col("n").alias("na")), few.select("cell", F.col("node").alias("b"), F.col("n").alias("nb"))
-    pairs = (x.join(y, "cell").where("a < b").where((F.col("na") * den >= F.col("nb") * num) & (F.col("nb") * den >= F.col("na") * num))
-             .select("a", "b").distinct())
-    large = inside.where(F.col("m") > SMALL_CELL).select("cell", "node", "n")
-    pivot = materialize(large.groupBy("cell").agg(F.min(F.struct("node", "n")).alias("p")), "cell-pivots")
-    stars = (large.join(pivot, "cell").select(F.col("p.node").alias("a"), F.col("node").alias("b"), F.col("p.n").alias("na"), F.col("n").alias("nb"))
-             .where("a < b").where((F.col("na") * den >= F.col("nb") * num) & (F.col("nb") * den >= F.col("na") * num)).select("a", "b").distinct())
-    pairs = pairs.union(stars).distinct()
+    # every cell is first compared with one pivot of its own, its smallest set by digest
+    pivot = materialize(inside.groupBy("cell").agg(F.min(F.struct("node", "n")).alias("p")), "cell-pivots")
+    aimed = inside.join(pivot, "cell").select("cell", "m", F.col("p.node").alias("a"), F.col("node").alias("b"), F.col("p.n").alias("na"),
+                                              F.col("n").alias("nb")).where("a <> b")
+    aimed = materialize(aimed, "cell-stars")
+    sizes_fit = (F.col("na") * den >= F.col("nb") * num) & (F.col("nb") * den >= F.col("na") * num)
     hist = sets.where("n > 0 and id is not null").groupBy("node").agg(F.min("id").alias("one"), F.min("n").alias("n"), F.min("hist").alias("hist"))
     hist = materialize(hist, "set-histograms")
 
@@ -208,9 +207,10 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
             apart = np.abs(ha - hb).sum(axis=1)          # at most |a \ b| + |b \ a|
             yield pa.RecordBatch.from_arrays(b.columns[:2], names=["a", "b"]).filter(pa.array((den + num) * apart <= (den - num) * n))
 
-    near = (pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "na", "nb", "ha", "hb")
-            .mapInArrow(bounded, "a bigint, b bigint"))
-    near = materialize(near, "near-pairs")
+    def close(pairs: DataFrame, label: str) -> DataFrame:
+        """The pairs (a, b) that their histograms allow to link."""
+        return materialize(pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "na", "nb", "ha", "hb")
+                           .mapInArrow(bounded, "a bigint, b bigint"), label)
 
     def listed(batches):
         known = WordHashes()
@@ -221,14 +221,19 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
                  pa.ListArray.from_arrays(pa.array(offs.astype(np.int32)), pa.array(value.view(np.int64)))], names=["node", "set"])
 
     def compared(batches):
-        for b in batches:
-            if not b.num_rows:
-                continue
+        """Rows sorted by (a, part), the set of ``a`` itself first: links of a with the sets that follow."""
+        own = np.zeros(0, np.uint64)
+        for batch in batches:
             ok = []
-            for u, v in zip(*[_lists(b.column(k)) for k in (2, 3)]):
-                inter = len(np.intersect1d(u, v, assume_unique=True))
-                ok.append(bool(linked(inter, len(u), len(v), num, den)))
-            yield pa.RecordBatch.from_arrays(b.columns[:2], names=["a", "b"]).filter(pa.array(ok))
+            for mine, v in zip(batch.column(3).to_pylist(), _lists(batch.column(4))):
+                v = v.view(np.uint64)                     # hashes ascend as unsigned numbers
+                if mine:
+                    own = v.copy()
+                    ok.append(False)
+                else:
+                    at = np.minimum(np.searchsorted(own, v), len(own) - 1)
+                    ok.append(bool(linked(int((own[at] == v).sum()), len(own), len(v), num, den)))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2)], names=["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
     def regions(batches):
         for g in stream_groups(batches, ["cell", "i", "j"]):
@@ -248,19 +253,33 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         full = texts.join(ids, "id").select("text").mapInArrow(listed, "node bigint, set array<bigint>")
         return materialize(full.join(wanted.select("node"), "node").dropDuplicates(["node"]), label)      # an id may repeat
 
-    full = fetched(near.select(F.explode(F.array("a", "b")).alias("node")), "pair-sets")
-    exact = (near.join(full.select(F.col("node").alias("a"), F.col("set").alias("sa")), "a")
-             .join(full.select(F.col("node").alias("b"), F.col("set").alias("sb")), "b").select("a", "b", "sa", "sb")
-             .mapInArrow(compared, "a bigint, b bigint"))
-    links = materialize(exact, "pair-links")
-
-    # a large cell whose sets all link with its pivot holds no other link that could matter; the others are
-    # joined per pivot, as cells of one pivot hold mostly the same sets
-    aimed = large.join(pivot.select("cell", F.col("p.node").alias("a")), "cell").where("node <> a")
-    hit = links.withColumnRenamed("b", "node").withColumn("hit", F.lit(1))
-    mixed = materialize(aimed.join(hit, ["a", "node"], "left").groupBy("cell", "a").agg(F.count("hit").alias("hits"), F.count("*").alias("others"))
-                        .where("hits < others").select("cell", "a"), "mixed-cells")
-    groups = materialize(large.join(mixed, "cell").select(F.col("a").alias("cell"), "node").distinct(), "mixed-groups")
+    def verified(near: DataFrame, label: str) -> DataFrame:
+        """The pairs whose sets link. Pairs of one ``a`` are split into parts, each with a copy of its set."""
+        full = fetched(near.select(F.explode(F.array("a", "b")).alias("node")), f"{label}-sets")
+        many_of = materialize(near.groupBy("a").agg(F.ceil(F.count("*") / PART).alias("parts")), f"{label}-parts")
+        parted = materialize(near.join(many_of, "a").select("a", F.pmod(F.xxhash64("b"), F.col("parts")).alias("part"), "b"), f"{label}-parted")
+        rows = parted.join(full.withColumnRenamed("node", "b"), "b").select("a", "part", "b", F.lit(False).alias("own"), "set").union(
+            parted.select("a", "part").distinct().join(full.withColumnRenamed("node", "a"), "a").select(
+                "a", "part", F.col("a").alias("b"), F.lit(True).alias("own"), "set"))
+        return materialize(rows.repartition("a", "part").sortWithinPartitions("a", "part", F.desc("own"))
+                           .mapInArrow(compared, "a bigint, b bigint"), label)
+
+    stars = verified(close(aimed.where(sizes_fit).select("a", "b").distinct(), "near-stars"), "star-links")
+    # sets that link with their cell's pivot hang together: only pairs with one that does not are left
+    hit = stars.withColumn("hit", F.lit(1))
+    rest = aimed.where("m > 2").join(hit, ["a", "b"], "left").select("cell", "m", "a", F.col("b").alias("node"), F.col("nb").alias("n"),
+                                                                     F.coalesce("hit", F.lit(0)).alias("hit"))
+    open_ = materialize(rest.groupBy("cell").agg(F.min("hit").alias("all_hit")).where("all_hit = 0").select("cell"), "open-cells")
+    rest = materialize(rest.join(open_, "cell"), "open-sets")
+    few = rest.where(F.col("m") <= SMALL_CELL)
+    x, y = (few.select("cell", F.col("node").alias(i), F.col("n").alias(f"n{i}"), F.col("hit").alias(f"h{i}")) for i in "ab")
+    pairs = x.join(y, "cell").where("a < b and ha + hb < 2").where(sizes_fit).select("a", "b").distinct()
+    links = stars.union(verified(close(pairs, "near-pairs"), "pair-links"))
+
+    # large open cells are joined per pivot, as cells of one pivot hold mostly the same sets
+    groups = rest.where(F.col("m") > SMALL_CELL)
+    groups = materialize(groups.select(F.col("a").alias("cell"), "node").union(groups.select(F.col("a").alias("cell"), F.col("a").alias("node")))
+                         .distinct(), "mixed-groups")
     size_of = materialize(groups.groupBy("cell").agg(F.count("*").alias("m")), "group-sizes")
     blocks = F.ceil(F.col("m") / BLOCK).cast("int")
     many = (groups.join(size_of, "cell").withColumn("blocks", blocks)
