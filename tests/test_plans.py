@@ -38,3 +38,66 @@ def test_top_n_is_limited_before_the_shuffle(spark):
 def test_total_games_is_a_scalar_subquery(spark):
     plan = _plan(E.queries()["winrate_civ"](spark, SF001))
     assert "Subquery" in plan and "CartesianProduct" not in plan
+
+
+@pytest.fixture()
+def small_skew(spark):
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20000",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20000"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in old.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def _final_plans(monkeypatch, module):
+    """Labels of the intermediate tables a module stores → the plan that made each, as executed."""
+    from warband.session import materialize
+    plans = {}
+
+    def recorded(df, label):
+        df.collect()
+        plans.setdefault(label, _plan(df))
+        return materialize(df, label)
+
+    monkeypatch.setattr(module, "materialize", recorded)
+    return plans
+
+
+def test_a_hot_bucket_is_split(spark, small_skew, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from warband.operators import leaders
+    plans = _final_plans(monkeypatch, leaders)
+    n = 30_000
+    buckets = spark.range(n, numPartitions=8).select(F.col("id").alias("sid"), F.lit(0).alias("band"),
+                                                     F.when(F.col("id") % 2 == 0, F.lit(0)).otherwise(F.col("id")).alias("bucket"))
+    buckets = buckets.withColumn("bucket", F.array("bucket"))
+    groups = leaders.leader_groups(buckets, buckets.select("sid", F.lit(1).alias("weight")))
+    assert groups.count() == n // 2 and groups.select("leader").distinct().count() == 1
+    assert "skew=true" in plans["leaders"] and "skew=true" in plans["group-members"]
+
+
+def test_a_gram_of_all_members_is_split(spark, small_skew):
+    from pyspark.sql import functions as F
+
+    from warband.operators.similarity import medoid
+    from warband.session import materialize
+    ids = spark.range(30_000, numPartitions=8).select(F.col("id").alias("sid"))
+    members = materialize(ids.select((F.col("sid") * 0).alias("ckey"), "sid", F.lit(1).alias("weight")), "m")
+    vectors = materialize(ids.select("sid", F.lit("abc").alias("gram"), F.lit(1).alias("cnt")).union(
+        ids.select("sid", (F.col("sid") % 40).cast("string"), F.lit(1)).where("sid < 4000")), "v")
+    out = medoid(members, vectors)
+    assert len(out.collect()) == 1
+    # both sides of the gram join are plain shuffles, the form whose hot partitions Spark splits
+    lines = _plan(out).splitlines()
+    sides = [i for i, line in enumerate(lines) if "Sort [ckey" in line and " gram#" in line]
+    assert len(sides) >= 2 and all("HashAggregate" not in lines[i + 1] for i in sides)
+
+
+def test_discovery_reads_each_intermediate_a_bounded_number_of_times(spark):
+    plan = _plan(E.queries()["cluster_stats"](spark, SF001))
+    for label in ("clusters-", "sequence-rows-", "vectors-", "buckets-"):
+        assert sum(label in line and "FileScan" in line for line in plan.splitlines()) <= 4, label
