@@ -22,7 +22,7 @@ from warband.llm.common import bounded_sample, held_out
 
 #: Bounds on the labelled and unlabelled rows the classifier is fitted on, and on its size.
 MAX_POSITIVE, MAX_UNLABELLED, MAX_FEATURES = 6_000, 12_000, 4_096
-MIN_POSITIVE_TEXTS = 3
+MIN_POSITIVE_TEXTS = 5
 PREFIX_LENGTHS = (3, 4, 5, 6, 7, 8)
 MAX_WORDS = 500_000
 _WORD = re.compile(r"[^\W\d_]+")
@@ -54,7 +54,7 @@ class FeatureIndex:
 
 
 def fit_nnpu(positive: list[list[int]], unlabelled: list[list[int]], n_features: int, prior: float,
-             steps: int = 400, rate: float = 0.05, decay: float = 1e-4) -> np.ndarray:
+             steps: int = 400, rate: float = 0.05, decay: float = 3e-4) -> np.ndarray:
     """Weights (the last is the bias) minimising the non-negative risk, by Adam over all rows."""
     def flat(rows):
         return (np.fromiter((i for r in rows for i in r), np.int64, sum(map(len, rows))),
