@@ -8,9 +8,10 @@ Per block of benchmark items (a block holds a bounded number of items and charac
 2. Passages are windows of ``WINDOW`` words, half overlapping, over every whole document. Passages
    without block terms are zero rows of the matrix and need no storing; of the others only positions
    and terms are kept, in a table that the later passes read instead of the texts.
-3. Randomised SVD of all passages (Halko, Martinsson and Tropp 2011), distributed: each task multiplies its rows into a
-   terms × rank sketch, sketches are summed in Spark, one power step is taken, and the small factor
-   gives the latent basis. What reaches the driver is terms × rank, whatever the corpus size.
+3. Randomised SVD of all passages (Halko, Martinsson and Tropp 2011), distributed. The passage matrix enters by products
+   AᵀA·Q only, so the sums of its term pairs are taken once, in Spark; each product multiplies the stored pairs in
+   tasks and adds up in Spark. One power step follows the sketch, and the small factor gives the latent basis.
+   What reaches the driver is terms × rank, whatever the corpus size.
 4. Passages and items are projected; pairs with a cosine of ``COSINE`` or more are candidates.
 5. A candidate is a leak when the longest common subsequence of words of the item and the document
    around the passage covers ``SAME`` of the item, or ``PARAPHRASE`` of it while the item's answer (its last
@@ -103,22 +104,22 @@ class Passages:
         """This matrix times a dense terms × n one."""
         if not len(self.start):
             return np.zeros((0, m.shape[1]))
-        return np.add.reduceat(m[self.term] * self.weight[:, None], self.start, axis=0)
-
-    def transposed_times(self, x: np.ndarray, n_terms: int) -> np.ndarray:
-        out = np.zeros((n_terms, x.shape[1]))
-        by = np.argsort(self.term, kind="stable")
-        t = self.term[by]
-        if len(t):
-            first = np.flatnonzero(np.r_[True, t[1:] != t[:-1]])
-            out[t[first]] = np.add.reduceat(x[self.row[by]] * self.weight[by][:, None], first, axis=0)
-        return out
+        return np.add.reduceat(m[self.term] * self.weight.astype(m.dtype)[:, None], self.start, axis=0)
+
+    def pair_sums(self, n_terms: int) -> tuple[np.ndarray, np.ndarray]:
+        """Entries on and above the diagonal of this matrix's Gram matrix: keys ``t1 * n_terms + t2`` and sums."""
+        size = np.diff(np.r_[self.start, len(self.term)])
+        times = size[self.row] - (np.arange(len(self.term)) - self.start[self.row])      # with itself and what follows in its row
+        i = np.repeat(np.arange(len(self.term)), times)
+        j = i + np.arange(len(i)) - np.repeat(np.cumsum(times) - times, times)
+        key, back = np.unique(self.term[i] * n_terms + self.term[j], return_inverse=True)
+        return key, np.bincount(back, self.weight[i] * self.weight[j], len(key))
 
 
-def _batches_of_marks(batches, idf):
+def _batches_of_marks(batches, idf, rows: int):
     for big in batches:
-        for lo in range(0, big.num_rows, ROWS):
-            b = big.slice(lo, ROWS)
+        for lo in range(0, big.num_rows, rows):
+            b = big.slice(lo, rows)
             pos, term = ([x.astype(np.int64) for x in _lists(b.column(k))] for k in (2, 3))
             yield b, Passages(pos, term, idf)
 
@@ -162,17 +163,39 @@ def latent_basis(marks: DataFrame, idf: np.ndarray, own: Passages) -> np.ndarray
     spark = marks.sparkSession
     share = max(1.0, marks.count() / max(1, len(own.start)))
 
+    def paired(batches):
+        for _, p in _batches_of_marks(batches, idf, 4_000):
+            key, total = p.pair_sums(n)
+            yield pa.RecordBatch.from_arrays([pa.array((key // n).astype(np.int32)), pa.array((key % n).astype(np.int32)), pa.array(total)],
+                                             names=["t1", "t2", "v"])
+
+    gram = materialize(marks.mapInArrow(paired, "t1 int, t2 int, v double").groupBy("t1", "t2").agg(F.sum("v").alias("v"))
+                       .sortWithinPartitions("t1", "t2"), "term-pairs")
+    key, total = own.pair_sums(n)
+    mine = (key // n, key % n, share * total)
+
+    def add(out: np.ndarray, right: np.ndarray, t1: np.ndarray, t2: np.ndarray, v: np.ndarray) -> None:
+        """out += G right for the symmetric entries (t1, t2, v), t1 <= t2."""
+        off = t1 != t2
+        for rows, cols, x in ((t1, t2, v), (t2[off], t1[off], v[off])):
+            by = np.argsort(rows, kind="stable")
+            rows, cols, x = rows[by], cols[by], x[by]
+            if len(rows):
+                first = np.flatnonzero(np.r_[True, rows[1:] != rows[:-1]])
+                out[rows[first]] += np.add.reduceat(right[cols] * x.astype(right.dtype)[:, None], first, axis=0)
+
     def multiplied(right: np.ndarray) -> np.ndarray:
-        shared = spark.sparkContext.broadcast(right)
+        shared = spark.sparkContext.broadcast(right.astype(np.float32))
 
         def run(batches):
-            total = np.zeros(right.shape)
-            for _, a in _batches_of_marks(batches, idf):
-                total += a.transposed_times(a.times(shared.value), n)
-            yield _sliced(total)
+            out = np.zeros(right.shape)
+            for b in batches:
+                add(out, shared.value, *(b.column(k).to_numpy() for k in range(3)))
+            yield _sliced(out)
 
-        corpus = summed(marks.mapInArrow(run, "slice int, part bigint, data binary"), right.shape)
-        return corpus + share * own.transposed_times(own.times(right), n)
+        out = summed(gram.mapInArrow(run, "slice int, part bigint, data binary"), right.shape)
+        add(out, right, *mine)
+        return out
 
     q = np.random.default_rng(20).standard_normal((n, width))
     for _ in range(2):                       # the sketch and one power step
@@ -264,7 +287,7 @@ def _block_leaks(rows: DataFrame, items: Items, n_docs: int, item_type: str, id_
 
     def candidates(batches):
         basis, vectors, owner = shared.value
-        for b, a in _batches_of_marks(batches, idf):
+        for b, a in _batches_of_marks(batches, idf, ROWS):
             z = unit(a.times(basis)).astype(np.float32)
             pairs = []
             for lo in range(0, len(z), 8_192):
