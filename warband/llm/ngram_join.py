@@ -11,8 +11,8 @@ Two sets link when their Jaccard distance is at most ε. The space is divided in
    no comparison among themselves. Pairs with a set that does not are listed in small cells, each once over all
    cells. Before sets are fetched and compared, sizes (distance to the empty set) and a histogram over 256 shingle
    classes bound the distance from below and drop nearly all pairs.
-3. *Large cells* not settled by their pivot join recursively, cells of one pivot together: a set not yet in a region
-   becomes a pivot, takes the sets within ε as its Voronoi region, and so on. Only sets within 2ε of another
+3. *Large cells* not settled by their pivot keep the sets that, by sizes and histograms, may link with another one, and
+   join recursively, cells of one pivot together: a set not yet in a region becomes a pivot, takes the sets within ε as its Voronoi region, and so on. Only sets within 2ε of another
    region's pivot, the boundary, can link into it; each is compared once more, unless the regions hang together
    by then. Links that join nothing new are not returned.
 
@@ -277,17 +277,42 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     links = stars.union(verified(close(pairs, "near-pairs"), "pair-links"))
 
     # large open cells are joined per pivot, as cells of one pivot hold mostly the same sets
-    groups = rest.where(F.col("m") > SMALL_CELL)
-    groups = materialize(groups.select(F.col("a").alias("cell"), "node").union(groups.select(F.col("a").alias("cell"), F.col("a").alias("node")))
-                         .distinct(), "mixed-groups")
-    size_of = materialize(groups.groupBy("cell").agg(F.count("*").alias("m")), "group-sizes")
-    blocks = F.ceil(F.col("m") / BLOCK).cast("int")
-    many = (groups.join(size_of, "cell").withColumn("blocks", blocks)
-            .withColumn("mine", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-            .select("cell", "node", "mine", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-            .select("cell", "node", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j")))
-    many = materialize(many, "large-cells")
+    crowd = rest.where(F.col("m") > SMALL_CELL)
+    crowd = materialize(crowd.select(F.col("a").alias("cell"), "node", "hit").union(
+        crowd.select(F.col("a").alias("cell"), F.col("a").alias("node"), F.lit(1).alias("hit"))).distinct(), "open-groups")
     keys = ["cell", "i", "j"]
+
+    def blocked(groups: DataFrame, label: str) -> DataFrame:
+        """Members copied to every pair of their group's blocks (one block for groups of up to BLOCK)."""
+        size_of = materialize(groups.groupBy("cell").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")), f"{label}-blocks")
+        return (groups.join(size_of, "cell").withColumn("mine", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+                .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+                .withColumn("i", F.least("mine", "other")).withColumn("j", F.greatest("mine", "other")).drop("blocks", "mine", "other"))
+
+    def partnered(batches):
+        """Members that some other member, by sizes and histograms, may link with; not where both link with the pivot."""
+        for g in stream_groups(batches, keys):
+            n = g.column("n").to_numpy()
+            by = np.argsort(n, kind="stable")
+            n, hit = n[by], g.column("hit").to_numpy()[by]
+            h = np.frombuffer(b"".join(g.column("hist").to_pylist()), np.uint8).reshape(-1, CLASSES)[by].astype(np.int16)
+            ends = np.searchsorted(n, n * den // num, side="right")
+            keep = np.zeros(len(n), bool)
+            for i, hi in enumerate(ends.tolist()):
+                for lo in range(i + 1, hi, 4_096):
+                    to = min(hi, lo + 4_096)
+                    ok = (den + num) * np.abs(h[lo:to] - h[i]).sum(axis=1) <= (den - num) * (n[lo:to] + n[i])
+                    ok &= (hit[lo:to] == 0) | (hit[i] == 0)
+                    if ok.any():
+                        keep[i] = True
+                        keep[lo:to] |= ok
+            if keep.any():
+                yield pa.RecordBatch.from_arrays([pa.array(g.column(c).to_numpy()[by][keep]) for c in ("cell", "node")], names=["cell", "node"])
+
+    told = blocked(crowd, "open").join(hist.select("node", "n", "hist"), "node").select(*keys, "node", "hit", "n", "hist")
+    groups = materialize(told.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(partnered, "cell bigint, node bigint").distinct(),
+                         "mixed-groups")
+    many = materialize(blocked(groups, "mixed").select(*keys, "node"), "large-cells")
     joined = (many.join(fetched(many.select("node"), "cell-sets-full"), "node").select(*keys, "node", "set").repartition(*keys)
               .sortWithinPartitions(*keys, "node").mapInArrow(regions, "a bigint, b bigint"))
     links = materialize(links.union(joined).distinct(), "set-links")
