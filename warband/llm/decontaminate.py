@@ -8,7 +8,8 @@ Per block of benchmark items (a block holds a bounded number of items and charac
 2. Passages are windows of ``WINDOW`` words, half overlapping, over every whole document. Passages
    without block terms are zero rows of the matrix and need no storing; of the others only positions
    and terms are kept, in a table that the later passes read instead of the texts.
-3. Randomised SVD of all passages (Halko, Martinsson and Tropp 2011), distributed. The passage matrix enters by products
+3. Randomised SVD (Halko, Martinsson and Tropp 2011), distributed, of the passages side by side that cover every text. The
+   passage matrix enters by products
    AᵀA·Q only, so the sums of its term pairs are taken once, in Spark; each product multiplies the stored pairs in
    tasks and adds up in Spark. One power step follows the sketch, and the small factor gives the latent basis.
    What reaches the driver is terms × rank, whatever the corpus size.
@@ -76,16 +77,16 @@ def holds(words: list, part: list) -> bool:
 
 
 class Passages:
-    """Sparse rows (windows) of a batch of documents given as term positions."""
+    """Sparse rows (windows, half overlapping or side by side) of a batch of documents given as term positions."""
 
-    def __init__(self, pos: list[np.ndarray], term: list[np.ndarray], idf: np.ndarray):
+    def __init__(self, pos: list[np.ndarray], term: list[np.ndarray], idf: np.ndarray, overlap: bool = True):
         size = np.array([len(p) for p in pos], np.int64)
         p = np.concatenate(pos) if len(pos) else np.zeros(0, np.int64)
         t = np.concatenate(term) if len(term) else np.zeros(0, np.int64)
         doc = np.repeat(np.arange(len(size)), size)
         last = p // STRIDE                              # a word lies in windows last - 1 and last
-        win = np.r_[last, last - 1]
-        doc, t = np.r_[doc, doc], np.r_[t, t]
+        win = np.r_[last, last - 1] if overlap else p // WINDOW
+        doc, t = (np.r_[doc, doc], np.r_[t, t]) if overlap else (doc, t)
         ok = win >= 0
         doc, win, t = doc[ok], win[ok], t[ok]
         by = np.lexsort((t, win, doc))
@@ -116,12 +117,12 @@ class Passages:
         return key, np.bincount(back, self.weight[i] * self.weight[j], len(key))
 
 
-def _batches_of_marks(batches, idf, rows: int):
+def _batches_of_marks(batches, idf, rows: int, overlap: bool = True):
     for big in batches:
         for lo in range(0, big.num_rows, rows):
             b = big.slice(lo, rows)
             pos, term = ([x.astype(np.int64) for x in _lists(b.column(k))] for k in (2, 3))
-            yield b, Passages(pos, term, idf)
+            yield b, Passages(pos, term, idf, overlap)
 
 
 def _lists(column) -> list[np.ndarray]:
@@ -164,12 +165,23 @@ def latent_basis(marks: DataFrame, idf: np.ndarray, own: Passages) -> np.ndarray
     share = max(1.0, marks.count() / max(1, len(own.start)))
 
     def paired(batches):
-        for _, p in _batches_of_marks(batches, idf, 4_000):
+        keys, sums, held = [], [], 0
+        for _, p in _batches_of_marks(batches, idf, 2_000, overlap=False):
             key, total = p.pair_sums(n)
-            yield pa.RecordBatch.from_arrays([pa.array((key // n).astype(np.int32)), pa.array((key % n).astype(np.int32)), pa.array(total)],
-                                             names=["t1", "t2", "v"])
-
-    gram = materialize(marks.mapInArrow(paired, "t1 int, t2 int, v double").groupBy("t1", "t2").agg(F.sum("v").alias("v"))
+            keys.append(key)
+            sums.append(total)
+            held += len(key)
+            if held > 1_500_000:
+                key, back = np.unique(np.concatenate(keys), return_inverse=True)
+                keys, sums, held = [key], [np.bincount(back, np.concatenate(sums), len(key))], 0
+        if keys:
+            key, back = np.unique(np.concatenate(keys), return_inverse=True)
+            total = np.bincount(back, np.concatenate(sums), len(key)).astype(np.float32)
+            for lo in range(0, len(key), 50_000):
+                yield pa.RecordBatch.from_arrays([pa.array(key[lo:lo + 50_000]), pa.array(total[lo:lo + 50_000])], names=["pair", "v"])
+
+    pair = marks.mapInArrow(paired, "pair bigint, v float").groupBy("pair").agg(F.sum("v").alias("v"))
+    gram = materialize(pair.select(F.floor(F.col("pair") / n).cast("int").alias("t1"), (F.col("pair") % n).cast("int").alias("t2"), "v")
                        .sortWithinPartitions("t1", "t2"), "term-pairs")
     key, total = own.pair_sums(n)
     mine = (key // n, key % n, share * total)
