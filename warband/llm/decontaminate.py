@@ -205,7 +205,8 @@ def latent_basis(marks: DataFrame, idf: np.ndarray, own: Passages) -> np.ndarray
                 add(out, shared.value, *(b.column(k).to_numpy() for k in range(3)))
             yield _sliced(out)
 
-        out = summed(gram.mapInArrow(run, "slice int, part bigint, data binary"), right.shape)
+        # few tasks: the pairs are bounded by the terms, and each task hands on a whole terms x rank matrix
+        out = summed(gram.coalesce(4).mapInArrow(run, "slice int, part bigint, data binary"), right.shape)
         add(out, right, *mine)
         return out
 
