@@ -1,6 +1,7 @@
 """Benchmark decontamination by latent semantic retrieval, then longest-common-subsequence and answer checks.
 
-Per block of benchmark items (a block holds a bounded number of items and characters; all blocks are done):
+Per block of benchmark items (a block holds a bounded number of items, characters and item windows, so that the rank
+of the basis is not below the windows; an item with more windows than that is a block of its own; all blocks are done):
 
 1. Document frequencies of the block's terms over all documents. Terms in more than ``COMMON`` of the
    documents (and more than ``COMMON_DOCS``) are dropped like stop words, but every item keeps its ``KEEP_RAREST`` rarest
@@ -13,7 +14,10 @@ Per block of benchmark items (a block holds a bounded number of items and charac
    AᵀA·Q only, so the sums of its term pairs are taken once, in Spark; each product multiplies the stored pairs in
    tasks and adds up in Spark. One power step follows the sketch, and the small factor gives the latent basis.
    What reaches the driver is terms × rank, whatever the corpus size.
-4. Passages and items are projected; pairs with a cosine of ``COSINE`` or more are candidates.
+4. Passages and items are projected; pairs with a cosine of ``COSINE`` or more are candidates. So is every
+   passage around which the document holds so many of the item's words that step 5 can accept it, by a count that
+   needs no basis: of the item's rarest words that make ``COUNTED`` of its length, at least what a
+   common subsequence of the accepted length cannot do without. No passage that step 5 accepts fails this count.
 5. A candidate is a leak when the longest common subsequence of words of the item and the document
    around the passage covers ``SAME`` of the item, or ``PARAPHRASE`` of it while the item's answer (its last
    sentence) stands in the document word for word.
@@ -22,6 +26,7 @@ Per block of benchmark items (a block holds a bounded number of items and charac
 from __future__ import annotations
 
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +41,10 @@ COMMON, COMMON_DOCS, KEEP_RAREST = 0.02, 50, 12
 MIN_RANK, MAX_RANK, OVERSAMPLE = 128, 512, 16
 COSINE, SAME, PARAPHRASE = 0.55, 0.8, 0.6
 ANSWER_WORDS = 3
+COUNTED = 0.6       # above 1 - PARAPHRASE, so that a leak cannot miss all counted words
 BLOCK_CHARS, BLOCK_ITEMS = 8_000_000, 400
+BLOCK_WINDOWS = MAX_RANK - MIN_RANK // 2
+SPAN = 16           # windows counted together at first
 _SLICE = 512
 ROWS = 300          # documents whose dense products are held at once
 _SPACED = bytes(b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
@@ -117,12 +125,82 @@ class Passages:
         return key, np.bincount(back, self.weight[i] * self.weight[j], len(key))
 
 
+class Counts:
+    """The counted words of items: which items hold a term and how often, and the count that a leak needs."""
+
+    def __init__(self, words: list[list[bytes]], answers: list[list[bytes]], number: dict[bytes, int]):
+        held = [Counter(number[w] for w in ws if w in number) for ws in words]
+        term = np.array([t for h in held for t in h], np.int64)
+        by = np.argsort(term, kind="stable")
+        self.start = np.searchsorted(term[by], np.arange(len(number) + 1))
+        self.item = np.repeat(np.arange(len(held)), [len(h) for h in held])[by]
+        self.times = np.array([n for h in held for n in h.values()], np.int64)[by]
+        self.size = np.array([len(ws) for ws in words], np.int64)
+        least = [next((m for m in range(n + 1) if n and m / n >= (PARAPHRASE if len(a) >= ANSWER_WORDS else SAME)), n + 1)
+                 for n, a in zip(self.size.tolist(), answers)]
+        # a common subsequence of this length leaves out at most size - least of the item's words
+        self.need = np.maximum(1, np.array([sum(h.values()) for h in held], np.int64) - self.size + least)
+        self.longest = int(self.size.max(initial=0))
+        self.span = max(SPAN, -(-self.longest // 16))
+
+    def expanded(self, term: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(index into ``term``, index into ``item``) of every item that holds the term."""
+        n = self.start[term + 1] - self.start[term]
+        return np.repeat(np.arange(len(term)), n), np.arange(n.sum()) + np.repeat(self.start[term] - np.cumsum(n) + n, n)
+
+    def windows(self, pos: list[np.ndarray], term: list[np.ndarray]) -> np.ndarray:
+        """Rows (document, item, window) of all windows with enough of the item's counted words around them."""
+        p = np.concatenate(pos) if len(pos) else np.zeros(0, np.int64)
+        t = np.concatenate(term) if len(term) else np.zeros(0, np.int64)
+        doc = np.repeat(np.arange(len(pos)), [len(x) for x in pos])
+        # a hit counts for the windows whose surroundings hold it; spans of windows are done apart
+        lo = np.maximum(0, (p - WINDOW - self.longest) // STRIDE + 1) // self.span
+        n = (p + self.longest) // STRIDE // self.span - lo + 1
+        at = np.repeat(np.arange(len(p)), n)
+        part = lo[at] + np.arange(len(at)) - np.repeat(np.cumsum(n) - n, n)
+        by = np.lexsort((part, doc[at]))
+        at, part = at[by], part[by]
+        new = np.r_[True, (doc[at][1:] != doc[at][:-1]) | (part[1:] != part[:-1])] if len(at) else np.zeros(0, bool)
+        first = np.r_[np.flatnonzero(new), len(at)]
+        work = np.r_[0, np.cumsum((self.start[1:] - self.start[:-1])[t[at]])][first]
+        out, lo = [np.zeros((0, 3), np.int64)], 0
+        while lo < len(first) - 1:
+            hi = min(len(first) - 1, lo + 2_048, max(lo + 1, int(np.searchsorted(work, work[lo] + 500_000))))
+            rows = slice(first[lo], first[hi])
+            out.append(self._counted(doc[at[rows]], p[at[rows]], t[at[rows]], part[rows], np.cumsum(new[rows]) - 1))
+            lo = hi
+        return np.concatenate(out)
+
+    def _counted(self, doc: np.ndarray, p: np.ndarray, t: np.ndarray, part: np.ndarray, unit: np.ndarray) -> np.ndarray:
+        items, terms = len(self.size), len(self.start) - 1
+        once = np.unique(unit * terms + t)
+        i, k = self.expanded(once % terms)
+        total = np.bincount((once // terms)[i] * items + self.item[k], self.times[k], (unit[-1] + 1) * items)
+        enough = total.reshape(-1, items) >= self.need
+        i, k = self.expanded(t)
+        ok = enough[unit[i], self.item[k]]
+        i, k = i[ok], k[ok]
+        item = self.item[k]
+        lo = np.maximum((p[i] - WINDOW - self.size[item]) // STRIDE + 1, part[i] * self.span)
+        hi = np.minimum((p[i] + self.size[item]) // STRIDE, (part[i] + 1) * self.span - 1)
+        n = np.maximum(0, hi - lo + 1)
+        at = np.repeat(np.arange(len(i)), n)
+        win = lo[at] + np.arange(len(at)) - np.repeat(np.cumsum(n) - n, n)
+        i, k, item = i[at], k[at], item[at]
+        place = (unit[i] * items + item) * self.span + win - part[i] * self.span
+        _, one = np.unique(place * terms + t[i], return_index=True)
+        _, head, back = np.unique(place[one], return_index=True, return_inverse=True)
+        head = one[head[np.bincount(back, self.times[k[one]], len(head)) >= self.need[item[one[head]]]]]
+        return np.stack([doc[i[head]], item[head], win[head]], axis=1)
+
+
 def _batches_of_marks(batches, idf, rows: int, overlap: bool = True):
+    """Slices of stored marks and their passages; terms beyond ``idf`` are only counted and make no passages."""
     for big in batches:
         for lo in range(0, big.num_rows, rows):
             b = big.slice(lo, rows)
             pos, term = ([x.astype(np.int64) for x in _lists(b.column(k))] for k in (2, 3))
-            yield b, Passages(pos, term, idf, overlap)
+            yield b, Passages([p[t < len(idf)] for p, t in zip(pos, term)], [t[t < len(idf)] for t in term], idf, overlap)
 
 
 def _lists(column) -> list[np.ndarray]:
@@ -162,7 +240,7 @@ def latent_basis(marks: DataFrame, idf: np.ndarray, own: Passages) -> np.ndarray
     rank = min(MAX_RANK, max(MIN_RANK, len(own.start) + MIN_RANK // 2), n)
     width = min(n, rank + OVERSAMPLE)
     spark = marks.sparkSession
-    share = max(1.0, marks.count() / max(1, len(own.start)))
+    share = max(1.0, marks.where(F.array_min("term") < n).count() / max(1, len(own.start)))
 
     def paired(batches):
         keys, sums, held = [], [], 0
@@ -218,6 +296,20 @@ def latent_basis(marks: DataFrame, idf: np.ndarray, own: Passages) -> np.ndarray
     return q @ vectors[:, np.argsort(-values)[:rank]]
 
 
+def parts_of(rows: list[tuple]) -> list[list[tuple]]:
+    """Collected items (item, text) in parts of at most ``BLOCK_WINDOWS`` windows; an item with more is a part of its own."""
+    parts, held = [[]], 0
+    for r in rows:
+        n = len(words_of(r[1]))
+        windows = -(-n // STRIDE)
+        if parts[-1] and held + windows > BLOCK_WINDOWS:
+            parts.append([])
+            held = 0
+        parts[-1].append(r)
+        held += windows
+    return parts
+
+
 class Items:
     """A block of benchmark items with its terms numbered."""
 
@@ -242,9 +334,10 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     n_docs = rows.count()
     for k in range(blocks):
         mine = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == k).collect()      # about BLOCK_ITEMS items
-        got = _block_leaks(rows, Items(sorted([tuple(r) for r in mine], key=lambda r: (r[0] is None, r[0] or 0, r[1]))), n_docs,
-                           items.schema["item"].dataType.simpleString(), docs.schema[id_col].dataType.simpleString())
-        found = got if found is None else found.unionByName(got)
+        for part in parts_of(sorted([tuple(r) for r in mine], key=lambda r: (r[0] is None, r[0] or 0, r[1]))):
+            got = _block_leaks(rows, Items(part), n_docs, items.schema["item"].dataType.simpleString(),
+                               docs.schema[id_col].dataType.simpleString())
+            found = got if found is None else found.unionByName(got)
     return found.dropDuplicates([*key, "item"]).withColumnRenamed("id", id_col).withColumnRenamed("item", "item_id")
 
 
@@ -270,8 +363,18 @@ def _block_leaks(rows: DataFrame, items: Items, n_docs: int, item_type: str, id_
     for ws in items.words:
         own = sorted({items.number[w] for w in ws}, key=lambda i: (df[i], i))
         keep[own[:KEEP_RAREST]] = True
+    count = keep.copy()                       # more terms are marked where they are needed for the counts only
+    for ws in items.words:
+        times = Counter(items.number[w] for w in ws)
+        have = 0
+        for i in sorted(times, key=lambda i: (df[i], i)):
+            if have >= COUNTED * len(ws):
+                break
+            count[i] = True
+            have += times[i]
     slot = np.full(n_terms, -1)
     slot[keep] = np.arange(int(keep.sum()))
+    slot[count & ~keep] = int(keep.sum()) + np.arange(int((count & ~keep).sum()))
     rare = {w: int(slot[i]) for w, i in items.number.items() if slot[i] >= 0}
     idf = np.log((1 + n_docs) / (1 + df[keep])) + 1
     rare_b = spark.sparkContext.broadcast(rare)
@@ -292,21 +395,21 @@ def _block_leaks(rows: DataFrame, items: Items, n_docs: int, item_type: str, id_
     def unit(x: np.ndarray) -> np.ndarray:
         return x / np.maximum(np.sqrt((x * x).sum(axis=1, keepdims=True)), 1e-12)
 
-    own = [[(p, rare[w]) for p, w in enumerate(ws) if w in rare] for ws in items.words]
+    own = [[(p, rare[w]) for p, w in enumerate(ws) if rare.get(w, len(idf)) < len(idf)] for ws in items.words]
     a = Passages([np.array([p for p, _ in o], np.int64) for o in own], [np.array([t for _, t in o], np.int64) for o in own], idf)
     basis = latent_basis(marks, idf, a) if len(idf) else np.zeros((0, 1))
     item_of, item_vectors = a.doc, unit(a.times(basis)).astype(np.float32)
-    shared = spark.sparkContext.broadcast((basis.astype(np.float32), item_vectors, item_of))
+    shared = spark.sparkContext.broadcast((basis.astype(np.float32), item_vectors, item_of, Counts(items.words, items.answers, rare)))
 
     def candidates(batches):
-        basis, vectors, owner = shared.value
+        basis, vectors, owner, counts = shared.value
         for b, a in _batches_of_marks(batches, idf, ROWS):
             z = unit(a.times(basis)).astype(np.float32)
-            pairs = []
+            pairs = [counts.windows(*([x.astype(np.int64) for x in _lists(b.column(k))] for k in (2, 3)))]
             for lo in range(0, len(z), 8_192):
                 r, c = np.nonzero(z[lo:lo + 8_192] @ vectors.T >= COSINE)
                 pairs.append(np.stack([a.doc[lo + r], owner[c], a.win[lo + r]], axis=1))
-            p = np.unique(np.concatenate(pairs), axis=0) if pairs else np.zeros((0, 3), np.int64)
+            p = np.unique(np.concatenate(pairs), axis=0)
             yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(p[:, 0])), b.column(1).take(pa.array(p[:, 0])),
                                               pa.array(p[:, 1]), pa.array(p[:, 2])], names=["k1", "k2", "nth", "win"])
 
