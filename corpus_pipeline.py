@@ -43,10 +43,10 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group, the one with the smallest id; of rows that repeat an id the first
-    by text."""
+    """One document of each near-duplicate group (five-word shingles, Jaccard similarity of 0.8 or more), the one with the
+    smallest id; of rows that repeat an id the first by text."""
     ship_package(spark)
-    groups = ngram_components(docs).where("doc_id is not null and doc_id <> component_id").select("doc_id").distinct()
+    groups = ngram_components(docs, size=5, num=80).where("doc_id is not null and doc_id <> component_id").select("doc_id").distinct()
     rest = docs.join(materialize(groups, "near-duplicates"), "doc_id", "left_anti")
     nth = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
     return rest.withColumn("_nth", nth).where("_nth = 1 or doc_id is null").select(*docs.columns)
