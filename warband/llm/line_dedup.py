@@ -5,7 +5,9 @@ than once in the corpus; inside a run a border falls around every line of ``long
 and wherever the rolling hash over the last two line hashes has a fixed remainder. A chunk of fewer than
 ``min_words`` words counts only as one with a neighbour that follows or precedes it directly. All these rules
 look at line contents only, so a passage put at another place of another document is cut in the same
-way, whatever stands around it. Chunks whose hash occurs more than once are compared byte for byte (by
+way from its first border on. Known gap: a line that is frequent elsewhere and stands directly beside a passage joins its
+run, so a passage of lines shorter than ``long_line`` has other first and last chunks beside other such lines, and
+these match nothing. Chunks whose hash occurs more than once are compared byte for byte (by
 grouping on their text); of equal chunks the first (smallest id, then place) stays and the others go.
 
 Everything is DataFrame code. What is shuffled are line hashes, the texts of repeated chunks, and the texts
