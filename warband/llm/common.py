@@ -32,6 +32,16 @@ def bounded_sample(rows: DataFrame, key: str, bound: int) -> DataFrame:
     return rows.where(F.pmod(F.xxhash64(F.col(key), F.lit(7)), F.lit(1 << 20)) < share)
 
 
+def regular_vectors(vectors: DataFrame, id_col: str, vector_col: str, keep: dict[str, str] | None = None) -> tuple[DataFrame, int]:
+    """Rows (id, v as array<double>, and the columns ``keep`` names) whose vector is not null, holds no null or
+    non-finite entry and has the commonest length (of equally common ones the longest), and that length (0: none)."""
+    rows = vectors.select(vectors[id_col].alias("id"), vectors[vector_col].cast("array<double>").alias("v"),
+                          *[vectors[c].alias(name) for c, name in (keep or {}).items()])
+    rows = rows.where(F.col("v").isNotNull() & F.forall("v", lambda x: x.isNotNull() & (F.abs(x) < F.lit(float("inf")))))
+    best = rows.groupBy(F.size("v").alias("d")).count().agg(F.max(F.struct("count", "d"))).first()[0]
+    return (rows.where(F.size("v") == best.d), best.d) if best else (rows, 0)
+
+
 def stream_groups(batches: Iterable[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
     """Consecutive rows with equal ``keys`` of a sorted partition, one table per group, holding one
     batch and one group at a time."""

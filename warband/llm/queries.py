@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from warband.llm import license_scan, line_dedup
+from warband.llm.bpe_tree import encode_texts
 from warband.llm.common import held_out
 from warband.llm.decontaminate import find_leaks
 from warband.llm.embedding_dedup import near_duplicate_vectors
@@ -18,6 +19,7 @@ from warband.llm.sentencepiece_sa import encode_pieces
 from warband.llm.tables import table, tokenizer_path
 from warband.llm.token_counts import token_counts
 from warband.llm.toxicity import fit_toxicity, score_toxicity
+from warband.llm.whitening import whiten
 
 
 def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,6 +79,18 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector on the first eight whitened components of all vectors."""
+    out = whiten(table(spark, sf_dir, "embeddings"))
+    return out.withColumn("deviation", F.expr("try_cast(deviation as bigint)"))     # null where it needs over 64 bits
+
+
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every whole text under the 50k rank file, and the bytes they decode to, as digests."""
+    import public_tokenizers
+    return encode_texts(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The training-corpus pipeline over ``documents``."""
     import corpus_pipeline
@@ -95,6 +109,8 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_ngram_jaccard": op8_ngram_jaccard,
         "op9_toxicity": op9_toxicity,
         "op10_embedding_dedup": op10_embedding_dedup,
+        "op11_embedding_whitening": op11_embedding_whitening,
+        "op12_byte_bpe": op12_byte_bpe,
         "pipeline": pipeline,
     }
 
