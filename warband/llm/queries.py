@@ -12,6 +12,7 @@ from warband.llm.bpe_tree import encode_texts
 from warband.llm.common import held_out
 from warband.llm.decontaminate import find_leaks
 from warband.llm.embedding_dedup import near_duplicate_vectors
+from warband.llm.hard_negatives import mine_hard_negatives
 from warband.llm.html_extract import extract_main_text
 from warband.llm.language_id import fit_languages, predict_languages
 from warband.llm.ngram_join import ngram_components
@@ -91,6 +92,13 @@ def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_texts(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every fiftieth vector's positives, over all vectors; every seventh vector has the next label."""
+    rows = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine_hard_negatives(rows.select("vec_id", "embedding", label.alias("label")))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The training-corpus pipeline over ``documents``."""
     import corpus_pipeline
@@ -111,6 +119,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_embedding_dedup": op10_embedding_dedup,
         "op11_embedding_whitening": op11_embedding_whitening,
         "op12_byte_bpe": op12_byte_bpe,
+        "op13_hard_negatives": op13_hard_negatives,
         "pipeline": pipeline,
     }
 
