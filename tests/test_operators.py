@@ -5,6 +5,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tests import bruteforce as bf
 from tests.conftest import SF01
@@ -29,11 +30,12 @@ def _random_points(rng, n, alphabet="abcd", length=(3, 14)):
     return out
 
 
-@pytest.mark.parametrize("block", [3, 7, 512])
-def test_dbscan_matches_sequential(spark, block):
+@pytest.mark.parametrize("block,task_points,eps", [(3, 10, 0.25), (7, 10, 0.05), (7, 60, 0.6), (512, 10, 0.25), (512, 2048, 0.25), (7, 10, 1.0)])
+def test_dbscan_matches_sequential(spark, block, task_points, eps):
+    """Groups cut into blocks, listed in the index, or settled by one task, against the sequential algorithm."""
     rng = random.Random(block)
     texts = _random_points(rng, 60) + ["ab"]          # one text too short for any 3-gram
-    eps, ms = 0.25, 4
+    ms = 4
     m = bf.matrix(texts, 3)
     want = bf.dbscan(m, eps, ms)
     grams = [bf.char_counts(t, 3) for t in texts]
@@ -41,7 +43,7 @@ def test_dbscan_matches_sequential(spark, block):
         [(i, 1, sorted(g), [g[k] for k in sorted(g)]) for i, g in enumerate(grams)],
         "sid long, weight long, grams array<string>, cnts array<int>")
     members = spark.createDataFrame([(0, i) for i in range(len(texts))], "g long, sid long")
-    got = {r.sid: r.label for r in dbscan(members, pts, eps, ms, block_size=block).collect()}
+    got = {r.sid: r.label for r in dbscan(members, pts, eps, ms, block_size=block, task_points=task_points).collect()}
     clusters = defaultdict(set)
     for i, lab in enumerate(want):
         if lab != -1:
@@ -53,6 +55,44 @@ def test_dbscan_matches_sequential(spark, block):
     assert len(texts) - 1 not in got                  # zero vector is noise
 
 
+def test_index_moves_few_copies(spark):
+    """A large group of unlike texts: rows moved follow the number of points, not its square over the block size."""
+    from warband.operators.dbscan import slots_of
+    copies = {}
+    for n in (2_000, 8_000):
+        pts = spark.range(n).select(F.lit(0).alias("g"), F.col("id").alias("sid"), F.transform(
+            F.sequence(F.lit(0), F.lit(19)), lambda k: F.when(k < 2, k.cast("bigint")).otherwise(
+                F.lit(2) + F.pmod(F.xxhash64((F.col("id") / 4).cast("long"), k), F.lit(n)))).alias("grams"),
+            F.array_repeat(F.lit(1), 20).alias("cnts"))
+        sizes = spark.createDataFrame([(0, n)], "g long, n long")
+        slots = slots_of(pts, sizes, 0.1, 32)
+        assert slots.where("slot is null").count() == 0
+        copies[n] = slots.agg(F.sum("nb")).first()[0]
+    assert copies[8_000] < 4.5 * copies[2_000] and copies[8_000] < 8_000 * 8_000 / 32 / 8
+
+
+def test_index_finds_what_blocks_find(spark):
+    """Texts over many grams, so that the index is taken: the same labels as one task finds."""
+    rng = random.Random(9)
+    texts = []
+    for c in range(60):
+        base = [rng.randint(0, 400) for _ in range(25)]
+        for _ in range(rng.randint(1, 7)):
+            t = list(base)
+            for _ in range(rng.randint(0, 4)):
+                t[rng.randrange(25)] = rng.randint(0, 400)
+            texts.append(t)
+    rows = []
+    for i, t in enumerate(texts):
+        grams = sorted(set(t))
+        rows.append((i, 1 + i % 2, grams, [t.count(k) for k in grams]))
+    pts = spark.createDataFrame(rows, "sid long, weight long, grams array<long>, cnts array<int>")
+    members = pts.select(F.lit(5).cast("long").alias("g"), "sid")
+    want = {r.sid: r.label for r in dbscan(members, pts, 0.2, 4).collect()}
+    got = {r.sid: r.label for r in dbscan(members, pts, 0.2, 4, block_size=8, task_points=20).collect()}
+    assert got == want and len(set(want.values())) > 5
+
+
 def test_dbscan_weights_count_copies(spark):
     pts = spark.createDataFrame([(0, 3, ["abc"], [1]), (1, 1, ["xyz"], [1])],
                                 "sid long, weight long, grams array<string>, cnts array<int>")
@@ -78,17 +118,55 @@ def test_leaders_match_sequential_greedy(spark):
     bucket_of = {k: bf.buckets(bf.signature(local[k].actions, 2, 128), 25, 5) for k in keys}
     want = {local[leader].sid: {local[i].sid for i in members} for leader, members in bf.greedy_groups(keys, bucket_of)}
     assert got_groups == want
-    _, rounds = leader_rounds(bk)
-    assert rounds >= 1
 
 
-def test_leader_rounds_on_a_chain(spark):
-    # path 0-1-2-3-4-5: sequential greedy picks 0, 2, 4 (each covers the next)
-    rows = [(i, 0, [i]) for i in range(6)] + [(i + 1, 0, [i]) for i in range(5)]
-    bk = spark.createDataFrame(rows, "sid long, band int, bucket array<int>")
-    found, _ = leader_rounds(bk)
-    leaders = sorted(r.sid for r in found.collect())
-    assert leaders == [0, 2, 4]
+def _greedy(rows):
+    """Plain walk over (sid, band, bucket) rows."""
+    keys = defaultdict(list)
+    for sid, band, bucket in rows:
+        keys[sid].append((band, tuple(bucket)))
+    taken, leaders = set(), []
+    for sid in sorted(keys):
+        if not taken & set(keys[sid]):
+            leaders.append(sid)
+            taken |= set(keys[sid])
+    return leaders
+
+
+def _jobs(spark, fn):
+    tracker, group = spark.sparkContext.statusTracker(), f"jobs-{random.random()}"
+    spark.sparkContext.setJobGroup(group, "counted")
+    out = fn()
+    return out, len(tracker.getJobIdsForGroup(group))
+
+
+def test_leaders_of_a_long_chain_take_few_jobs(spark):
+    """A chain in walk order: one walk settles it, whatever its length, and no round follows the links."""
+    def leaders_of(n):
+        bk = spark.range(n).select(F.col("id").alias("sid"), F.lit(0).alias("band"), F.explode(F.array(F.array("id"), F.array(F.col("id") - 1))).alias("bucket"))
+        found, rounds = leader_rounds(bk)
+        return sorted(r.sid for r in found.collect()), rounds
+    (short, _), few = _jobs(spark, lambda: leaders_of(10))
+    (long, rounds), jobs = _jobs(spark, lambda: leaders_of(10_000))
+    assert short == [0, 2, 4, 6, 8] and long == list(range(0, 10_000, 2)) and rounds == 0
+    assert jobs <= few + 2
+
+
+@pytest.mark.parametrize("task_rows,rounds_at_most", [(10_000, 0), (120, 0), (12, 40)])
+def test_leaders_over_components_and_rounds(spark, task_rows, rounds_at_most):
+    """The walk in one task, over packed components, and (a component larger than a task) in rounds."""
+    rng = random.Random(7)
+    rows = []
+    for c in range(6):                              # six components, one a chain in walk order
+        ids = rng.sample(range(c * 1000, c * 1000 + 900), 30)
+        if c == 0:
+            rows += [(i, 0, [i]) for i in range(40)] + [(i + 1, 0, [i]) for i in range(39)]
+            continue
+        for i in ids:
+            rows += [(i, band, [c, rng.randint(0, 8)]) for band in range(3)]
+    df = spark.createDataFrame(rows, "sid long, band int, bucket array<int>")
+    found, rounds = leader_rounds(df, task_rows=task_rows)
+    assert sorted(r.sid for r in found.collect()) == _greedy(rows) and rounds <= rounds_at_most
 
 
 def test_pairwise_cosine_linear_form(spark):

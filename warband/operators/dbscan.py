@@ -9,12 +9,22 @@ joins the cluster with the smallest label among the cores it neighbours, where a
 cluster's label is its smallest core id (the sequential algorithm's numbering). Zero
 vectors (texts shorter than n) neighbour nothing and are noise.
 
-Each group is cut into blocks of about ``block_size`` points by a hash of the point id;
-every block pair is one ``applyInPandas`` task computing a small dense product. Nothing
-emitted is quadratic: pass 1 returns per-point neighbour counts, pass 2 a spanning forest
-of core–core links (fewer rows than points), pass 3 one label per border point.
-Components of the forest are found by min-label propagation with pointer jumping, each
-round written to the checkpoint folder.
+A group of up to ``task_points`` points is settled by one task: its vectors are shuffled once, and labels come
+back. Small groups are packed into such tasks.
+
+Points of a larger group meet in *slots*. With ``t = 1 − eps``, a point's prefix are its rarest grams (in one
+order of all the group's grams) up to where the norm of the rest falls below ``t``: two points that share no
+gram of both prefixes have all their common grams in the rest of one of them, so their cosine is below ``t``
+(prefix filtering for unit vectors, as in Bayardo, Ma and Srikant, WWW 2007). The slots are the lists of an
+inverted index over the prefixes, and a pair is looked at in its first common list only. Where that would copy
+points more often than one slot for the whole group (few grams, which all points hold), the group is one slot;
+the two costs are counted, not guessed. A slot is cut into blocks of ``block_size`` points by a hash, and a block
+pair is one task's dense product over the grams that two of its points share.
+
+Two passes over the slots: neighbour counts (cores), then a spanning star forest of each block pair's core–core
+links together with one link from each non-core point to each local tree it touches. Nothing emitted is
+quadratic. Components of the forest are found by min-label propagation with pointer jumping, each round written
+to the checkpoint folder; a border point takes the smallest label its links lead to.
 """
 
 from __future__ import annotations
@@ -26,138 +36,121 @@ from pyspark.sql import functions as F
 
 from warband.session import checkpoint_dir, materialize, materialize_observed
 
-_PAIR_COLS = ["gk", "g", "bi", "bj", "blk", "sid", "weight", "grams", "cnts"]
-
-
-def _unit_rows(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Dense unit vectors of all rows over the grams that occur in them, and which rows are not zero."""
-    sizes = pdf["grams"].map(len).to_numpy()
-    m = np.zeros((len(pdf), 1))
-    if sizes.sum():
-        _, col = np.unique(np.concatenate(pdf["grams"].to_list()), return_inverse=True)
-        m = np.zeros((len(pdf), col.max() + 1))
-        m[np.repeat(np.arange(len(pdf)), sizes), col] = np.concatenate(pdf["cnts"].to_list())
-    nrm = np.linalg.norm(m, axis=1)
-    nz = nrm > 0
-    m[nz] /= nrm[nz, None]
-    return m, nz
-
+TASK_POINTS = 2_048
+GRAMS_AT_ONCE = 4_096        # columns of a dense product
+NO_LABEL = np.iinfo(np.int64).max
+
+
+def _cosines(x: pd.DataFrame, y: pd.DataFrame) -> np.ndarray:
+    """Cosines of the rows of ``x`` with those of ``y``, 0 where a vector is empty, rounded to 9 digits."""
+    both = [x] if x is y else [x, y]
+    grams = np.concatenate([g for p in both for g in p["grams"]] or [np.zeros(0)])
+    counts = np.concatenate([c for p in both for c in p["cnts"]] or [np.zeros(0)]).astype(float)
+    row = np.repeat(np.arange(sum(map(len, both))), [len(g) for p in both for g in p["grams"]])
+    norm = np.sqrt(np.bincount(row, counts * counts, sum(map(len, both))))
+    _, gram, seen = np.unique(grams, return_inverse=True, return_counts=True)
+    number = np.cumsum(seen > 1) - 1                # grams of one row only count in its norm
+    shared = seen[gram] > 1
+    row, gram, counts = row[shared], number[gram[shared]], counts[shared]
+    by = np.argsort(gram, kind="stable")
+    row, gram, counts = row[by], gram[by], counts[by]
+    n = len(x)
+    dots = np.zeros((n, len(y)))
+    for lo in range(0, int(gram[-1]) + 1 if len(gram) else 0, GRAMS_AT_ONCE):
+        part = slice(*np.searchsorted(gram, [lo, lo + GRAMS_AT_ONCE]))
+        dense = np.zeros((len(norm), GRAMS_AT_ONCE))
+        dense[row[part], gram[part] - lo] = counts[part]
+        dots += dense[:n] @ (dense[:n] if x is y else dense[n:]).T
+    if x is y:
+        np.fill_diagonal(dots, norm * norm)
+    scale = np.outer(norm[:n], norm if x is y else norm[n:])
+    return np.round(np.divide(dots, scale, out=np.zeros_like(dots), where=scale > 0), 9)
+
+
+def _meet(x: pd.DataFrame, y: pd.DataFrame, eps: float) -> np.ndarray:
+    """Which rows are neighbours; of points in a list of the index those that share no earlier list."""
+    known = lambda p: p["grams"].map(len).to_numpy() > 0
+    near = (_cosines(x, y) >= round(1.0 - eps, 9)) & known(x)[:, None] & known(y)
+    if x["pos"].any() and y["pos"].any():
+        cut = lambda p: pd.DataFrame({"grams": [a[:k] for a, k in zip(p["pre"], p["pos"])],
+                                      "cnts": [np.ones(k) for k in p["pos"]]})
+        left = cut(x)
+        near &= ~(_cosines(left, left if x is y else cut(y)) > 0)
+    return near
+
+
+def _low_labels(near: np.ndarray, x: np.ndarray, y: np.ndarray, same: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Smallest id of each point's component under the links ``near`` between ids ``x`` and ``y``."""
+    a, b = np.nonzero(near)
+    ids, at = np.unique(x if same else np.concatenate([x, y]), return_inverse=True)
+    a, b = at[a], at[b] if same else at[len(x) + b]
+    low = np.arange(len(ids))
+    while True:
+        new = low.copy()
+        np.minimum.at(new, a, low[b])
+        np.minimum.at(new, b, low[a])
+        new = new[new]
+        if (new == low).all():
+            break
+        low = new
+    lab = ids[low[at]]
+    return (lab, lab) if same else (lab[:len(x)], lab[len(x):])
+
+
+def _frame(**columns) -> pd.DataFrame:
+    return pd.DataFrame({k: np.asarray(v, np.int64) for k, v in columns.items()})
+
+
+def _settled(eps: float, min_samples: int):
+    """All labels of every whole group of one task."""
+    def one(g: int, p: pd.DataFrame) -> pd.DataFrame:
+        p = p.reset_index(drop=True)
+        sid, weight = p["sid"].to_numpy(np.int64), p["weight"].to_numpy()
+        near = (_cosines(p, p) >= round(1.0 - eps, 9)) & np.logical_and.outer(*[p["grams"].map(len).to_numpy() > 0] * 2)
+        core = near @ weight >= min_samples
+        label = np.full(len(p), NO_LABEL)
+        label[core], _ = _low_labels(near[np.ix_(core, core)], sid[core], sid[core], True)
+        edge = np.where(near & core, label, NO_LABEL).min(axis=1, initial=NO_LABEL)
+        label = np.where(core, label, edge)
+        kept = label < NO_LABEL
+        return _frame(g=np.full(kept.sum(), g), sid=sid[kept], label=label[kept])
 
-def _blocks(pdf: pd.DataFrame):
-    bi, bj = pdf["bi"].iat[0], pdf["bj"].iat[0]
-    m, nz = _unit_rows(pdf)
-    blk = pdf["blk"].to_numpy()
-    i = np.flatnonzero(blk == bi)
-    j = i if bi == bj else np.flatnonzero(blk == bj)
-    x = pdf.iloc[i].reset_index(drop=True)
-    y = x if bi == bj else pdf.iloc[j].reset_index(drop=True)
-    return bi == bj, x, y, m[i], m[j], nz[i], nz[j]
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pd.concat([one(g, part) for g, part in pdf.groupby("g", sort=False)], ignore_index=True)
+    return run
 
 
-def _adjacency(mx, my, nzx, nzy, eps: float) -> np.ndarray:
-    sim = np.round(mx @ my.T, 9)
-    return (sim >= round(1.0 - eps, 9)) & nzx[:, None] & nzy[None, :]
+def _sides(pdf: pd.DataFrame) -> tuple[pd.DataFrame, pd.DataFrame]:
+    i, j = pdf["bi"].iat[0], pdf["bj"].iat[0]
+    x = pdf[pdf["blk"] == i].reset_index(drop=True)
+    return x, x if i == j else pdf[pdf["blk"] == j].reset_index(drop=True)
 
 
-def _each_group(fn):
-    """Run a one-group kernel on every group ``g`` packed into one call."""
+def _counted(eps: float):
+    """Weighted neighbour counts of a block pair's points."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        return pd.concat([fn(sub) for _, sub in pdf.groupby("g", sort=False)], ignore_index=True)
+        x, y = _sides(pdf)
+        near, g = _meet(x, y, eps), pdf["g"].iat[0]
+        parts = [(x["sid"], near @ y["weight"].to_numpy())] + ([] if x is y else [(y["sid"], near.T @ x["weight"].to_numpy())])
+        return pd.concat([_frame(g=np.full(len(s), g), sid=s, n=n) for s, n in parts], ignore_index=True)
     return run
 
 
-def _count_kernel(eps: float):
-    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        same, x, y, mx, my, nzx, nzy = _blocks(pdf)
-        adj = _adjacency(mx, my, nzx, nzy, eps)
-        g = pdf["g"].iat[0]
-        parts = [pd.DataFrame({"g": g, "sid": x["sid"], "n": adj @ y["weight"].to_numpy()})]
-        if not same:
-            parts.append(pd.DataFrame({"g": g, "sid": y["sid"], "n": adj.T @ x["weight"].to_numpy()}))
-        return pd.concat(parts, ignore_index=True)
-    return _each_group(fn)
-
-
-def _propagate(adj: np.ndarray, lx: np.ndarray, ly: np.ndarray, same: bool):
-    """Min-label propagation over a (bipartite or square) boolean adjacency."""
-    big = np.iinfo(np.int64).max
-    while True:
-        nx_ = np.minimum(lx, np.where(adj, ly[None, :], big).min(axis=1, initial=big))
-        if same:
-            ny_ = nx_
-        else:
-            ny_ = np.minimum(ly, np.where(adj, nx_[:, None], big).min(axis=0, initial=big))
-        if np.array_equal(nx_, lx) and np.array_equal(ny_, ly):
-            return lx, ly
-        lx, ly = nx_, ny_
-
-
-def _forest_kernel(eps: float):
-    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf[pdf["core"]]
-        g = pdf["g"].iat[0] if len(pdf) else None
-        empty = pd.DataFrame({"g": pd.Series([], dtype="int64"), "u": pd.Series([], dtype="int64"),
-                              "v": pd.Series([], dtype="int64")})
-        if not len(pdf):
-            return empty
-        same, x, y, mx, my, nzx, nzy = _blocks(pdf)
-        if not len(x) or not len(y):
-            return empty
-        adj = _adjacency(mx, my, nzx, nzy, eps)
-        sx, sy = x["sid"].to_numpy(np.int64), y["sid"].to_numpy(np.int64)
-        lx, ly = _propagate(adj, sx.copy(), sy.copy(), same)
-        # every point linked to its local component's smallest id: a spanning star forest
-        us = np.concatenate([sx, sy]) if not same else sx
-        ls = np.concatenate([lx, ly]) if not same else lx
-        keep = us != ls
-        out = pd.DataFrame({"g": g, "u": us[keep], "v": ls[keep]}).drop_duplicates()
-        return out
-    return _each_group(fn)
-
-
-def _border_kernel(eps: float):
-    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        same, x, y, mx, my, nzx, nzy = _blocks(pdf)
-        adj = _adjacency(mx, my, nzx, nzy, eps)
-        g = pdf["g"].iat[0]
-        big = np.iinfo(np.int64).max
-        out = []
-
-        def side(adj_, pts, cores):
-            lab = np.where(cores["core"].to_numpy(), cores["label"].fillna(-1).to_numpy(np.int64), -1)
-            ok = adj_ & (lab >= 0)[None, :]
-            best = np.where(ok, lab[None, :], big).min(axis=1, initial=big)
-            sel = (~pts["core"].to_numpy()) & (best < big)
-            out.append(pd.DataFrame({"g": g, "sid": pts["sid"].to_numpy()[sel], "label": best[sel]}))
-
-        side(adj, x, y)
-        if not same:
-            side(adj.T, y, x)
-        return pd.concat(out, ignore_index=True)
-    return _each_group(fn)
-
-
-def _assigned(members: DataFrame, block_size: int) -> DataFrame:
-    """(g, sid, gk, blk, nb): each member's task key, its block and its group's number of blocks.
-
-    A group of ``block_size`` points or more keeps its own key and is cut into hash blocks; smaller groups
-    are packed into bins of about ``block_size`` rows (one number — the rows in small groups — reaches the
-    driver to size the bins), so tiny groups do not cost one Python call each.
-    """
-    sizes = materialize(members.groupBy("g").agg(F.count("*").alias("_n")), "dbscan-sizes")
-    small_rows = sizes.where(F.col("_n") < block_size).agg(F.sum("_n")).first()[0] or 0
-    n_bins = max(1, -(-int(small_rows) // block_size))
-    nb = F.greatest(F.ceil(F.col("_n") / F.lit(block_size)), F.lit(1)).cast("int")
-    gk = F.when(F.col("_n") >= block_size, F.col("g")).otherwise(-1 - F.pmod(F.xxhash64("g"), F.lit(n_bins)))
-    return members.join(sizes, "g").select("g", "sid", gk.alias("gk"), F.pmod(F.xxhash64("sid"), nb.cast("long")).cast("int").alias("blk"),
-                                           nb.alias("nb"))
-
-
-def _pairs(assigned: DataFrame, points: DataFrame) -> DataFrame:
-    """Each member copied to every block pair of its group that contains its block, task key ``(gk, bi, bj)``.
-    The copies exist in the shuffle of a pass only; what is stored are the assignments."""
-    return (assigned.join(points, "sid").withColumn("k", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
-            .withColumn("bi", F.least("blk", "k")).withColumn("bj", F.greatest("blk", "k")).drop("k", "nb"))
+def _linked(eps: float):
+    """Links of a block pair: cores to the smallest core of their local tree, others to every local tree they touch."""
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        x, y = _sides(pdf)
+        near, g = _meet(x, y, eps), pdf["g"].iat[0]
+        cx, cy, sx, sy = x["core"].to_numpy(bool), y["core"].to_numpy(bool), x["sid"].to_numpy(np.int64), y["sid"].to_numpy(np.int64)
+        lx, ly = _low_labels(near & cx[:, None] & cy, sx, sy, x is y)
+        a, b = np.nonzero(near & ~cx[:, None] & cy)
+        parts = [(sx[cx], lx[cx], 1), (sx[a], ly[b], 0)]
+        if x is not y:
+            b, a = np.nonzero(near & cx[:, None] & ~cy)
+            parts += [(sy[cy], ly[cy], 1), (sy[a], lx[b], 0)]
+        out = pd.concat([_frame(g=np.full(len(u), g), u=u, v=v, core=np.full(len(u), c)) for u, v, c in parts], ignore_index=True)
+        return out[out["u"] != out["v"]].drop_duplicates()
+    return run
 
 
 def components(edges: DataFrame, nodes: DataFrame, max_rounds: int | None = None) -> DataFrame:
@@ -189,30 +182,89 @@ def components(edges: DataFrame, nodes: DataFrame, max_rounds: int | None = None
             return labels
 
 
+def _prefixes(points: DataFrame, least: float) -> DataFrame:
+    """(g, sid, pre): each point's rarest grams up to where the norm of the rest is below ``least`` of the whole."""
+    entries = points.select("g", "sid", F.explode(F.arrays_zip("grams", "cnts")).alias("e")).select("g", "sid", "e.grams", "e.cnts")
+    often = materialize(entries.groupBy("g", "grams").agg(F.count("*").alias("df")), "gram-counts")
+    vectors = (entries.join(often, ["g", "grams"]).groupBy("g", "sid")          # a list is as long as its text at most
+               .agg(F.array_sort(F.collect_list(F.struct("df", "grams", "cnts"))).alias("es")))
+    squared = F.transform("es", lambda e: e["cnts"].cast("double") * e["cnts"])
+    total = F.aggregate(squared, F.lit(0.0), lambda s, c: s + c)
+    state = F.struct(F.lit(0.0).alias("s"), F.lit(0).alias("k"))
+    rest = F.aggregate(F.reverse(squared), state, lambda st, c: F.struct(
+        (st["s"] + c).alias("s"), F.when(st["s"] + c < F.lit(least * least) * total, st["k"] + 1).otherwise(st["k"]).alias("k")))
+    return vectors.select("g", "sid", F.transform(F.slice("es", F.lit(1), F.size("es") - rest["k"]), lambda e: e["grams"]).alias("pre"))
+
+
+def slots_of(points: DataFrame, sizes: DataFrame, eps: float, block_size: int) -> DataFrame:
+    """(g, sid, slot, pos, pre, blk, nb): where the points of large groups meet, stored.
+
+    ``slot`` is the list's gram, or null for the one slot of a group whose index would make more copies;
+    ``pre[:pos]`` are the point's lists before this one."""
+    parts = lambda n: F.ceil(n / F.lit(block_size)).cast("int")
+    whole = points.join(sizes, "g").select("g", "sid", "n", (F.col("n") * parts(F.col("n"))).alias("copies"))
+    gram_type = points.schema["grams"].dataType
+    empty = F.array().cast(gram_type)
+    block = F.pmod(F.xxhash64("sid"), F.col("nb").cast("long")).cast("int").alias("blk")
+    if round(1.0 - eps, 9) > 1e-6:
+        pre = materialize(_prefixes(points, round(1.0 - eps, 9) - 1e-8), "prefixes")
+        posts = pre.select("g", "sid", "pre", F.posexplode("pre").alias("pos", "slot"))
+        lists = materialize(posts.groupBy("g", "slot").agg(F.count("*").alias("n")), "index-lists")
+        cost = lists.groupBy("g").agg(F.sum(F.col("n") * parts(F.col("n"))).alias("index_copies"))
+        plain = whole.groupBy("g").agg(F.first("copies").alias("copies"))
+        indexed = materialize(cost.join(plain, "g").where("index_copies < copies").select("g"), "indexed-groups")
+        listed = (posts.join(indexed, "g", "left_semi").join(lists, ["g", "slot"])
+                  .where("n > 1 or pos = 0")                     # a point alone in its list meets itself in its first one
+                  .withColumn("nb", parts(F.col("n"))).select("g", "sid", "slot", "pos", "pre", block, "nb"))
+        whole = whole.join(indexed, "g", "left_anti")
+    one = whole.withColumn("nb", parts(F.col("n"))).select(
+        "g", "sid", F.lit(None).cast(gram_type.elementType).alias("slot"), F.lit(0).alias("pos"), empty.alias("pre"), block, "nb")
+    return materialize(one if round(1.0 - eps, 9) <= 1e-6 else one.unionByName(listed), "slots")
+
+
+def _block_pairs(slots: DataFrame, points: DataFrame):
+    """Points in every block pair of their slots, grouped by block pair. The copies exist in the shuffle only."""
+    rows = (slots.join(points, ["g", "sid"]).withColumn("k", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
+            .withColumn("bi", F.least("blk", "k")).withColumn("bj", F.greatest("blk", "k")).drop("k", "nb"))
+    return rows.groupBy("g", "slot", "bi", "bj")
+
+
+def _large_groups(points: DataFrame, sizes: DataFrame, eps: float, min_samples: int, block_size: int) -> DataFrame:
+    points = materialize(points, "large-groups")
+    slots = slots_of(points, sizes, eps, block_size)
+    counts = (_block_pairs(slots, points).applyInPandas(_counted(eps), "g long, sid long, n long")
+              .groupBy("g", "sid").agg(F.sum("n").alias("n")))
+    flags, m = materialize_observed(counts.select("g", "sid", (F.col("n") >= min_samples).alias("core")), "dbscan-cores",
+                                    cores=F.count_if("core"))
+    if m["cores"] == 0:
+        return flags.limit(0).select("g", "sid", F.col("sid").alias("label"))
+    links = materialize(_block_pairs(slots, points.join(flags, ["g", "sid"])).applyInPandas(
+        _linked(eps), "g long, u long, v long, core long"), "dbscan-links")
+    labels = components(links.where("core = 1").select("g", "u", "v"), flags.where("core").select("g", "sid"))
+    to = labels.select("g", F.col("sid").alias("v"), "label")
+    borders = (links.where("core = 0").join(to, ["g", "v"]).groupBy("g", F.col("u").alias("sid")).agg(F.min("label").alias("label")))
+    return labels.unionByName(borders)
+
+
 def dbscan(members: DataFrame, points: DataFrame, eps: float, min_samples: int,
-           block_size: int = 512) -> DataFrame:
+           block_size: int = 512, task_points: int = TASK_POINTS) -> DataFrame:
     """Cluster labels per (g, sid); noise points are absent.
 
     ``members``: (g, sid) group membership. ``points``: (sid, weight, grams, cnts) with
-    ``grams``/``cnts`` the parallel arrays of a point's n-gram counts.
+    ``grams``/``cnts`` the parallel arrays of a point's n-gram counts. Groups of fewer points than
+    ``min_samples`` in weight hold no core and are left out before any vector moves.
     """
     checkpoint_dir(members.sparkSession)
     pts = points.select("sid", "weight", "grams", "cnts")
-    assigned = materialize(_assigned(members.select("g", "sid"), block_size), "dbscan-members")
-    pairs = _pairs(assigned, pts).select(*_PAIR_COLS)
-    keys = ["gk", "bi", "bj"]
-    counts = (pairs.groupBy(*keys).applyInPandas(_count_kernel(eps), "g long, sid long, n double")
-              .groupBy("g", "sid").agg(F.sum("n").alias("n")))
-    flags, m = materialize_observed(counts.select("g", "sid", (F.col("n") >= min_samples).alias("core")),
-                                    "dbscan-core", cores=F.count_if("core"))
-    if m["cores"] == 0:
-        return flags.where(F.lit(False)).select("g", "sid", F.lit(None).cast("long").alias("label"))
-    flagged = materialize(assigned.join(flags, ["g", "sid"]), "dbscan-flags")
-    forest = (_pairs(flagged.where("core"), pts).groupBy(*keys)
-              .applyInPandas(_forest_kernel(eps), "g long, u long, v long"))
-    cores = flags.where("core").select("g", "sid")
-    labels = components(forest, cores)
-    with_label = materialize(flagged.join(cores.select("g").distinct(), "g", "left_semi").join(labels, ["g", "sid"], "left"), "dbscan-labels")
-    borders = (_pairs(with_label, pts).groupBy(*keys).applyInPandas(_border_kernel(eps), "g long, sid long, label long")
-               .groupBy("g", "sid").agg(F.min("label").alias("label")))
-    return labels.unionByName(borders)
+    heavy = members.select("g", "sid").join(points.select("sid", "weight"), "sid").groupBy("g").agg(
+        F.count("*").alias("n"), F.sum("weight").alias("w")).where(F.col("w") >= min_samples).select("g", "n")
+    sizes, m = materialize_observed(heavy, "group-sizes", small=F.sum(F.when(F.col("n") <= task_points, F.col("n"))),
+                                    large=F.count_if(F.col("n") > task_points))
+    bins = max(1, -(-(m["small"] or 0) // task_points))
+    rows = members.select("g", "sid").join(sizes, "g").join(pts, "sid")
+    small = rows.where(F.col("n") <= task_points).withColumn("bin", F.pmod(F.xxhash64("g"), F.lit(bins))).drop("n")
+    out = small.groupBy("bin").applyInPandas(_settled(eps, min_samples), "g long, sid long, label long")
+    if m["large"]:
+        large = sizes.where(F.col("n") > task_points)
+        out = out.unionByName(_large_groups(rows.where(F.col("n") > task_points).drop("n"), large, eps, min_samples, block_size))
+    return out
