@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 
 from tests import bruteforce as bf
 from tests.conftest import SF001, SF01
-from warband.functions.indel import indel_ratio, lcs_length
 from warband.operators.minhash import band_layout, signature
 from warband.operators.sequences import action_shingles, known_sequences, unknown_sequences
 from warband.plans import gold
@@ -16,16 +15,6 @@ TEST_PARAMS = dict(ngram_n=2, char_n=3, num_perm=128, lsh_threshold=0.5, dbscan_
                    dbscan_min_samples=5, min_matches_per_player=2)
 
 
-def test_lcs_matches_dp():
-    rng = random.Random(7)
-    for _ in range(300):
-        a = "".join(rng.choice("abc,") for _ in range(rng.randint(0, 40)))
-        b = "".join(rng.choice("abcd") for _ in range(rng.randint(0, 70)))
-        assert lcs_length(a, b) == bf.lcs_dp(a, b)
-        assert indel_ratio(a, b) == pytest.approx(bf.indel(a, b), abs=1e-12)
-    assert indel_ratio("", "") == 1.0
-
-
 def test_signature_matches_python(spark):
     seqs = [["a", "b", "c", "d"], ["a", "b"], ["x"], ["a", "b", "c", "a", "b", "c"]]
     df = spark.createDataFrame([(s,) for s in seqs], "actions array<string>")

@@ -187,3 +187,22 @@ def test_pairwise_cosine_linear_form(spark):
     c = m.mean(axis=0)
     d = np.round(((m - c) ** 2).sum(axis=1), 6)
     assert rep == [i for i in vecs for _ in range(weights[i])][int(np.argmin(d))]
+
+
+def test_indel_kernel_equals_the_table():
+    """Batches of pairs over several words, alphabets and equal second strings against the plain LCS table."""
+    from warband.functions.indel import indel_ratios
+    rng = random.Random(1)
+    a, b = [], []
+    for _ in range(300):
+        letters = rng.choice(["ab", "abcdefgh ,", "aé日🙂x"])
+        a.append("".join(rng.choice(letters) for _ in range(rng.choice([0, 1, 5, 63, 64, 65, 130]))))
+        b.append(rng.choice(b) if b and rng.random() < 0.5 else "".join(rng.choice(letters) for _ in range(rng.choice([0, 1, 63, 64, 65, 128, 129]))))
+    want = [1.0 if not x and not y else 2 * bf.lcs_dp(x, y) / (len(x) + len(y)) for x, y in zip(a, b)]
+    assert (indel_ratios(a, b) == want).all()
+
+
+def test_indel_of_nulls(spark):
+    from warband.functions.indel import indel_similarity
+    df = spark.createDataFrame([("abc", "abd"), (None, "a"), ("a", None), ("", ""), ("", "x")], "a string, b string")
+    assert [r[0] for r in df.select(indel_similarity("a", "b")).collect()] == [pytest.approx(2 / 3), None, None, 1.0, 0.0]

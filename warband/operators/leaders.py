@@ -114,7 +114,7 @@ def leader_rounds(buckets: DataFrame, max_rounds: int | None = None, task_rows:
         low = materialize(und.groupBy(*KEY).agg(F.min("sid").alias("_m")), "bucket-minima")
         smallest = (und.join(low, KEY).groupBy("sid").agg(F.bool_and(F.col("_m") == F.col("sid")).alias("_ok"))
                     .where("_ok").select("sid"))
-        leaders = materialize(walked.union(smallest).distinct(), "leaders")
+        leaders = materialize(walked.union(smallest).distinct(), "round-leaders")
         found.append(leaders)
         und, m = materialize_observed(und.join(_covered(und, leaders), "sid", "left_anti"), "leader-open", rows=F.count("*"))
     leaders = found[0]

@@ -55,8 +55,14 @@ def medoid(members: DataFrame, vectors: DataFrame, ckey: str = "ckey") -> DataFr
     return d.groupBy(ckey).agg(F.min(F.struct("_d", "sid")).alias("_m")).select(ckey, F.col("_m.sid").alias("rep_sid"))
 
 
-def _rep_join(members: DataFrame, seqs: DataFrame, reps: DataFrame, ckey: str) -> DataFrame:
-    return members.join(seqs, "sid").join(reps, ckey)
+def _against_representative(members: DataFrame, seqs: DataFrame, reps: DataFrame, ckey: str, **measures) -> DataFrame:
+    """Weighted means of row measures against the group's representative.
+
+    The joined rows are stored with their measures: aggregated in the join's own stage they would have to stay
+    partitioned by the group, and one large group's rows could not be split over tasks."""
+    rows = members.join(seqs, "sid").join(reps, ckey)
+    rows = materialize(rows.select(ckey, "weight", *[m.alias(n) for n, m in measures.items()]), "against-representatives")
+    return rows.groupBy(ckey).agg(*[(F.sum(F.col("weight") * F.col(n)) / F.sum("weight")).alias(n) for n in measures])
 
 
 def _jaccard():
@@ -64,16 +70,12 @@ def _jaccard():
     return F.try_divide(F.size(F.array_intersect(a, r)).cast("double"), F.size(F.array_union(a, r)))
 
 
-def _weighted_mean(x):
-    return F.sum(F.col("weight") * x) / F.sum("weight")
-
-
 def avg_jaccard(members: DataFrame, seqs: DataFrame, reps: DataFrame, ckey: str = "ckey") -> DataFrame:
     """Weighted mean Jaccard of action sets against the group's representative.
 
     ``seqs``: (sid, actions, …); ``reps``: (ckey, rep_actions, …).
     """
-    return _rep_join(members, seqs, reps, ckey).groupBy(ckey).agg(_weighted_mean(_jaccard()).alias("avg_jaccard"))
+    return _against_representative(members, seqs, reps, ckey, avg_jaccard=_jaccard())
 
 
 def avg_against_representative(members: DataFrame, seqs: DataFrame, reps: DataFrame,
@@ -82,8 +84,7 @@ def avg_against_representative(members: DataFrame, seqs: DataFrame, reps: DataFr
     between every row and its group's representative, in one pass.
 
     ``seqs``: (sid, actions, build_order_seq); ``reps``: (ckey, rep_actions, rep_seq).
-    The indel UDF runs once per distinct sequence of a group, not per copy.
+    The indel kernel sees each distinct sequence of a group once, not every copy.
     """
-    ind = indel_similarity(F.col("build_order_seq"), F.col("rep_seq"))
-    return _rep_join(members, seqs, reps, ckey).groupBy(ckey).agg(
-        _weighted_mean(_jaccard()).alias("avg_jaccard"), _weighted_mean(ind).alias("avg_levenshtein"))
+    return _against_representative(members, seqs, reps, ckey, avg_jaccard=_jaccard(),
+                                   avg_levenshtein=indel_similarity(F.col("build_order_seq"), F.col("rep_seq")))
