@@ -1,5 +1,8 @@
 """Language ID and toxicity: held-out accuracy and defined cases."""
 
+import math
+import re
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -62,6 +65,20 @@ def test_nnpu_finds_the_marked_feature():
     assert w[0] + w[-1] > 0 > w[-1] and w[0] == w[:-1].max()
 
 
+def test_scores_equal_the_plain_sum(spark):
+    """The batch scores against a sum over the texts' features, one at a time, with a fitted model."""
+    docs, labels = table(spark, SF01, "documents"), table(spark, SF01, "labels")
+    model = fit_toxicity(docs, labels)
+    number = {f: i for i, f in enumerate(model.features)}
+    want = {}
+    for r in docs.collect():
+        words = set(re.findall(r"[^\W\d_]+", (r.text or "").lower()))
+        own = {number[f] for w in words for f in word_features(w) if f in number}
+        want[r.doc_id] = 1 / (1 + math.exp(-max(-30, min(30, model.weights[-1] + sum(model.weights[i] for i in own)))))
+    got = {r.doc_id: r.score for r in score_toxicity(docs, model).collect()}
+    assert got == pytest.approx(want, abs=1e-9)
+
+
 def test_toxicity_accuracy(spark):
     labels = table(spark, SF01, "labels").toPandas()
     got = op9_toxicity(spark, SF01).toPandas().merge(labels, on="doc_id", how="left")

@@ -151,7 +151,7 @@ def test_ngram_cases(spark):
     by = {}
     for r in got.collect():
         by.setdefault(r.doc_id, []).append((r.n_shingles, r.component_id))
-    assert by[1] == [(10, 1)] and by[2] == [(10, 1)] and by[10] == [(10, 1)] * 2 and by[None] == [(10, None)]
+    assert by[1] == [(10, 1)] and by[2] == [(10, 1)] and by[10] == [(10, 1)] * 2 and by[None] == [(10, 1)]
     assert by[3] == [(0, 3)] and by[4] == [(0, 4)] and by[5] == [(1, 5)] and sorted(by[6])[0] == (1, 5) and by[7] == [(1, 7)] and by[8] == [(1, 8)]
     assert by[9][0][1] == 9
     assert N.ngram_components(docs.limit(0)).count() == 0

@@ -17,7 +17,7 @@ def held_out(id_col: Column) -> Column:
     return F.coalesce(F.crc32(id_col.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def row_key(id_col: str, text_col: str) -> list[Column]:
+def row_key(id_col: str | Column, text_col: str | Column) -> list[Column]:
     """128 hash bits of a row's id and text; rows that repeat both are one document."""
     return [F.xxhash64(id_col, text_col).alias("k1"), F.xxhash64(F.lit(3), text_col, id_col).alias("k2")]
 

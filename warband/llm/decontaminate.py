@@ -44,6 +44,7 @@ ANSWER_WORDS = 3
 COUNTED = 0.6       # above 1 - PARAPHRASE, so that a leak cannot miss all counted words
 BLOCK_CHARS, BLOCK_ITEMS = 8_000_000, 400
 BLOCK_WINDOWS = MAX_RANK - MIN_RANK // 2
+MARKED_ROWS = 500            # texts whose marked terms are held at once
 SPAN = 16           # windows counted together at first
 _SLICE = 512
 ROWS = 300          # documents whose dense products are held at once
@@ -381,13 +382,13 @@ def _block_leaks(rows: DataFrame, items: Items, n_docs: int, item_type: str, id_
 
     def marked(batches):
         get = rare_b.value.get
-        for b in batches:
+        for b in (big.slice(lo, MARKED_ROWS) for big in batches for lo in range(0, big.num_rows, MARKED_ROWS)):
             pos, term, ok = [], [], []
-            for t in b.column(2).to_pylist():
-                hits = [(p, i) for p, w in enumerate(words_of(t)) if (i := get(w)) is not None]
+            for t in b.column(2):
+                hits = [(p, i) for p, w in enumerate(words_of(t.as_py())) if (i := get(w)) is not None]
                 ok.append(bool(hits))
-                pos.append([p for p, _ in hits])
-                term.append([i for _, i in hits])
+                pos.append(np.fromiter((p for p, _ in hits), np.int32, len(hits)))
+                term.append(np.fromiter((i for _, i in hits), np.int32, len(hits)))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(pos, pa.list_(pa.int32())), pa.array(term, pa.list_(pa.int32()))],
                                              names=["k1", "k2", "pos", "term"]).filter(pa.array(ok, pa.bool_()))
 

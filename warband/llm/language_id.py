@@ -20,7 +20,8 @@ BUCKET_BITS = 16
 MAX_TRAIN_ROWS = 40_000
 MAX_LANGUAGES = 2_000
 UNDETERMINED = "und"
-_CHARS_PER_PASS = 4_000_000
+_CHARS_PER_PASS = 1_000_000
+_ROWS = 1_000                # rows of a batch taken at once
 _SPACE = 32
 
 
@@ -73,6 +74,12 @@ def _passes(texts: list[str]):
         yield lo, len(texts)
 
 
+def sliced(batches):
+    for b in batches:
+        for lo in range(0, b.num_rows, _ROWS):
+            yield b.slice(lo, _ROWS)
+
+
 def has_letters(text: str) -> bool:
     return any(map(str.isalpha, text))
 
@@ -113,7 +120,7 @@ def fit_languages(rows: DataFrame, train: Column, text_col: str = "text", lang_c
     def counted(batches):
         sums: dict[str, np.ndarray] = {}
         docs: dict[str, int] = {}
-        for b in batches:
+        for b in sliced(batches):
             texts, langs = b.column(0).to_pylist(), np.array(b.column(1).to_pylist(), dtype=object)
             for lang in sorted(set(langs)):
                 own = [t for t, g in zip(texts, langs) if g == lang and has_letters(t)]
@@ -160,7 +167,7 @@ def predict_languages(rows: DataFrame, model: LanguageModel, text_col: str = "te
     fields = [rows.schema[c] for c in keep]
 
     def scored(batches):
-        for b in batches:
+        for b in sliced(batches):
             names, scores = shared.value.predict([t or "" for t in b.column(at).to_pylist()])
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(names, pa.string()), pa.array(scores)],
                                              names=[*keep, "lang_pred", "lang_score"])

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from warband.llm.common import components, stream_groups
+from warband.llm.common import components, row_key, stream_groups
 from warband.llm.shingle_sets import SHINGLE, WordHashes, _mix, shingle_rows, shingle_sets
 from warband.session import materialize
 
@@ -123,7 +123,7 @@ def region_links(values: np.ndarray, offsets: np.ndarray, num: int = NUM, den: i
             b.append(y)
 
     region = np.full(m, -1)
-    pivots, dist = [], []
+    pivots, close = [], []            # of each pivot, the sets that may link into its region
     while (free := np.flatnonzero(region < 0)).size:
         p = int(free[0])
         inter = meet(p)
@@ -133,13 +133,15 @@ def region_links(values: np.ndarray, offsets: np.ndarray, num: int = NUM, den: i
             join(p, x)
         region[near & (region < 0)] = len(pivots)
         pivots.append(p)
-        dist.append((1 - inter / (size + size[p] - inter)).astype(np.float32))
-    if len(pivots) > 1:
-        d = np.stack(dist)
-        slack = 1e-5
         # a set linked into another region lies within 2ε of that region's pivot
-        for x in np.flatnonzero((d <= 2 * eps + slack).sum(axis=0) > 1).tolist():
-            tops = {find(pivots[j]) for j in np.flatnonzero(d[:, x] <= 2 * eps + slack).tolist()}
+        close.append(np.flatnonzero(1 - inter / (size + size[p] - inter) <= 2 * eps + 1e-5))
+    if len(pivots) > 1:
+        at = np.concatenate(close)
+        by = np.argsort(at, kind="stable")
+        of = np.repeat(pivots, list(map(len, close)))[by]
+        ends = np.searchsorted(at[by], np.arange(m + 1))
+        for x in np.flatnonzero(np.diff(ends) > 1).tolist():
+            tops = {find(p) for p in of[ends[x]:ends[x + 1]].tolist()}
             if tops - {find(x)}:
                 for y in np.flatnonzero(linked(meet(x), size, size[x], num, den)).tolist():
                     join(x, y)
@@ -147,20 +149,22 @@ def region_links(values: np.ndarray, offsets: np.ndarray, num: int = NUM, den: i
 
 
 def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE,
-                     num: int = NUM, den: int = DEN) -> DataFrame:
-    """One row per input row: the id, ``n_shingles`` and ``component_id`` (smallest id reachable by links).
+                     num: int = NUM, den: int = DEN, with_keys: bool = False) -> DataFrame:
+    """One row per input row: the id, ``n_shingles`` and ``component_id`` (smallest id reachable by links);
+    ``with_keys`` adds ``group_key`` (a number of the component, null without words) and the row's ``k1`` and ``k2``.
 
-    Null texts and texts without words have no shingles and link with nothing (their component is their own id). Equal sets link. Rows that repeat an id are rows of their own. A null id takes part in links
-    but is never a component's id; alone, its component is null. Other columns are not read. An empty table gives an
+    Null texts and texts without words have no shingles and link with nothing (their component is their own id). Equal sets link. Rows
+    that repeat an id are rows of their own. A row with a null id links as any other but is never a component's id:
+    its component is the smallest id it reaches, null if none. Other columns are not read. An empty table gives an
     empty result.
     """
     kind = docs.schema[id_col].dataType.simpleString()
-    texts = docs.select(docs[id_col].alias("id"), docs[text_col].cast("binary").alias("text"))
+    texts = docs.select(docs[id_col].alias("id"), *row_key(docs[id_col], docs[text_col]), docs[text_col].cast("binary").alias("text"))
     order = docs.sparkSession.sparkContext.broadcast(frequent_buckets(texts.select("text"), size))   # 2^18 counts
 
     def described(batches):
         known = WordHashes()
-        for (ids,), rows in _texts(batches, 1):
+        for (ids, k1, k2), rows in _texts(batches, 3):
             value, offs = shingle_sets(rows, known, size)
             n = np.diff(offs)
             owner = np.repeat(np.arange(len(n)), n)
@@ -174,17 +178,20 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
             hist = np.bincount(owner * CLASSES + (value & np.uint64(CLASSES - 1)).astype(np.int64), minlength=len(n) * CLASSES)
             hist = np.minimum(hist, 255).astype(np.uint8).tobytes()
             yield pa.RecordBatch.from_arrays(
-                [ids, pa.array(n), pa.array(digest.view(np.int64), mask=n == 0),
+                [ids, k1, k2, pa.array(n), pa.array(digest.view(np.int64), mask=n == 0),
                  pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(keep)].astype(np.int32)), pa.array(value[first].view(np.int64))),
                  pa.array([hist[i * CLASSES:(i + 1) * CLASSES] for i in range(len(n))], pa.binary())],
-                names=["id", "n", "node", "front", "hist"])
+                names=["id", "k1", "k2", "n", "node", "front", "hist"])
 
-    sets = materialize(texts.mapInArrow(described, f"id {kind}, n bigint, node bigint, front array<bigint>, hist binary"), "shingle-sets")
-    posted = sets.where("n > 0 and id is not null").select("node", F.col("n").cast("int").alias("n"), F.explode("front").alias("cell"))
-    often = materialize(posted.groupBy("cell").agg(F.count("*").alias("m")).where("m > 1").select("cell"), "shared-cells")
-    inside = materialize(posted.join(often, "cell").distinct(), "cell-sets")
-    count = materialize(inside.groupBy("cell").agg(F.count("*").alias("m")).where("m > 1"), "cell-sizes")
-    inside = materialize(inside.join(count, "cell"), "cells")
+    described_as = f"id {kind}, k1 bigint, k2 bigint, n bigint, node bigint, front array<bigint>, hist binary"
+    sets = materialize(texts.mapInArrow(described, described_as), "shingle-sets")
+    # one row per distinct set, so that neither copies nor repeated ids come into the joins below
+    hist = sets.where("n > 0").groupBy("node").agg(F.min("id").alias("first_id"), F.min("k1").alias("one"), F.min("n").alias("n"),
+                                                   F.min("hist").alias("hist"), F.min("front").alias("front"))
+    hist = materialize(hist, "set-histograms")
+    posted = hist.select("node", F.col("n").cast("int").alias("n"), F.explode("front").alias("cell"))
+    often = materialize(posted.groupBy("cell").agg(F.count("*").alias("m")).where("m > 1"), "shared-cells")
+    inside = materialize(posted.join(often, "cell"), "cells")
 
     # every cell is first compared with one pivot of its own, its smallest set by digest
     pivot = materialize(inside.groupBy("cell").agg(F.min(F.struct("node", "n")).alias("p")), "cell-pivots")
@@ -192,9 +199,6 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
                                               F.col("n").alias("nb")).where("a <> b")
     aimed = materialize(aimed, "cell-stars")
     sizes_fit = (F.col("na") * den >= F.col("nb") * num) & (F.col("nb") * den >= F.col("na") * num)
-    hist = sets.where("n > 0 and id is not null").groupBy("node").agg(F.min("id").alias("one"), F.min("n").alias("n"), F.min("hist").alias("hist"))
-    hist = materialize(hist, "set-histograms")
-
     def side(name: str) -> DataFrame:
         return hist.select(F.col("node").alias(name), F.col("n").alias(f"n{name}"), F.col("hist").alias(f"h{name}"))
 
@@ -249,9 +253,9 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     def fetched(nodes: DataFrame, label: str) -> DataFrame:
         """(node, set) of the given sets, shingled again from a text that has each."""
         wanted = materialize(hist.join(nodes.distinct(), "node").select("node", "one"), f"{label}-wanted")
-        ids = wanted.select(F.col("one").alias("id")).distinct()
-        full = texts.join(ids, "id").select("text").mapInArrow(listed, "node bigint, set array<bigint>")
-        return materialize(full.join(wanted.select("node"), "node").dropDuplicates(["node"]), label)      # an id may repeat
+        rows = wanted.select(F.col("one").alias("k1")).distinct()
+        full = texts.join(rows, "k1").select("text").mapInArrow(listed, "node bigint, set array<bigint>")
+        return materialize(full.join(wanted.select("node"), "node").dropDuplicates(["node"]), label)      # a row may repeat
 
     def verified(near: DataFrame, label: str) -> DataFrame:
         """The pairs whose sets link. Pairs of one ``a`` are split into parts, each with a copy of its set."""
@@ -317,12 +321,10 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
               .sortWithinPartitions(*keys, "node").mapInArrow(regions, "a bigint, b bigint"))
     links = materialize(links.union(joined).distinct(), "set-links")
     comp = components(links)
-    lead = sets.where("node is not null and id is not null").join(comp, "node", "left").select(
-        "id", "node", F.coalesce("component", "node").alias("component"))
-    least = materialize(lead.groupBy("component").agg(F.min("id").alias("component_id")), "component-ids")
-    named = materialize(comp.join(least, "component").select("node", "component_id"), "node-components")
-    alone = hist.join(named, "node", "left").select("node", F.coalesce("component_id", "one").alias("component_id"))
-    alone = materialize(alone, "set-components")
-    return sets.select("id", "n", "node").join(alone, "node", "left").select(
-        F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
-        F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id")).alias("component_id"))
+    named = hist.select("node", "first_id").join(comp, "node", "left").select("node", "first_id", F.coalesce("component", "node").alias("component"))
+    named = materialize(named, "set-components")
+    least = materialize(named.groupBy("component").agg(F.min("first_id").alias("component_id")), "component-ids")
+    named = materialize(named.join(least, "component").select("node", "component", "component_id"), "node-components")
+    return sets.select("id", "k1", "k2", "n", "node").join(named, "node", "left").select(
+        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id"),
+        *([F.col("component").alias("group_key"), "k1", "k2"] if with_keys else []))

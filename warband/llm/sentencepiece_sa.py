@@ -32,7 +32,7 @@ from warband.llm.bpe import NEVER, Spines, merge_once
 
 SPACE = "▁"
 CHUNK = re.compile("▁+[^▁\n]*|[^▁\n]+|\n")
-MAX_CHUNKS = 400_000        # chunks remembered per worker; beyond it the memory is emptied and filled anew
+MAX_CHUNKS = 150_000        # chunks remembered per worker; beyond it the memory is emptied and filled anew
 ROWS_PER_BATCH = 500        # texts taken together by one suffix array
 _UNKNOWN, _CONTROL, _BYTE = 2, 3, 6   # piece types of the model format
 

@@ -6,7 +6,7 @@ import numpy as np
 import xxhash
 
 SHINGLE = 4
-MAX_WORDS = 500_000
+MAX_WORDS = 150_000
 
 
 class WordHashes(dict):
