@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from warband.llm.common import held_out
+from warband.llm.common import held_out, row_key
 from warband.llm.decontaminate import decontaminate
 from warband.llm.language_id import UNDETERMINED, fit_languages, predict_languages
 from warband.llm.line_dedup import dedup_lines
@@ -43,13 +43,19 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group (five-word shingles, Jaccard similarity of 0.8 or more), the one with the
-    smallest id; of rows that repeat an id the first by text."""
+    """One document of each near-duplicate group (five-word shingles, Jaccard similarity of 0.8 or more): the one with the
+    smallest id, null ids last. Documents are told apart by id and text, so another text under the same id stays unless it
+    is a near-duplicate itself. Documents without words stay."""
     ship_package(spark)
-    groups = ngram_components(docs, size=5, num=80).where("doc_id is not null and doc_id <> component_id").select("doc_id").distinct()
-    rest = docs.join(materialize(groups, "near-duplicates"), "doc_id", "left_anti")
-    nth = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
-    return rest.withColumn("_nth", nth).where("_nth = 1 or doc_id is null").select(*docs.columns)
+    key = ["k1", "k2"]
+    groups = materialize(ngram_components(docs, size=5, num=80, with_keys=True).select("doc_id", "group_key", *key), "near-duplicates")
+    first = groups.where("group_key is not null").groupBy("group_key").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", *key)).alias("first")).select(*[F.col("first")[k].alias(k) for k in key])
+    wordless = groups.where("group_key is null").select(*key).distinct()
+    kept = materialize(first.withColumn("one", F.lit(True)).union(wordless.withColumn("one", F.lit(False))), "kept-documents")
+    rows = docs.select(F.struct(*docs.columns).alias("row"), *row_key(docs["doc_id"], docs["text"])).join(kept, key)
+    nth = F.row_number().over(Window.partitionBy(*key).orderBy(F.lit(1)))      # a kept row that is repeated stays once
+    return rows.withColumn("nth", nth).where("nth = 1 or not one").select(*[F.col("row")[c].alias(c) for c in docs.columns])
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
