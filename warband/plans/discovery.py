@@ -19,6 +19,7 @@ from warband.operators.sequences import (UNKNOWN_KEYS, action_shingles, char_ngr
                                          unknown_sequences)
 from warband.operators.similarity import avg_against_representative, avg_jaccard, avg_pairwise_cosine, medoid
 from warband.session import checkpoint_dir, materialize
+from warband.sources.publish import publish_path, publish_table
 
 
 def sequence_ids(rows: DataFrame, order_cols: list[str]) -> tuple[DataFrame, DataFrame]:
@@ -193,10 +194,7 @@ def publish_clusters(spark: SparkSession, clusters: DataFrame, table: str = "gol
     if clusters.isEmpty():
         return False
     if path:
-        clusters.write.mode("overwrite").parquet(path)
-        return True
-    db = table.split(".")[0] if "." in table else None
-    if db:
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
-    clusters.write.mode("overwrite").saveAsTable(table)
+        publish_path(clusters, path)
+    else:
+        publish_table(clusters, table)
     return True

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from warband.functions.casts import word_match
+from warband.sources.publish import publish_path, publish_table
 
 
 def player_match_results(silver: DataFrame) -> DataFrame:
@@ -145,30 +146,26 @@ def gold_frames(silver: DataFrame, pmr: DataFrame | None = None) -> dict[str, Da
 
 
 def run_metrics(spark: SparkSession, silver_table: str, database: str = "gold") -> list[str]:
-    """Build every gold table from a stored silver table, replacing old versions.
+    """Build every gold table from a stored silver table, replacing old versions (see ``sources.publish``).
 
     ``player_match_results`` is written first and read back for the two tables that use it,
     as the reference does with its stored table.
     """
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     silver = spark.table(silver_table)
-    player_match_results(silver).write.mode("overwrite").saveAsTable(f"{database}.player_match_results")
-    pmr = spark.table(f"{database}.player_match_results")
-    written = ["player_match_results"]
-    for name, frame in gold_frames(silver, pmr).items():
-        if name == "player_match_results":
-            continue
-        frame.write.mode("overwrite").saveAsTable(f"{database}.{name}")
-        written.append(name)
-    return written
+    publish_table(player_match_results(silver), f"{database}.player_match_results")
+    frames = gold_frames(silver, spark.table(f"{database}.player_match_results"))
+    for name in GOLD_TABLES[1:]:
+        publish_table(frames[name], f"{database}.{name}")
+    return list(GOLD_TABLES)
 
 
 def write_gold(silver: DataFrame, path: str) -> list[str]:
     """G9 without a catalog: every gold table as a parquet folder under ``path``, old versions replaced."""
     spark = silver.sparkSession
     base = path.rstrip("/")
-    player_match_results(silver).write.mode("overwrite").parquet(f"{base}/player_match_results")
+    publish_path(player_match_results(silver), f"{base}/player_match_results")
     frames = gold_frames(silver, spark.read.parquet(f"{base}/player_match_results"))
     for name in GOLD_TABLES[1:]:
-        frames[name].write.mode("overwrite").parquet(f"{base}/{name}")
+        publish_path(frames[name], f"{base}/{name}")
     return list(GOLD_TABLES)

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from warband.functions.casts import elapsed_seconds, lenient_int, strict_double, win_flag
 from warband.schema import SILVER_COLUMNS
+from warband.session import materialize
+from warband.sources.publish import publish_path, publish_table
 
 
 def events_clean(bronze: DataFrame) -> DataFrame:
@@ -36,6 +38,10 @@ def events_clean(bronze: DataFrame) -> DataFrame:
     ).select(*SILVER_COLUMNS)
 
 
+MATCH_KEY = ("match_id", "player_id")
+HOT_SHARE = 4                # a bucketed table is written where no (match, player) holds more rows than so many average buckets
+
+
 def write_silver(silver: DataFrame, path: str) -> None:
     """Write silver clustered by (match_id, player_id) — the key of every gold group-by.
 
@@ -43,6 +49,22 @@ def write_silver(silver: DataFrame, path: str) -> None:
     sorting within files gives tight min/max statistics for match/player lookups (the
     reference's two secondary indexes become this layout).
     """
-    (silver.hint("rebalance", "match_id", "player_id")
-     .sortWithinPartitions("match_id", "player_id", "seconds_since_start")
-     .write.mode("overwrite").parquet(path))
+    publish_path(silver.hint("rebalance", *MATCH_KEY).sortWithinPartitions(*MATCH_KEY, "seconds_since_start"), path)
+
+
+def store_silver(silver: DataFrame, table: str, buckets: int = 64) -> bool:
+    """Silver as a catalog table bucketed and sorted by (match_id, player_id); True if it was bucketed.
+
+    Gold group-bys and the openings' ranks and join read buckets without an exchange. A bucket is one
+    task, so a table in which one (match, player) outweighs ``HOT_SHARE`` average buckets is stored in the clustered
+    layout of ``write_silver`` instead, whose hot rows Spark can split. Old versions are replaced: the rows are
+    written beside and renamed."""
+    spark = silver.sparkSession
+    silver = materialize(silver, "silver")
+    rows, most = silver.groupBy(*MATCH_KEY).agg(F.count("*").alias("n")).agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max("n"), F.lit(0))).first()
+    if most * buckets > HOT_SHARE * rows:
+        publish_table(silver.hint("rebalance", *MATCH_KEY).sortWithinPartitions(*MATCH_KEY, "seconds_since_start"), table)
+        return False
+    # one file a bucket: every task would else write a file for each of its buckets
+    publish_table(silver.repartition(buckets, *MATCH_KEY), table, bucket_by=(buckets, MATCH_KEY))
+    return True

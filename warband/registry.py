@@ -7,6 +7,7 @@ except where a key says otherwise.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,8 +22,8 @@ from warband.operators.sequences import (UNKNOWN_KEYS, action_shingles, char_ngr
                                          modal_sequence, unknown_sequences)
 from warband.operators.similarity import avg_jaccard, avg_pairwise_cosine
 from warband.plans import analyst, discovery, gold
-from warband.session import materialize
-from warband.plans.silver import events_clean
+from warband.plans.silver import events_clean, store_silver
+from warband.session import checkpoint_dir, materialize
 from warband.sources.adapter import ACTIVITY_OF_EVENT_TYPE, load_bronze, traces_from_bronze
 from warband.sources.xes import events_of_fragments
 
@@ -212,9 +213,9 @@ def _q_known_variation(spark, sf_dir):
     return out.select("strategy", "num_matches", *[F.round(c, 4).alias(c) for c in ("avg_jaccard", "avg_ngram", "avg_levenshtein")])
 
 
-def _cluster_rows(spark, sf_dir, **params):
+def _cluster_rows(openings, **params):
     """Clusters under the first rows of their group and first core: a 64-bit id cannot be written in SQL."""
-    out = discovery.unknown_cluster_rows(openings_of(spark, sf_dir), **params)
+    out = discovery.unknown_cluster_rows(openings, **params)
     return out.select(F.col("group_first.match_id").alias("group_match_id"), F.col("group_first.player_id").alias("group_player_id"),
                       F.col("cluster_first.match_id").alias("cluster_match_id"), F.col("cluster_first.player_id").alias("cluster_player_id"),
                       "num_matches", "winrate", "num_players",
@@ -222,11 +223,53 @@ def _cluster_rows(spark, sf_dir, **params):
 
 
 def _q_unknown_clusters(spark, sf_dir):
-    return _cluster_rows(spark, sf_dir, **DISCOVERY_TEST)
+    return _cluster_rows(openings_of(spark, sf_dir), **DISCOVERY_TEST)
 
 
 def _q_unknown_clusters_default(spark, sf_dir):
-    return _cluster_rows(spark, sf_dir, **DISCOVERY_RUN)
+    return _cluster_rows(openings_of(spark, sf_dir), **DISCOVERY_RUN)
+
+
+def _repeated_openings(spark, sf_dir):
+    """Openings whose actions follow their rank: matches of a player all open alike, in one of two ways."""
+    names = F.array(*[F.lit(a) for a in ACTIVITY_OF_EVENT_TYPE.values()])
+    step = ((F.col("action_rank") - 1) % len(ACTIVITY_OF_EVENT_TYPE)).cast("int")
+    turned = F.expr("cast(substr(player_id, 2) as bigint) div 4 % 2") == 1
+    return openings_of(spark, sf_dir).withColumn("activity", F.element_at(names, F.when(turned, -1 - step).otherwise(1 + step)))
+
+
+def _q_unknown_clusters_repeated(spark, sf_dir):
+    """U17 with the reference's parameters where unnamed openings do recur."""
+    return _cluster_rows(_repeated_openings(spark, sf_dir), **DISCOVERY_RUN)
+
+
+def _scratch(spark, name: str) -> str:
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def _q_silver_stored(spark, sf_dir):
+    """Silver as the bucketed table gives it back."""
+    table = f"silver_stored_{uuid.uuid4().hex}"
+    store_silver(silver_of(spark, sf_dir), table)
+    return spark.table(table)
+
+
+def _q_gold_published(spark, sf_dir):
+    """The player summary as the published gold tables hold it, after an older version was replaced."""
+    path = _scratch(spark, "gold")
+    silver = materialize(silver_of(spark, sf_dir), "silver")
+    gold.write_gold(silver.where("player_id < 'p5'"), path)
+    gold.write_gold(silver, path)
+    return spark.read.parquet(f"{path}/player_summary")
+
+
+def _q_clusters_published(spark, sf_dir):
+    """The clusters as published; the empty result that follows leaves them as they were."""
+    path = _scratch(spark, "clusters")
+    found = _q_unknown_clusters_repeated(spark, sf_dir)
+    stored = discovery.publish_clusters(spark, found, path=path)
+    discovery.publish_clusters(spark, found.limit(0), path=path)
+    return spark.read.parquet(path) if stored else found.limit(0)
 
 
 def _q_cluster_summary(spark, sf_dir):
@@ -272,6 +315,10 @@ def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "known_variation": _q_known_variation,
         "unknown_clusters": _q_unknown_clusters,
         "unknown_clusters_default": _q_unknown_clusters_default,
+        "unknown_clusters_repeated": _q_unknown_clusters_repeated,
+        "silver_stored": _q_silver_stored,
+        "gold_published": _q_gold_published,
+        "clusters_published": _q_clusters_published,
         "cluster_summary": _q_cluster_summary,
     }
     return q
@@ -375,12 +422,18 @@ def oracle_queries() -> dict[str, str]:
           f"r.civilization, r.map_type, r.win FROM members m JOIN kept USING (leader) "
           f"JOIN walk g ON g.rk = m.leader JOIN walk r ON r.rk = m.rk",
     }
-    clusters = (*op, O.UNKNOWN_ROWS, O.shingles_cte(DISCOVERY_TEST["ngram_n"]), O.signature_cte(DISCOVERY_TEST["ngram_n"], NUM_PERM),
-                O.leader_groups_sql(bands, rows),
-                O.dbscan_sql(DISCOVERY_TEST["dbscan_eps"], DISCOVERY_TEST["dbscan_min_samples"], DISCOVERY_TEST["char_n"]),
-                O.cluster_stats_sql(DISCOVERY_TEST["dbscan_min_samples"], DISCOVERY_TEST["min_matches_per_player"]),
+    def clusters_of(op, p):
+        eps, samples, char_n = p.get("dbscan_eps", 0.3), p.get("dbscan_min_samples", 50), p.get("char_n", p["ngram_n"])
+        return (*op, O.UNKNOWN_ROWS, O.shingles_cte(p["ngram_n"]), O.signature_cte(p["ngram_n"], NUM_PERM), O.leader_groups_sql(bands, rows),
+                O.dbscan_sql(eps, samples, char_n), O.cluster_stats_sql(samples, p["min_matches_per_player"]),
                 O.CLUSTER_INDEL_PAIRS, O.indel_ctes("cl_pairs"), O.CLUSTER_INDEL)
 
+    clusters = clusters_of(op, DISCOVERY_TEST)
+    repeated = clusters_of((*op[:-1], O.openings_cte(100, "ranked_openings"), O.repeated_openings_cte(list(ACTIVITY_OF_EVENT_TYPE.values()))), DISCOVERY_RUN)
+    cluster_columns = ("SELECT g.match_id AS group_match_id, g.player_id AS group_player_id, l.match_id AS cluster_match_id, "
+                       "l.player_id AS cluster_player_id, c.num_matches, c.winrate, c.num_players, c.avg_ngram, c.avg_jaccard, v.avg_levenshtein "
+                       "FROM cstats c JOIN clev v USING (leader, label) JOIN walk g ON g.rk = c.leader JOIN walk l ON l.rk = c.label")
+
     def recursive(*ctes: str) -> str:
         return O.with_(*ctes).replace("WITH ", "WITH RECURSIVE ", 1)
 
@@ -397,10 +450,11 @@ def oracle_queries() -> dict[str, str]:
           "ROUND(100 * AVG(n.ratio), 4) AS avg_levenshtein "
           "FROM kn k JOIN modal m USING (strategy) JOIN kn_count c USING (strategy) LEFT JOIN kn_cos s USING (strategy) "
           "JOIN indel n ON n.a = k.build_order_seq AND n.b = m.rep_seq GROUP BY k.strategy",
-        "unknown_clusters": recursive(*clusters)
-        + "SELECT g.match_id AS group_match_id, g.player_id AS group_player_id, l.match_id AS cluster_match_id, "
-          "l.player_id AS cluster_player_id, c.num_matches, c.winrate, c.num_players, c.avg_ngram, c.avg_jaccard, v.avg_levenshtein "
-          "FROM cstats c JOIN clev v USING (leader, label) JOIN walk g ON g.rk = c.leader JOIN walk l ON l.rk = c.label",
+        "unknown_clusters": recursive(*clusters) + cluster_columns,
+        "unknown_clusters_repeated": recursive(*repeated) + cluster_columns,
+        "clusters_published": recursive(*repeated) + cluster_columns,
+        "silver_stored": out_base["events_clean"],
+        "gold_published": out_base["player_summary"],
         "cluster_summary": recursive(*clusters)
         + "SELECT num_matches, num_players, ROUND(winrate, 2) AS winrate, avg_ngram, avg_jaccard, avg_levenshtein "
           "FROM cstats JOIN clev USING (leader, label)",

@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from warband.schema import BRONZE_COLUMNS
+from warband.sources.publish import publish_path
 
 _ATTR = T.ArrayType(T.StructType([T.StructField("_key", T.StringType()),
                                   T.StructField("_value", T.StringType())]))
@@ -140,4 +141,4 @@ def events_of_fragments(frags: DataFrame) -> DataFrame:
 
 def write_bronze(bronze: DataFrame, path: str) -> None:
     """Replace the bronze parquet folder."""
-    bronze.write.mode("overwrite").parquet(path)
+    publish_path(bronze, path)
