@@ -2,13 +2,13 @@
 
 Lines are the stretches between line feeds. A chunk is a run of consecutive lines that each occur more
 than once in the corpus; inside a run a border falls around every line of ``long_line`` words or more,
-and wherever the rolling hash over the last two line hashes has a fixed remainder. A chunk of fewer than
-``min_words`` words counts only as one with a neighbour that follows or precedes it directly. All these rules
-look at line contents only, so a passage put at another place of another document is cut in the same
-way from its first border on. Known gap: a line that is frequent elsewhere and stands directly beside a passage joins its
-run, so a passage of lines shorter than ``long_line`` has other first and last chunks beside other such lines, and
-these match nothing. Chunks whose hash occurs more than once are compared byte for byte (by
-grouping on their text); of equal chunks the first (smallest id, then place) stays and the others go.
+wherever the rolling hash over the last two line hashes has a fixed remainder, and wherever a line occurs in
+the corpus another number of times than the line before, so that a frequent line beside a passage is no part of
+its chunks. A chunk of fewer than ``min_words`` words counts only as one with a neighbour that follows or
+precedes it directly. All these rules look at line contents and corpus counts only, so a passage put at another
+place of another document is cut in the same way from its first border on. Chunks whose hash occurs more than
+once are compared byte for byte (by grouping on their text); of equal chunks the first (smallest id, then place)
+stays and the others go.
 
 Everything is DataFrame code. What is shuffled are line hashes, the texts of repeated chunks, and the texts
 once at the end; hot lines are counted with partial aggregation and joined against stored counts, so
@@ -42,13 +42,14 @@ def removed_lines(docs: DataFrame, id_col: str, text_col: str, min_words: int, l
     # the outer form: an inner one makes Spark test the array's size first, splitting the texts twice
     lines = materialize(base.select(*key, "id", F.posexplode_outer("ls").alias("pos", "line")).where("pos is not null")
                         .select(*key, "id", "pos", F.md5("line").alias("h"), words_in(F.col("line")).alias("nw")), "line-hashes")
-    often = materialize(lines.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"), "repeated-lines")
+    often = materialize(lines.groupBy("h").agg(F.count("*").alias("n")).where("n > 1"), "repeated-lines")
     w = Window.partitionBy(*key).orderBy("pos")
     before = lambda c: F.lag(c).over(w)
     rolled = F.substring(F.md5(F.concat(before("h"), F.col("h"))), 1, 1)
-    opens = (F.coalesce(before("pos") + 1 != F.col("pos"), F.lit(True)) | (F.col("nw") >= long_line)
+    opens = (F.coalesce(before("pos") + 1 != F.col("pos"), F.lit(True)) | (before("n") != F.col("n")) | (F.col("nw") >= long_line)
              | (before("nw") >= long_line) | rolled.isin(*BORDER_DIGITS))
-    runs = lines.join(often, "h").distinct().withColumn("opens", F.when(opens, 1).otherwise(0))
+    # stored before repeated rows go: aggregated in the join's stage, a hot line's rows could not be split over tasks
+    runs = materialize(lines.join(often, "h"), "run-lines").distinct().withColumn("opens", F.when(opens, 1).otherwise(0))
     runs = runs.withColumn("chunk", F.sum("opens").over(w.rowsBetween(Window.unboundedPreceding, 0)))
     parts = (runs.groupBy(*key, "chunk").agg(F.first("id").alias("id"), F.min("pos").alias("a"), F.max("pos").alias("b"),
                                              F.sum("nw").alias("nw"), F.sort_array(F.collect_list(F.struct("pos", "h"))).alias("hs")))
@@ -100,11 +101,11 @@ ORACLE_SQL = f"""
 WITH d AS (SELECT DISTINCT doc_id, text FROM documents WHERE text IS NOT NULL),
 l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
              generate_subscripts(string_split(text, chr(10)), 1) - 1 AS pos FROM d),
-c AS (SELECT line FROM (SELECT unnest(string_split(text, chr(10))) AS line FROM documents) GROUP BY line HAVING COUNT(*) > 1),
-r AS (SELECT l.*, md5(line) AS h, CASE WHEN trim(line) = '' THEN 0
+c AS (SELECT line, COUNT(*) AS n FROM (SELECT unnest(string_split(text, chr(10))) AS line FROM documents) GROUP BY line HAVING COUNT(*) > 1),
+r AS (SELECT l.*, n, md5(line) AS h, CASE WHEN trim(line) = '' THEN 0
         ELSE length(trim(line)) - length(replace(trim(line), ' ', '')) + 1 END AS nw
-      FROM l SEMI JOIN c USING (line)),
-o AS (SELECT *, CASE WHEN lag(pos) OVER w IS DISTINCT FROM pos - 1 OR nw >= {LONG_LINE} OR lag(nw) OVER w >= {LONG_LINE}
+      FROM l JOIN c USING (line)),
+o AS (SELECT *, CASE WHEN lag(pos) OVER w IS DISTINCT FROM pos - 1 OR lag(n) OVER w <> n OR nw >= {LONG_LINE} OR lag(nw) OVER w >= {LONG_LINE}
                        OR substr(md5(lag(h) OVER w || h), 1, 1) IN ('0', '4', '8', 'c') THEN 1 ELSE 0 END AS opens
       FROM r WINDOW w AS (PARTITION BY doc_id ORDER BY pos)),
 n AS (SELECT *, SUM(opens) OVER (PARTITION BY doc_id ORDER BY pos ROWS UNBOUNDED PRECEDING) AS chunk FROM o),
