@@ -1,4 +1,5 @@
 import os
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -61,12 +62,22 @@ def test_no_xes_file(spark, scratch):
         read_xes(spark, scratch).count()
 
 
-def test_prefixed_tags_fail_loudly(spark, scratch):
-    text = HEADER.replace("<log xmlns=", "<xes:log xmlns:xes=") + \
-        '<xes:trace><xes:string key="concept:name" value="a"/></xes:trace></xes:log>'
-    write_log(scratch, "p.xes", text)
-    with pytest.raises(Exception, match="prefixed"):
-        read_xes(spark, scratch).count()
+def _prefixed(text):
+    return re.sub(r"<(/?)(log|trace|event|string|date|float|int)\b", r"<\1xes:\2", text).replace("xmlns=", "xmlns:xes=")
+
+
+def test_prefixed_tags_read_like_plain_ones(spark, scratch):
+    """Logs whose tags carry a namespace prefix, beside plain ones; a prefix of its own on a trace raises."""
+    plain, prefixed, mixed = (os.path.join(scratch, d) for d in ("plain", "prefixed", "mixed"))
+    write_log(plain, "a.xes", edge_log())
+    write_log(prefixed, "a.xes", _prefixed(edge_log()))
+    want = sorted(map(repr, read_xes(spark, plain).collect()))
+    assert sorted(map(repr, read_xes(spark, prefixed).collect())) == want and len(want) == 146
+    write_log(prefixed, "b.xes", HEADER + REAL["a"] + "</log>")
+    assert read_xes(spark, prefixed).count() == 148
+    write_log(mixed, "a.xes", HEADER + _prefixed(REAL["a"]) + "</log>")
+    with pytest.raises(Exception, match="prefix"):
+        read_xes(spark, mixed).count()
 
 
 REAL = {c: trace(c, [attr("string", "match_id", "m" + c)], [event("Queue Villager", "2023-01-01T00:00:00+00:00", index=i) for i in (1, 2)])
@@ -82,13 +93,44 @@ def test_odd_elements_lose_no_trace(spark, scratch, odd):
 
 
 @pytest.mark.parametrize("body", [REAL["a"].replace("Queue", "Queue & Build"), REAL["a"].replace("</event>", "</evnt>", 1),
-                                  "<!-- x </trace> -->" + REAL["a"], REAL["a"].replace("\t</trace>", "<!-- </trace>")])
+                                  REAL["a"].replace("\t</trace>", "<!-- </trace>"), REAL["a"].replace("</trace>", "</trace >") + REAL["a"]])
 def test_malformed_traces_raise(spark, scratch, body):
     write_log(scratch, "m.xes", HEADER + REAL["b"] + body + "</log>\n")
     with pytest.raises(Exception):
         read_xes(spark, scratch).collect()
 
 
+OLD = REAL["b"].replace("case", "old")
+
+
+@pytest.mark.parametrize("section", ["<!-- x </trace> -->", f"<!-- {OLD} {OLD} -->", f"<![CDATA[{OLD}]]>", "<!-- </trace> --><!-- <![CDATA[ </trace> -->",
+                                     "<![CDATA[ <!-- </trace> ]]>", "<!-- > -- </trace>\n</trace> -->"])
+def test_end_tags_inside_sections(spark, scratch, section):
+    """Comments and CDATA sections that hold end tags of traces, before, inside, between and after traces."""
+    inside = REAL["b"].replace("</event>", "</event>" + section, 1)
+    write_log(scratch, "s.xes", HEADER + section + REAL["a"] + section + inside + section + "</log>\n")
+    rows = read_xes(spark, scratch).collect()
+    assert sorted(r["event_id"] for r in rows) == ["a-1", "a-2", "b-1", "b-2"]
+
+
+def test_a_section_beyond_its_part_of_the_file_raises(spark, scratch):
+    write_log(scratch, "s.xes", HEADER + REAL["a"] + "<!-- " + "x </trace> " * 400 + "-->" + REAL["b"] + "</log>\n")
+    assert read_xes(spark, scratch).count() == 4
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+    try:
+        with pytest.raises(Exception, match="maxPartitionBytes"):
+            read_xes(spark, scratch).count()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_the_text_is_scanned_once(spark, scratch):
+    write_log(scratch, "s.xes", edge_log())
+    plan = read_xes(spark, scratch)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan text") == 1 and "Exchange" not in plan
+
+
 def test_cut_off_file_raises(spark, scratch):
     whole = HEADER + REAL["a"] + REAL["b"] + "</log>\n"
     write_log(scratch, "whole.xes", whole)

@@ -1,10 +1,12 @@
 """XES event logs → bronze rows.
 
-The files are read as text records ending in ``</trace>``, so Hadoop splits a large file
-into many tasks (a trace that crosses a split is read by the split where it starts). Each
+The files are read as text records ending in the end tag of a trace, so Hadoop splits a large file
+into many tasks (a trace that crosses a split is read by the split where it starts). Records that such a
+tag cut inside a comment or a CDATA section are joined again. Each
 record is cut to its ``<trace …>…</trace>`` fragment and parsed by ``from_xml`` with a fixed
 schema: attribute elements become ``(key, value)`` arrays per element type. Memory per row
-is one trace; nothing passes through the driver.
+is one trace. The driver reads the first and last bytes of each file, for the namespace prefix of
+its tags and its end tag; the text is scanned once, by the tasks.
 
 Attribute rules: event ``concept:name`` (string) is the activity, the event's ``date`` is
 ``ts``, trace ``concept:name`` is the case id, and trace attributes overwrite event
@@ -16,10 +18,15 @@ event's position within its trace. Malformed XML in a trace and files without an
 
 from __future__ import annotations
 
+import re
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
+
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.utils import AnalysisException
 
 from warband.schema import BRONZE_COLUMNS
 from warband.sources.publish import publish_path
@@ -31,6 +38,9 @@ TRACE_SCHEMA = T.StructType([T.StructField(tag, _ATTR) for tag in ("string", "fl
                             + [T.StructField("event", T.ArrayType(_EVENT))])
 
 _NAME = "concept:name"
+END = "</trace>"
+EDGE = 1 << 16               # bytes read of each end of a file
+_LOG_END = re.compile(rb"</(?:[\w.-]+:)?log\s*>|<(?:[\w.-]+:)?log(?:\s[^>]*)?/>")
 
 
 def _entries(arr) -> Column:
@@ -64,38 +74,115 @@ def xes_glob(path: str) -> str:
     return path if path.endswith(".xes") else f"{path.rstrip('/')}/*.xes"
 
 
-def fragments(raw: DataFrame) -> DataFrame:
-    """Cut text records (ending before ``</trace>``) to their ``<trace …>…</trace>`` part.
-
-    Comments and CDATA sections are cut out first, then traces closed in their own tag (they hold no events).
-    Traces do not nest, so what is left holds at most one opening tag. A comment or CDATA section that
-    itself holds a trace end tag splits a record in two; its first half is left open, which raises.
+def whole_records(raw: DataFrame, end: str = END) -> DataFrame:
+    """Text records of ``raw`` (value, file, block) with those joined again that ``end`` cut inside a comment or a CDATA section.
+
+    A record whose last section is open goes on with the records that follow it in its part of the file, up to where
+    the section closes. Batches without sections pass unchanged. A section that is open at the end of a part stays so,
+    which ``fragments`` reports."""
+    def run(batches):
+        held, place = "", None
+        for b in batches:
+            value, places = b.column(0), list(zip(b.column(1).to_pylist(), b.column(2).to_pylist()))
+            if not held and not pc.any(pc.match_substring_regex(value, r"<!--|<!\[CDATA\[")).as_py():
+                yield pa.RecordBatch.from_arrays([value], names=["value"])
+                continue
+            out = []
+            for text, here in zip(value.to_pylist(), places):
+                if held and here != place:
+                    out.append(held)
+                    held = ""
+                text, place = (held + end + text if held else text), here
+                held = text if open_section(text) else ""
+                if not held:
+                    out.append(text)
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], names=["value"])
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array([held], pa.string())], names=["value"])
+    return raw.mapInArrow(run, "value string")
+
+
+def open_section(text: str) -> bool:
+    """Whether the text ends inside a comment or a CDATA section. Markup cannot stand in attribute values, so every start is one."""
+    at = 0
+    while True:
+        starts = [(i, close) for mark, close in (("<!--", "-->"), ("<![CDATA[", "]]>")) if (i := text.find(mark, at)) >= 0]
+        if not starts:
+            return False
+        i, close = min(starts)
+        at = text.find(close, i + 4)
+        if at < 0:
+            return True
+
+
+def fragments(records: DataFrame, prefix: str = "") -> DataFrame:
+    """Cut text records (ending before the end tag of a trace) to their ``<trace …>…</trace>`` part.
+
+    Comments and CDATA sections are cut out first, then the prefix of the tags' names, then traces closed in their own tag
+    (they hold no events). Traces do not nest, so what is left holds at most one opening tag; more, tags of another
+    prefix, and sections that no part of the file closes raise.
     """
     value = F.regexp_replace("value", r"(?s)<!--.*?-->|<!\[CDATA\[.*?\]\]>", "")
+    if prefix:
+        value = F.regexp_replace(value, rf"<(/?){re.escape(prefix)}:", "<$1")
     value = F.regexp_replace(value, r"<trace(?:\s(?:[^>\"']|\"[^\"]*\"|'[^']*')*)?/>", "")
-    bad = (F.when(F.col("v").rlike(r"<[A-Za-z_][A-Za-z0-9_.-]*:trace[\s>]"), F.lit("namespace-prefixed XES tags are not supported"))
-           .when(F.col("v").rlike(r"<!--|<!\[CDATA\["), F.lit("a comment or CDATA section is not closed within its trace")))
+    bad = (F.when(F.col("v").rlike(r"<[A-Za-z_][A-Za-z0-9_.-]*:trace[\s>]"), F.lit("trace tags of another namespace prefix than their log's"))
+           .when(F.col("v").rlike(r"<!--|<!\[CDATA\["), F.lit("a comment or CDATA section reaches beyond its part of the file: read with a larger "
+                                                              "spark.sql.files.maxPartitionBytes, or it is not closed at all"))
+           .when(F.col("v").rlike(r"(?s)<trace[\s>].*<trace[\s>]"), F.lit("a trace that is not closed by a plain end tag")))
     found = F.regexp_extract("v", r"(?s)<trace[\s>].*", 0)
-    frag = F.when(bad.isNotNull(), F.raise_error(bad)).when(found != "", F.concat(found, F.lit("</trace>")))
-    return raw.select(value.alias("v")).select(frag.alias("xml")).where(F.col("xml").isNotNull())
+    frag = F.when(bad.isNotNull(), F.raise_error(bad)).when(found != "", F.concat(found, F.lit(END)))
+    return records.select(value.alias("v")).select(frag.alias("xml")).where(F.col("xml").isNotNull())
+
+
+@dataclass(frozen=True)
+class LogFile:
+    path: str
+    prefix: str          # of the log's tags, "" if none
+    ended: bool
+
+
+def log_files(spark: SparkSession, path: str) -> list[LogFile]:
+    """The ``*.xes`` files directly in ``path`` with what their first and last ``EDGE`` bytes tell. The driver reads these bytes only."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    at = jvm.org.apache.hadoop.fs.Path(xes_glob(path))
+    fs = at.getFileSystem(conf)
 
+    def edges(status) -> LogFile:
+        stream, size = fs.open(status.getPath()), status.getLen()
+        try:
+            n = min(size, EDGE)
+            head = bytes(jvm.org.apache.commons.io.IOUtils.toByteArray(stream, n))
+            stream.seek(size - n)
+            tail = bytes(jvm.org.apache.commons.io.IOUtils.toByteArray(stream, n))
+        finally:
+            stream.close()
+        head = re.sub(rb"(?s)<!--.*?-->", b"", head)
+        prefix = re.search(rb"<(?:([\w.-]+):)?log[\s>/]", head)
+        return LogFile(status.getPath().toString(), (prefix[1] or b"").decode() if prefix else "", bool(_LOG_END.search(tail)))
 
-def check_complete(raw: DataFrame) -> None:
-    """Raise when a file has no end of its log: it was cut off, and its last trace with it."""
-    ended = F.max(F.col("value").rlike(r"</(?:[\w.-]+:)?log\s*>|<(?:[\w.-]+:)?log(?:\s[^>]*)?/>"))
-    cut = raw.groupBy(F.col("_metadata.file_path").alias("file")).agg(ended.alias("ended")).where("not ended").select("file").head(3)
-    if cut:
-        raise ValueError("log files without an end tag (cut off?): " + ", ".join(r["file"] for r in cut))
+    with ThreadPoolExecutor(16) as pool:
+        return list(pool.map(edges, fs.globStatus(at) or []))
 
 
 def trace_fragments(spark: SparkSession, path: str) -> DataFrame:
     """One row per ``<trace>`` element of every ``*.xes`` file directly in ``path``."""
-    try:
-        raw = spark.read.option("lineSep", "</trace>").text(xes_glob(path))
-    except AnalysisException as exc:
-        raise FileNotFoundError(f"No .xes files found in {path}") from exc
-    check_complete(raw)
-    return fragments(raw)
+    files = log_files(spark, path)
+    if not files:
+        raise FileNotFoundError(f"No .xes files found in {path}")
+    if cut := [f.path for f in files if not f.ended][:3]:
+        raise ValueError("log files without an end tag (cut off?): " + ", ".join(cut))
+    out = None
+    for prefix in sorted({f.prefix for f in files}):
+        end = f"</{prefix}:trace>" if prefix else END
+        raw = spark.read.option("lineSep", end).text([f.path for f in files if f.prefix == prefix])
+        part = fragments(whole_records(located(raw), end), prefix)
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def located(raw: DataFrame) -> DataFrame:
+    return raw.select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
 
 
 def read_xes(spark: SparkSession, path: str) -> DataFrame:

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from warband.sources.xes import events_of_fragments, fragments
+from warband.sources.xes import events_of_fragments, fragments, located, whole_records
 
 
 def ingest_stream(spark: SparkSession, source_dir: str, bronze_path: str, checkpoint: str,
@@ -25,7 +25,7 @@ def ingest_stream(spark: SparkSession, source_dir: str, bronze_path: str, checkp
     reader = spark.readStream.format("text").option("lineSep", "</trace>").option("pathGlobFilter", "*.xes")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    bronze = events_of_fragments(fragments(reader.load(source_dir)))
+    bronze = events_of_fragments(fragments(whole_records(located(reader.load(source_dir)))))
     writer = (bronze.writeStream.format("parquet").option("path", bronze_path)
               .option("checkpointLocation", checkpoint).outputMode("append"))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")
