@@ -45,6 +45,7 @@ COUNTED = 0.6       # above 1 - PARAPHRASE, so that a leak cannot miss all count
 BLOCK_CHARS, BLOCK_ITEMS = 8_000_000, 400
 BLOCK_WINDOWS = MAX_RANK - MIN_RANK // 2
 MARKED_ROWS = 500            # texts whose marked terms are held at once
+ROWS_AT_ONCE = 64            # windows whose product is taken together
 SPAN = 16           # windows counted together at first
 _SLICE = 512
 ROWS = 300          # documents whose dense products are held at once
@@ -111,10 +112,17 @@ class Passages:
         self.weight = (w / norm[self.row]) if len(w) else w
 
     def times(self, m: np.ndarray) -> np.ndarray:
-        """This matrix times a dense terms × n one."""
-        if not len(self.start):
-            return np.zeros((0, m.shape[1]))
-        return np.add.reduceat(m[self.term] * self.weight.astype(m.dtype)[:, None], self.start, axis=0)
+        """This matrix times a dense terms × n one: a few rows at once, as a dense product over the terms they hold."""
+        out = np.zeros((len(self.start), m.shape[1]), m.dtype)
+        weight, ends = self.weight.astype(m.dtype), np.r_[self.start, len(self.term)]
+        for lo in range(0, len(self.start), ROWS_AT_ONCE):
+            hi = min(lo + ROWS_AT_ONCE, len(self.start))
+            part = slice(ends[lo], ends[hi])
+            terms, at = np.unique(self.term[part], return_inverse=True)
+            dense = np.zeros((hi - lo, len(terms)), m.dtype)
+            dense[self.row[part] - lo, at] = weight[part]
+            np.matmul(dense, m[terms], out=out[lo:hi])
+        return out
 
     def pair_sums(self, n_terms: int) -> tuple[np.ndarray, np.ndarray]:
         """Entries on and above the diagonal of this matrix's Gram matrix: keys ``t1 * n_terms + t2`` and sums."""
