@@ -131,6 +131,42 @@ def test_the_text_is_scanned_once(spark, scratch):
     assert plan.count("FileScan text") == 1 and "Exchange" not in plan
 
 
+@pytest.mark.parametrize("part_bytes", [300, 1_000, 7_000, 1 << 20])
+def test_events_joined_with_their_traces(spark, scratch, part_bytes):
+    """Records of single events: traces over many parts of a file, attributes before, between and after events, prefixes,
+    sections, missing indexes and empty traces give the rows of the reader by traces."""
+    plain, prefixed = edge_log(), _prefixed(edge_log())
+    odd = "<!-- <trace> -->" + REAL["a"].replace("</event>", '</event><string key="map_type" value="late"/>', 1) + "<trace/><trace></trace>" \
+        + REAL["b"].replace('<int key="@@index" value="1"/>', "").replace('<int key="@@index" value="2"/>', "") + '<trace kind="x > y"><event/></trace>'
+    write_log(scratch, "a.xes", plain)
+    write_log(scratch, "b.xes", prefixed)
+    write_log(scratch, "c.xes", HEADER + odd + "</log>\n")
+    want = sorted(map(repr, read_xes(spark, scratch).collect()))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(part_bytes))
+    try:
+        got = sorted(map(repr, read_xes(spark, scratch, large_traces=True).collect()))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert got == want and len(want) > 290
+
+
+def test_a_trace_is_never_one_row(spark, scratch):
+    """One trace of many events over many parts: no stored piece is longer than an event, and places count through."""
+    from warband.sources.xes import events_of_pieces, trace_pieces
+    evs = [event("Queue Villager", "2023-01-01T00:00:00+00:00").replace("\t", "") for _ in range(3_000)]
+    write_log(scratch, "long.xes", HEADER + trace("one", [attr("string", "match_id", "m1")], evs) + "</log>\n")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "40000")
+    try:
+        pieces = trace_pieces(spark, scratch)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert pieces.agg(F.max(F.length("xml"))).first()[0] < 600 and pieces.where("kind = 'part'").count() > 5
+    rows = events_of_pieces(pieces).collect()
+    assert {r["event_id"] for r in rows} == {f"one-{i}" for i in range(3_000)} and {r["match_id"] for r in rows} == {"m1"}
+
+
 def test_cut_off_file_raises(spark, scratch):
     whole = HEADER + REAL["a"] + REAL["b"] + "</log>\n"
     write_log(scratch, "whole.xes", whole)
