@@ -45,6 +45,7 @@ COUNTED = 0.6       # above 1 - PARAPHRASE, so that a leak cannot miss all count
 BLOCK_CHARS, BLOCK_ITEMS = 8_000_000, 400
 BLOCK_WINDOWS = MAX_RANK - MIN_RANK // 2
 MARKED_ROWS = 500            # texts whose marked terms are held at once
+PAIRS_AT_ONCE = 1_024        # term pairs whose products are held at once
 ROWS_AT_ONCE = 64            # windows whose product is taken together
 SPAN = 16           # windows counted together at first
 _SLICE = 512
@@ -278,10 +279,11 @@ def latent_basis(marks: DataFrame, idf: np.ndarray, own: Passages) -> np.ndarray
         off = t1 != t2
         for rows, cols, x in ((t1, t2, v), (t2[off], t1[off], v[off])):
             by = np.argsort(rows, kind="stable")
-            rows, cols, x = rows[by], cols[by], x[by]
-            if len(rows):
-                first = np.flatnonzero(np.r_[True, rows[1:] != rows[:-1]])
-                out[rows[first]] += np.add.reduceat(right[cols] * x.astype(right.dtype)[:, None], first, axis=0)
+            rows, cols, x = rows[by], cols[by], x[by].astype(right.dtype)
+            for lo in range(0, len(rows), PAIRS_AT_ONCE):
+                r = rows[lo:lo + PAIRS_AT_ONCE]
+                first = np.flatnonzero(np.r_[True, r[1:] != r[:-1]])
+                out[r[first]] += np.add.reduceat(right[cols[lo:lo + PAIRS_AT_ONCE]] * x[lo:lo + PAIRS_AT_ONCE, None], first, axis=0)
 
     def multiplied(right: np.ndarray) -> np.ndarray:
         shared = spark.sparkContext.broadcast(right.astype(np.float32))
