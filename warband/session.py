@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 
@@ -64,11 +66,34 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
     _WRITTEN.append(path)
+    if (scope := _SCOPE.get()) is not None:
+        scope.append(path)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
 
 _WRITTEN: list[str] = []
+_SCOPE: ContextVar[list[str] | None] = ContextVar("scratch", default=None)
+
+
+@contextmanager
+def scratch_scope():
+    """The paths of the tables that this thread materializes inside the block, as a list."""
+    token = _SCOPE.set([])
+    try:
+        yield _SCOPE.get()
+    finally:
+        _SCOPE.reset(token)
+
+
+def drop_tables(spark: SparkSession, paths: list[str]) -> None:
+    """Delete intermediate tables that no DataFrame in use reads any more."""
+    jvm = spark.sparkContext._jvm
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        if p in _WRITTEN:
+            _WRITTEN.remove(p)
 
 
 def drop_scratch(spark: SparkSession) -> int:
