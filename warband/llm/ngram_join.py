@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from warband.llm.common import components, row_key, stream_groups
 from warband.llm.shingle_sets import SHINGLE, WordHashes, _mix, shingle_rows, shingle_sets
-from warband.session import materialize
+from warband.session import drop_tables, materialize, scratch_scope
 
 #: Links need 100 · intersection >= 85 · union.
 NUM, DEN = 85, 100
@@ -158,6 +158,17 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     its component is the smallest id it reaches, null if none. Other columns are not read. An empty table gives an
     empty result.
     """
+    with scratch_scope() as tables:
+        rows, named = _grouped(docs, id_col, text_col, size, num, den)
+    # the result reads these two only; the others are freed before whatever comes next writes its own
+    drop_tables(docs.sparkSession, [t for t in tables if t.rsplit("/", 1)[1].rsplit("-", 1)[0] not in ("set-rows", "node-components")])
+    return rows.join(named, "node", "left").select(
+        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id"),
+        *([F.col("component").alias("group_key"), "k1", "k2"] if with_keys else []))
+
+
+def _grouped(docs: DataFrame, id_col: str, text_col: str, size: int, num: int, den: int) -> tuple[DataFrame, DataFrame]:
+    """(id, k1, k2, n, node) of all rows and (node, component, component_id) of all sets, both stored."""
     kind = docs.schema[id_col].dataType.simpleString()
     texts = docs.select(docs[id_col].alias("id"), *row_key(docs[id_col], docs[text_col]), docs[text_col].cast("binary").alias("text"))
     order = docs.sparkSession.sparkContext.broadcast(frequent_buckets(texts.select("text"), size))   # 2^18 counts
@@ -325,6 +336,4 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     named = materialize(named, "set-components")
     least = materialize(named.groupBy("component").agg(F.min("first_id").alias("component_id")), "component-ids")
     named = materialize(named.join(least, "component").select("node", "component", "component_id"), "node-components")
-    return sets.select("id", "k1", "k2", "n", "node").join(named, "node", "left").select(
-        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id"),
-        *([F.col("component").alias("group_key"), "k1", "k2"] if with_keys else []))
+    return materialize(sets.select("id", "k1", "k2", "n", "node"), "set-rows"), named
