@@ -1,4 +1,4 @@
-"""Main text of web pages: structure marks first, nearest-URL page differencing for the rest.
+"""Main text of web pages: nearest-URL page differencing with structure marks.
 
 Every page is parsed into lines (one per block). Lines inside navigation, headers, footers, asides,
 forms, adverts, notices, comments and the like are left out by their tags, roles and class names. A class name
@@ -6,11 +6,12 @@ counts as a whole: of its parts one must name such an element and the others not
 kind, so ``post comments-open``, ``no-sidebar`` or ``related-work`` leave nothing out. Where the page marks its
 article (``article``, ``main``, ``itemprop=articleBody``, content classes), the lines below the innermost kind of mark that
 holds half of what the next outer kind holds are the text, so a quoted ``article`` inside ``main`` is a part of it.
-All other pages are compared with a sibling: pages are ordered by host and URL path,
+Every page, marked or not, is compared with a sibling: pages are ordered by host and URL path,
 pages of a host with equal lines count as one,
 each is paired with the adjacent page of its host whose path agrees longest, the lines of both are aligned
-by longest common subsequence, and the shared lines, the site's frame, are deleted. Lines that a page
-marks as its article stay even if the sibling repeats them: article text may be a copy.
+by longest common subsequence, and the shared lines, the site's frame, are deleted. Of the lines that a
+page marks as its article, a kind of mark further in (boxes inside the article) goes if the sibling repeats it whole and most of
+the article around it is not shared. Others stay even if the sibling repeats them: article text may be a copy.
 """
 
 from __future__ import annotations
@@ -213,9 +214,9 @@ def page_lines(source: str) -> list[tuple[str, int]]:
     return lines
 
 
-def article_level(texts: list[str], levels: list[int]) -> int:
+def article_level(sizes: list[int], levels: list[int]) -> int:
     """The innermost kind of mark that holds half of the text of the next outer kind, OTHER without marks."""
-    size = lambda least: sum(len(t) for t, v in zip(texts, levels) if v >= least)
+    size = lambda least: sum(n for n, v in zip(sizes, levels) if v >= least)
     best = max(levels, default=OTHER)
     for outer in sorted({v for v in levels if OTHER < v < best}, reverse=True):
         if 2 * size(best) < size(outer):
@@ -252,14 +253,26 @@ def shared_lines(a: list[int], b: list[int]) -> set[int]:
     return out
 
 
+def kept_lines(sizes: list[int], levels: list[int], hashes: list[int], sibling: list[int] | None) -> list[int]:
+    """Indices of the lines of the main text, given the lines' lengths, article levels and hashes and the sibling's hashes.
+
+    Shared lines go unless they are marked; inside the article, a kind of mark further in goes when all its lines are shared
+    and most of the article around it is the page's own: a box of the site, not a copied article."""
+    every = range(len(sizes))
+    shared = shared_lines(hashes, sibling) if sibling and sibling != hashes else set()   # an exact copy tells nothing about the frame
+    own = [0 if i in shared else sizes[i] for i in every]
+    best = article_level(sizes, levels)
+    if best == OTHER:
+        return [i for i in every if i not in shared]
+    around = [i for i in every if levels[i] == best]
+    boxes = set()
+    if 2 * sum(own[i] for i in around) > sum(sizes[i] for i in around):
+        boxes = {v for v in levels if v > best} - {levels[i] for i in every if own[i]}
+    return [i for i in every if levels[i] >= best and levels[i] not in boxes]
+
+
 def main_text(texts: list[str], levels: list[int], hashes: list[int], sibling: list[int] | None) -> str:
-    best = article_level(texts, levels)
-    if best > OTHER:
-        return "\n".join(t for t, v in zip(texts, levels) if v >= best)
-    if sibling and sibling != hashes:              # an exact copy tells nothing about the frame
-        gone = shared_lines(hashes, sibling)
-        return "\n".join(t for i, t in enumerate(texts) if i not in gone)
-    return "\n".join(texts)
+    return "\n".join(texts[i] for i in kept_lines([len(t) for t in texts], levels or [OTHER] * len(texts), hashes, sibling))
 
 
 def url_order(url: str | None) -> tuple[str, str]:
@@ -279,8 +292,8 @@ def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str =
     over many tasks; the sibling of a page comes from a join on sort positions and only its line hashes
     travel. Null html gives an empty text; a null or relative URL belongs to the host "" and still gets a
     sibling there. Equal ids and whole repeated rows stay separate rows. Other columns are not read. An
-    empty table gives an empty result. Pages are parsed once to order and pair them and once for each of the two
-    kinds of results, so that no text is stored or shuffled but the lines of pages without article marks.
+    empty table gives an empty result. Pages are parsed once to order, pair and align them and once for their texts; html meets
+    only the decisions of pages whose sibling changes the result, so where those are few nothing but hashes is shuffled.
     """
     spark = pages.sparkSession
     kind = pages.schema[id_col].dataType.simpleString()
@@ -295,18 +308,19 @@ def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str =
             yield pa.RecordBatch.from_arrays(
                 [*b.columns[:3], pa.array([w[0] for w in where], pa.string()), pa.array([w[1] for w in where], pa.string()),
                  pa.array([[_hash(t) for t, _ in r] for r in lines], pa.list_(pa.int64())),
-                 pa.array([any(v > OTHER for _, v in r) for r in lines], pa.bool_())],
-                names=[*key, "id", "host", "path", "hashes", "marked"])
+                 pa.array([[v for _, v in r] for r in lines], pa.list_(pa.int8())),
+                 pa.array([[len(t) for t, _ in r] for r in lines], pa.list_(pa.int32()))],
+                names=[*key, "id", "host", "path", "hashes", "levels", "sizes"])
 
     about = materialize(rows.mapInArrow(described, f"k1 bigint, k2 bigint, id {kind}, host string, path string, hashes array<bigint>, "
-                                                   "marked boolean"), "page-hashes")
+                                                   "levels array<tinyint>, sizes array<int>"), "page-hashes")
     order = ["host", "path", "id", *key]
     # pages without lines and copies of a sibling's lines tell nothing about the frame: of a host's pages with equal lines the
     # first in order stands for all
-    lined = about.where(F.size("hashes") > 0).withColumn("lines", F.xxhash64("hashes"))
-    first = lined.groupBy("host", "lines").agg(F.min(F.struct("path", "id", *key)).alias("first"), F.min("marked").alias("marked"))
-    ranked = materialize(first.select("host", "first.*", "marked", "lines").repartitionByRange(*order).sortWithinPartitions(*order)
-                         .select(*key, "host", "path", "marked", "lines", F.spark_partition_id().alias("part"),
+    lined = about.where(F.size("hashes") > 0).withColumn("lines", F.xxhash64("hashes")).withColumn("marks", F.xxhash64("levels"))
+    first = lined.groupBy("host", "lines").agg(F.min(F.struct("path", "id", *key)).alias("first"))
+    ranked = materialize(first.select("host", "first.*", "lines").repartitionByRange(*order).sortWithinPartitions(*order)
+                         .select(*key, "host", "path", "lines", F.spark_partition_id().alias("part"),
                                  F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("pos")), "page-order")
     sizes = sorted(ranked.groupBy("part").count().collect())        # one row per partition of the sort
     before, offsets = 0, []
@@ -317,7 +331,7 @@ def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str =
         offsets = [(0, 0)]
     base = spark.createDataFrame(offsets, "part int, before bigint")
     ranked = materialize(ranked.join(F.broadcast(base), "part").select(
-        *key, "host", "path", "marked", "lines", (F.col("pos") + F.col("before")).alias("at")), "page-ranks")
+        *key, "host", "path", "lines", (F.col("pos") + F.col("before")).alias("at")), "page-ranks")
 
     def neighbour(step: int, name: str) -> DataFrame:
         return ranked.select((F.col("at") + step).alias("at"), F.struct(*key).alias(f"{name}_key"), F.col("host").alias(f"{name}_host"),
@@ -330,36 +344,39 @@ def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str =
         differs = F.filter(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), lambda k: F.substr(a, k, F.lit(1)) != F.substr(b, k, F.lit(1)))
         return F.coalesce(F.when((F.col(f"{name}_host") == F.col("host")) & (F.col(f"{name}_lines") != F.col("lines")), F.coalesce(F.array_min(differs) - 1, n)), F.lit(-1))
 
-    near = (ranked.where("not marked").join(neighbour(1, "prev"), "at", "left").join(neighbour(-1, "next"), "at", "left")
+    near = (ranked.join(neighbour(1, "prev"), "at", "left").join(neighbour(-1, "next"), "at", "left")
             .select("host", "lines", agree("prev").alias("p"), agree("next").alias("n"), "prev_key", "next_key")
             .select("host", "lines", F.when((F.col("p") >= F.col("n")) & (F.col("p") >= 0), F.col("prev_key"))
                     .when(F.col("n") >= 0, F.col("next_key")).alias("other")))
     hashes = about.select(F.col("k1").alias("o1"), F.col("k2").alias("o2"), F.col("hashes").alias("sibling")).dropDuplicates(["o1", "o2"])
     shared = materialize(near.select("host", "lines", F.col("other.k1").alias("o1"), F.col("other.k2").alias("o2")).join(hashes, ["o1", "o2"])
                          .select("host", "lines", "sibling"), "line-siblings")
-    sibling = materialize(lined.where("not marked").select(*key, "host", "lines").distinct().join(shared, ["host", "lines"])
-                          .select(*key, "sibling"), "page-siblings")
-    schema = f"k1 bigint, k2 bigint, id {kind}, url string, text string, texts array<string>"
-
-    def parsed(keep_marked: bool):
-        """Marked pages' texts, or the other pages' lines: the html is parsed again instead of stored."""
-        def run(batches):
-            for b in batches:
-                lines = [page_lines(h or "") for h in b.column(4).to_pylist()]
-                marked = [any(v > OTHER for _, v in r) for r in lines]
-                texts = [main_text([t for t, _ in r], [v for _, v in r], [], None) if m else None for r, m in zip(lines, marked)]
-                rest = [None if m else [t for t, _ in r] for r, m in zip(lines, marked)]
-                yield pa.RecordBatch.from_arrays([*b.columns[:4], pa.array(texts, pa.string()), pa.array(rest, pa.list_(pa.string()))],
-                                                 names=[*key, "id", "url", "text", "texts"]).filter(pa.array([m == keep_marked for m in marked], pa.bool_()))
-        return run
-
-    def compared(batches):
+    # of a host's pages with equal lines and marks, one is aligned for all; only its lines' hashes, marks and lengths travel
+    kinds = lined.groupBy("host", "lines", "marks").agg(F.first(F.struct("hashes", "levels", "sizes")).alias("k"))
+
+    def aligned(batches):
+        """Kept lines of the pages for which the alignment decides otherwise than the page alone."""
         for b in batches:
-            texts = [main_text(t, [], [_hash(x) for x in t], s) for t, s in zip(b.column(2).to_pylist(), b.column(3).to_pylist())]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(texts, pa.string())], names=["id", "url", "text"])
+            alone = [kept_lines(n, v, [], None) for n, v in zip(b.column(5).to_pylist(), b.column(4).to_pylist())]
+            kept = [kept_lines(n, v, h, s) for h, v, n, s in zip(*(b.column(k).to_pylist() for k in (3, 4, 5, 6)))]
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(kept, pa.list_(pa.int32()))], names=["host", "lines", "marks", "kept"]
+                                             ).filter(pa.array([x != y for x, y in zip(alone, kept)], pa.bool_()))
+
+    decided = materialize(kinds.join(shared, ["host", "lines"]).select("host", "lines", "marks", "k.*", "sibling")
+                          .mapInArrow(aligned, "host string, lines bigint, marks bigint, kept array<int>"), "aligned-kinds")
+    decided = materialize(lined.select(*key, "host", "lines", "marks").distinct().join(decided, ["host", "lines", "marks"])
+                          .select(*key, "kept"), "aligned-pages")
 
-    marked = rows.mapInArrow(parsed(True), schema).select("id", "url", "text")
-    other = (rows.mapInArrow(parsed(False), schema).join(sibling, key, "left").select("id", "url", "texts", "sibling")
-             .mapInArrow(compared, f"id {kind}, url string, text string"))
-    return marked.union(other).select(F.col("id").alias(id_col), F.col("url").alias(url_col), "text",
+    def extracted(batches):
+        for b in batches:
+            out = []
+            for source, kept in zip(b.column(2).to_pylist(), b.column(3).to_pylist()):
+                lines = page_lines(source or "")
+                texts = [t for t, _ in lines]
+                out.append(main_text(texts, [v for _, v in lines], [], None) if kept is None else "\n".join(texts[i] for i in kept))
+            yield pa.RecordBatch.from_arrays([*b.columns[:2], pa.array(out, pa.string())], names=["id", "url", "text"])
+
+    texts = (rows.join(decided, key, "left").select("id", "url", "html", "kept")
+             .mapInArrow(extracted, f"id {kind}, url string, text string"))
+    return texts.select(F.col("id").alias(id_col), F.col("url").alias(url_col), "text",
                                       F.length("text").cast("bigint").alias("n_chars"))
