@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from warband.llm.common import row_key
-from warband.session import materialize
+from warband.session import drop_tables, materialize, scratch_scope
 
 WINDOW, STRIDE = 64, 32
 COMMON, COMMON_DOCS, KEEP_RAREST = 0.02, 50, 12
@@ -346,8 +346,10 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     for k in range(blocks):
         mine = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == k).collect()      # about BLOCK_ITEMS items
         for part in parts_of(sorted([tuple(r) for r in mine], key=lambda r: (r[0] is None, r[0] or 0, r[1]))):
-            got = _block_leaks(rows, Items(part), n_docs, items.schema["item"].dataType.simpleString(),
-                               docs.schema[id_col].dataType.simpleString())
+            with scratch_scope() as tables:
+                got = _block_leaks(rows, Items(part), n_docs, items.schema["item"].dataType.simpleString(),
+                                   docs.schema[id_col].dataType.simpleString())
+            drop_tables(docs.sparkSession, [t for t in tables if not t.rsplit("/", 1)[1].startswith("leaks-")])
             found = got if found is None else found.unionByName(got)
     return found.dropDuplicates([*key, "item"]).withColumnRenamed("id", id_col).withColumnRenamed("item", "item_id")
 

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from warband.llm.common import row_key
-from warband.session import materialize
+from warband.session import drop_tables, materialize, scratch_scope
 
 MIN_WORDS = 10       # chunks with fewer words count only together with the next one: short lines repeat by chance
 LONG_LINE = 12       # words from which a line is a chunk of its own
@@ -85,7 +85,9 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     id and text count as one document and get the same result. A null id orders last. An empty table
     gives an empty result.
     """
-    gone = removed_lines(docs, id_col, text_col, min_words, long_line)
+    with scratch_scope() as tables:
+        gone = removed_lines(docs, id_col, text_col, min_words, long_line)
+    drop_tables(docs.sparkSession, [t for t in tables if not t.rsplit("/", 1)[1].startswith("removed-lines-")])
     k1, k2 = row_key(id_col, text_col)
     keep = [c for c in docs.columns if c != "lines_removed"]
     rows = docs.select(F.struct(*keep).alias("row"), k1, k2).join(gone, ["k1", "k2"], "left")
