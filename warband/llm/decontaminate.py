@@ -219,14 +219,12 @@ def _lists(column) -> list[np.ndarray]:
 
 
 def summed(parts: DataFrame, shape: tuple[int, int]) -> np.ndarray:
-    """Sum of dense matrices given as (slice, part, data) rows; tasks add up 32 parts, then what is left."""
+    """Sum of dense matrices given as (slice, data) rows, a slice at a time: every task gives one matrix, and the tasks are few."""
     def add(key, table):
         total = sum(np.frombuffer(x.as_py()) for x in table.column("data"))
-        return pa.table({"slice": pa.array([key[0].as_py()], pa.int32()), "part": pa.array([0], pa.int32()), "data": pa.array([total.tobytes()], pa.binary())})
+        return pa.table({"slice": pa.array([key[0].as_py()], pa.int32()), "data": pa.array([total.tobytes()], pa.binary())})
 
-    schema = "slice int, part int, data binary"
-    one = parts.withColumn("part", F.pmod(F.xxhash64("part"), F.lit(32)).cast("int"))
-    out = one.groupBy("slice", "part").applyInArrow(add, schema).groupBy("slice").applyInArrow(add, schema)
+    out = parts.groupBy("slice").applyInArrow(add, "slice int, data binary")
     m = np.zeros(shape)
     for r in out.collect():
         rows = np.frombuffer(r["data"]).reshape(-1, shape[1])
@@ -236,11 +234,9 @@ def summed(parts: DataFrame, shape: tuple[int, int]) -> np.ndarray:
 
 def _sliced(m: np.ndarray):
     n = -(-len(m) // _SLICE)
-    from pyspark import TaskContext
-    task = TaskContext.get().taskAttemptId()
     return pa.RecordBatch.from_arrays(
-        [pa.array(range(n), pa.int32()), pa.array([task] * n, pa.int64()),
-         pa.array([np.ascontiguousarray(m[i * _SLICE:(i + 1) * _SLICE]).tobytes() for i in range(n)], pa.binary())], names=["slice", "part", "data"])
+        [pa.array(range(n), pa.int32()), pa.array([np.ascontiguousarray(m[i * _SLICE:(i + 1) * _SLICE]).tobytes() for i in range(n)], pa.binary())],
+        names=["slice", "data"])
 
 
 def latent_basis(marks: DataFrame, idf: np.ndarray, own: Passages) -> np.ndarray:
@@ -287,15 +283,17 @@ def latent_basis(marks: DataFrame, idf: np.ndarray, own: Passages) -> np.ndarray
 
     def multiplied(right: np.ndarray) -> np.ndarray:
         shared = spark.sparkContext.broadcast(right.astype(np.float32))
+        shape = right.shape                  # all that run() takes along: the matrix itself is broadcast, once
 
         def run(batches):
-            out = np.zeros(right.shape)
+            out = np.zeros(shape)
             for b in batches:
                 add(out, shared.value, *(b.column(k).to_numpy() for k in range(3)))
             yield _sliced(out)
 
         # few tasks: the pairs are bounded by the terms, and each task hands on a whole terms x rank matrix
-        out = summed(gram.coalesce(4).mapInArrow(run, "slice int, part bigint, data binary"), right.shape)
+        out = summed(gram.coalesce(4).mapInArrow(run, "slice int, data binary"), shape)
+        shared.destroy()
         add(out, right, *mine)
         return out
 
@@ -372,6 +370,7 @@ def _block_leaks(rows: DataFrame, items: Items, n_docs: int, item_type: str, id_
     if n_terms:
         seen = rows.select("text").mapInArrow(counted, "term bigint, n bigint").groupBy("term").agg(F.sum("n").alias("n")).toPandas()
         df[seen["term"].to_numpy()] = seen["n"].to_numpy()
+    number.destroy()                          # here and below: its file on every executor goes when the rows stand
     keep = df <= max(COMMON_DOCS, COMMON * n_docs)
     for ws in items.words:
         own = sorted({items.number[w] for w in ws}, key=lambda i: (df[i], i))
@@ -405,6 +404,8 @@ def _block_leaks(rows: DataFrame, items: Items, n_docs: int, item_type: str, id_
                                              names=["k1", "k2", "pos", "term"]).filter(pa.array(ok, pa.bool_()))
 
     marks = materialize(rows.select("k1", "k2", "text").mapInArrow(marked, "k1 bigint, k2 bigint, pos array<int>, term array<int>"), "term-marks")
+    rare_b.destroy()
+
     def unit(x: np.ndarray) -> np.ndarray:
         return x / np.maximum(np.sqrt((x * x).sum(axis=1, keepdims=True)), 1e-12)
 
@@ -428,6 +429,7 @@ def _block_leaks(rows: DataFrame, items: Items, n_docs: int, item_type: str, id_
 
     near = materialize(marks.mapInArrow(candidates, "k1 bigint, k2 bigint, nth bigint, win bigint")
                        .groupBy("k1", "k2").agg(F.collect_list(F.struct("nth", "win")).alias("near")), "leak-candidates")
+    shared.destroy()
     everything = spark.sparkContext.broadcast((items.ids, items.words, items.answers))
 
     def verified(batches):
@@ -450,8 +452,10 @@ def _block_leaks(rows: DataFrame, items: Items, n_docs: int, item_type: str, id_
                                               pa.array([o[2] for o in out], pa.float64()), pa.array([o[3] for o in out], pa.bool_())],
                                              names=["k1", "k2", "id", "item", "lcs", "answer"])
 
-    return materialize(rows.dropDuplicates(["k1", "k2"]).join(near, ["k1", "k2"]).select("k1", "k2", "id", "text", "near").mapInArrow(
+    leaks = materialize(rows.dropDuplicates(["k1", "k2"]).join(near, ["k1", "k2"]).select("k1", "k2", "id", "text", "near").mapInArrow(
         verified, f"k1 bigint, k2 bigint, id {id_type}, item {item_type}, lcs double, answer boolean"), "leaks")
+    everything.destroy()
+    return leaks
 
 
 _ARROW = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}
