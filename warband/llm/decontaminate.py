@@ -8,7 +8,7 @@ of the basis is not below the windows; an item with more windows than that is a
    terms. TF-IDF weights.
 2. Passages are windows of ``WINDOW`` words, half overlapping, over every whole document. Passages
    without block terms are zero rows of the matrix and need no storing; of the others only positions
-   and terms are kept, in a table that the later passes read instead of the texts.
+   and terms are kept, in a table that the fit reads instead of the texts.
 3. Randomised SVD (Halko, Martinsson and Tropp 2011), distributed, of the passages side by side that cover every text. The
    passage matrix enters by products
    AᵀA·Q only, so the sums of its term pairs are taken once, in Spark; each product multiplies the stored pairs in
@@ -20,7 +20,8 @@ of the basis is not below the windows; an item with more windows than that is a
    common subsequence of the accepted length cannot do without. No passage that step 5 accepts fails this count.
 5. A candidate is a leak when the longest common subsequence of words of the item and the document
    around the passage covers ``SAME`` of the item, or ``PARAPHRASE`` of it while the item's answer (its last
-   sentence) stands in the document word for word.
+   sentence) stands in the document word for word. The task that projects a document's passages checks its candidates
+   at once, while it holds the text: neither texts nor candidates are shuffled, only leaks are.
 """
 
 from __future__ import annotations
@@ -30,6 +31,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -44,18 +46,44 @@ ANSWER_WORDS = 3
 COUNTED = 0.6       # above 1 - PARAPHRASE, so that a leak cannot miss all counted words
 BLOCK_CHARS, BLOCK_ITEMS = 8_000_000, 400
 BLOCK_WINDOWS = MAX_RANK - MIN_RANK // 2
-MARKED_ROWS = 500            # texts whose marked terms are held at once
+MARKED_ROWS, MARKED_CHARS = 1_000, 2_000_000     # texts whose marked terms are held at once
 PAIRS_AT_ONCE = 1_024        # term pairs whose products are held at once
 ROWS_AT_ONCE = 64            # windows whose product is taken together
 SPAN = 16           # windows counted together at first
 _SLICE = 512
-ROWS = 300          # documents whose dense products are held at once
+SCORES_AT_ONCE = 1 << 21     # entries of windows' projections or scores held at once
 _SPACED = bytes(b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
 
 
+def spaced(text: str) -> bytes:
+    """The lower-cased text in UTF-8 with spaces for all ASCII characters but letters and digits."""
+    return text.lower().encode("utf-8", "surrogatepass").translate(_SPACED)
+
+
 def words_of(text: str) -> list[bytes]:
     """Lower-cased words: runs of ASCII letters and digits and of all characters beyond ASCII, in UTF-8."""
-    return text.lower().encode("utf-8", "surrogatepass").translate(_SPACED).split()
+    return spaced(text).split()
+
+
+def term_hits(texts: list[str], terms: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Text, position among its words (``words_of``) and index into ``terms`` of every word that is one of them, in order."""
+    words = pc.ascii_split_whitespace(pa.array([spaced(t).strip() for t in texts], pa.string()))
+    found = pc.index_in(words.values, value_set=terms).fill_null(-1).to_numpy().astype(np.int64)
+    at, start = np.flatnonzero(found >= 0), words.offsets.to_numpy().astype(np.int64)
+    doc = np.searchsorted(start, at, side="right") - 1
+    return doc, at - start[doc], found[at]
+
+
+def _distinct(x: np.ndarray) -> np.ndarray:
+    x = np.sort(x)
+    return x[np.r_[True, x[1:] != x[:-1]]] if len(x) else x
+
+
+def _joined(pos: list[np.ndarray], term: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(document, position, term) arrays of lists that hold an array per document."""
+    none = np.zeros(0, np.int64)
+    return (np.repeat(np.arange(len(pos)), [len(p) for p in pos]), np.concatenate([none, *pos]).astype(np.int64),
+            np.concatenate([none, *term]).astype(np.int64))
 
 
 def answer_of(text: str) -> list[bytes]:
@@ -66,19 +94,28 @@ def answer_of(text: str) -> list[bytes]:
     return []
 
 
-def lcs_length(a: list, b: list) -> int:
-    """Length of a longest common subsequence, a row of the table per word of ``b`` in one integer
-    (the published bit-vector recurrence)."""
+def places_of(a: list) -> dict:
+    """The places of every word of ``a``, as bits of an integer."""
     where: dict = {}
     for i, x in enumerate(a):
         where[x] = where.get(x, 0) | 1 << i
-    full = (1 << len(a)) - 1
+    return where
+
+
+def lcs_length(a: list, b: list) -> int:
+    """Length of a longest common subsequence."""
+    return _lcs_of_places(len(a), filter(None, map(places_of(a).get, b)))
+
+
+def _lcs_of_places(n: int, places) -> int:
+    """The same for ``n`` words and their places of the other side's words, a row of the table per word in one integer
+    (the published bit-vector recurrence)."""
+    full = (1 << n) - 1
     row = full
-    for x in b:
-        if m := where.get(x):
-            u = row & m
-            row = (row + u | row - u) & full
-    return len(a) - row.bit_count()
+    for m in places:
+        u = row & m
+        row = (row + u | row - u) & full
+    return n - row.bit_count()
 
 
 def holds(words: list, part: list) -> bool:
@@ -91,40 +128,58 @@ class Passages:
     """Sparse rows (windows, half overlapping or side by side) of a batch of documents given as term positions."""
 
     def __init__(self, pos: list[np.ndarray], term: list[np.ndarray], idf: np.ndarray, overlap: bool = True):
-        size = np.array([len(p) for p in pos], np.int64)
-        p = np.concatenate(pos) if len(pos) else np.zeros(0, np.int64)
-        t = np.concatenate(term) if len(term) else np.zeros(0, np.int64)
-        doc = np.repeat(np.arange(len(size)), size)
+        self._fill(*_joined(pos, term), idf, overlap)
+
+    @classmethod
+    def of(cls, doc: np.ndarray, p: np.ndarray, t: np.ndarray, idf: np.ndarray, overlap: bool = True) -> Passages:
+        """The same from (document, position, term) arrays; terms beyond ``idf`` are only counted and make no passages."""
+        self, kept = cls.__new__(cls), t < len(idf)
+        self._fill(doc[kept], p[kept], t[kept], idf, overlap)
+        return self
+
+    def _fill(self, doc: np.ndarray, p: np.ndarray, t: np.ndarray, idf: np.ndarray, overlap: bool) -> None:
         last = p // STRIDE                              # a word lies in windows last - 1 and last
         win = np.r_[last, last - 1] if overlap else p // WINDOW
         doc, t = (np.r_[doc, doc], np.r_[t, t]) if overlap else (doc, t)
         ok = win >= 0
-        doc, win, t = doc[ok], win[ok], t[ok]
-        by = np.lexsort((t, win, doc))
-        doc, win, t = doc[by], win[by], t[by]
-        cell = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (win[1:] != win[:-1]) | (t[1:] != t[:-1])]) if len(t) else np.zeros(0, np.int64)
-        tf = np.diff(np.r_[cell, len(t)])
-        doc, win, self.term = doc[cell], win[cell], t[cell]
-        self.start = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (win[1:] != win[:-1])]) if len(doc) else np.zeros(0, np.int64)
-        self.doc, self.win = doc[self.start], win[self.start]
-        self.row = np.repeat(np.arange(len(self.start)), np.diff(np.r_[self.start, len(doc)]))
+        wide, n = int(win.max(initial=0)) + 1, max(1, len(idf))
+        cell = np.sort((doc[ok] * wide + win[ok]) * n + t[ok])
+        head = np.flatnonzero(np.r_[True, cell[1:] != cell[:-1]]) if len(cell) else np.zeros(0, np.int64)
+        tf = np.diff(np.r_[head, len(cell)])
+        row, self.term = np.divmod(cell[head], n)
+        new = np.r_[True, row[1:] != row[:-1]] if len(row) else np.zeros(0, bool)
+        self.start = np.flatnonzero(new)
+        self.doc, self.win = np.divmod(row[self.start], wide)
+        self.row = np.cumsum(new) - 1
         w = (1 + np.log(np.maximum(tf, 1))) * idf[self.term]
         norm = np.sqrt(np.bincount(self.row, w * w, len(self.start)))
         self.weight = (w / norm[self.row]) if len(w) else w
 
-    def times(self, m: np.ndarray) -> np.ndarray:
-        """This matrix times a dense terms × n one: a few rows at once, as a dense product over the terms they hold."""
-        out = np.zeros((len(self.start), m.shape[1]), m.dtype)
-        weight, ends = self.weight.astype(m.dtype), np.r_[self.start, len(self.term)]
-        for lo in range(0, len(self.start), ROWS_AT_ONCE):
-            hi = min(lo + ROWS_AT_ONCE, len(self.start))
+    def times(self, m: np.ndarray, first: int = 0, last: int | None = None) -> np.ndarray:
+        """This matrix, or its rows from ``first`` to ``last``, times a dense terms × n one: a few rows at once, as a
+        dense product over the terms they hold."""
+        last = len(self.start) if last is None else last
+        out = np.zeros((last - first, m.shape[1]), m.dtype)
+        ends = np.r_[self.start, len(self.term)]
+        for lo in range(first, last, ROWS_AT_ONCE):
+            hi = min(lo + ROWS_AT_ONCE, last)
             part = slice(ends[lo], ends[hi])
             terms, at = np.unique(self.term[part], return_inverse=True)
             dense = np.zeros((hi - lo, len(terms)), m.dtype)
-            dense[self.row[part] - lo, at] = weight[part]
-            np.matmul(dense, m[terms], out=out[lo:hi])
+            dense[self.row[part] - lo, at] = self.weight[part]
+            np.matmul(dense, m[terms], out=out[lo - first:hi - first])
         return out
 
+    def near(self, basis: np.ndarray, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(row, item window) whose cosine in the basis is ``COSINE`` or more; ``vectors`` are the items' unit vectors there."""
+        out, step = [np.zeros((2, 0), np.int64)], max(ROWS_AT_ONCE, SCORES_AT_ONCE // max(1, *vectors.shape))
+        for lo in range(0, len(self.start), step):
+            z = self.times(basis, lo, min(lo + step, len(self.start)))
+            least = COSINE * np.maximum(np.sqrt(np.einsum("ij,ij->i", z, z)), 1e-12)
+            r, c = np.nonzero(z @ vectors.T >= least[:, None])
+            out.append(np.stack([lo + r, c]))
+        return tuple(np.concatenate(out, axis=1))
+
     def pair_sums(self, n_terms: int) -> tuple[np.ndarray, np.ndarray]:
         """Entries on and above the diagonal of this matrix's Gram matrix: keys ``t1 * n_terms + t2`` and sums."""
         size = np.diff(np.r_[self.start, len(self.term)])
@@ -160,9 +215,10 @@ class Counts:
 
     def windows(self, pos: list[np.ndarray], term: list[np.ndarray]) -> np.ndarray:
         """Rows (document, item, window) of all windows with enough of the item's counted words around them."""
-        p = np.concatenate(pos) if len(pos) else np.zeros(0, np.int64)
-        t = np.concatenate(term) if len(term) else np.zeros(0, np.int64)
-        doc = np.repeat(np.arange(len(pos)), [len(x) for x in pos])
+        return self.windows_of(*_joined(pos, term))
+
+    def windows_of(self, doc: np.ndarray, p: np.ndarray, t: np.ndarray) -> np.ndarray:
+        """The same from (document, position, term) arrays."""
         # a hit counts for the windows whose surroundings hold it; spans of windows are done apart
         lo = np.maximum(0, (p - WINDOW - self.longest) // STRIDE + 1) // self.span
         n = (p + self.longest) // STRIDE // self.span - lo + 1
@@ -183,7 +239,7 @@ class Counts:
 
     def _counted(self, doc: np.ndarray, p: np.ndarray, t: np.ndarray, part: np.ndarray, unit: np.ndarray) -> np.ndarray:
         items, terms = len(self.size), len(self.start) - 1
-        once = np.unique(unit * terms + t)
+        once = _distinct(unit * terms + t)
         i, k = self.expanded(once % terms)
         total = np.bincount((once // terms)[i] * items + self.item[k], self.times[k], (unit[-1] + 1) * items)
         enough = total.reshape(-1, items) >= self.need
@@ -204,18 +260,24 @@ class Counts:
         return np.stack([doc[i[head]], item[head], win[head]], axis=1)
 
 
-def _batches_of_marks(batches, idf, rows: int, overlap: bool = True):
-    """Slices of stored marks and their passages; terms beyond ``idf`` are only counted and make no passages."""
-    for big in batches:
-        for lo in range(0, big.num_rows, rows):
-            b = big.slice(lo, rows)
-            pos, term = ([x.astype(np.int64) for x in _lists(b.column(k))] for k in (2, 3))
-            yield b, Passages([p[t < len(idf)] for p, t in zip(pos, term)], [t[t < len(idf)] for t in term], idf, overlap)
+def _slices(batches, column: int):
+    """Batches cut into slices of at most ``MARKED_ROWS`` rows and ``MARKED_CHARS`` bytes of text; a longer text is a slice."""
+    for b in batches:
+        ends = np.cumsum(pc.binary_length(b.column(column)).to_numpy(zero_copy_only=False).astype(np.int64))
+        lo = 0
+        while lo < b.num_rows:
+            most = (ends[lo - 1] if lo else 0) + MARKED_CHARS
+            hi = min(lo + MARKED_ROWS, max(lo + 1, int(np.searchsorted(ends, most, side="right"))))
+            yield b.slice(lo, hi - lo)
+            lo = hi
 
 
-def _lists(column) -> list[np.ndarray]:
-    offs, values = column.offsets.to_numpy(), column.values.to_numpy()
-    return [values[lo:hi] for lo, hi in zip(offs[:-1], offs[1:])]
+def _passages_of_marks(batches, idf: np.ndarray, rows: int):
+    """Passages side by side of slices of stored marks."""
+    for big in batches:
+        for b in (big.slice(lo, rows) for lo in range(0, big.num_rows, rows)):
+            doc = np.repeat(np.arange(b.num_rows), pc.list_value_length(b.column(0)).to_numpy(zero_copy_only=False))
+            yield Passages.of(doc, *(b.column(k).flatten().to_numpy().astype(np.int64) for k in range(2)), idf, overlap=False)
 
 
 def summed(parts: DataFrame, shape: tuple[int, int]) -> np.ndarray:
@@ -250,7 +312,7 @@ def latent_basis(marks: DataFrame, idf: np.ndarray, own: Passages) -> np.ndarray
 
     def paired(batches):
         keys, sums, held = [], [], 0
-        for _, p in _batches_of_marks(batches, idf, 2_000, overlap=False):
+        for p in _passages_of_marks(batches, idf, 2_000):
             key, total = p.pair_sums(n)
             keys.append(key)
             sums.append(total)
@@ -340,37 +402,37 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     size = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0)), F.count("*")).first()
     blocks = max(1, -(-size[0] // BLOCK_CHARS), -(-size[1] // BLOCK_ITEMS))
     found = None
-    n_docs = rows.count()
     for k in range(blocks):
         mine = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == k).collect()      # about BLOCK_ITEMS items
         for part in parts_of(sorted([tuple(r) for r in mine], key=lambda r: (r[0] is None, r[0] or 0, r[1]))):
             with scratch_scope() as tables:
-                got = _block_leaks(rows, Items(part), n_docs, items.schema["item"].dataType.simpleString(),
+                got = _block_leaks(rows, Items(part), items.schema["item"].dataType.simpleString(),
                                    docs.schema[id_col].dataType.simpleString())
             drop_tables(docs.sparkSession, [t for t in tables if not t.rsplit("/", 1)[1].startswith("leaks-")])
             found = got if found is None else found.unionByName(got)
     return found.dropDuplicates([*key, "item"]).withColumnRenamed("id", id_col).withColumnRenamed("item", "item_id")
 
 
-def _block_leaks(rows: DataFrame, items: Items, n_docs: int, item_type: str, id_type: str) -> DataFrame:
+def _block_leaks(rows: DataFrame, items: Items, item_type: str, id_type: str) -> DataFrame:
     spark = rows.sparkSession
-    number = spark.sparkContext.broadcast(items.number)
     n_terms = len(items.number)
+    known = spark.sparkContext.broadcast(pa.array(list(items.number), pa.string()))
 
     def counted(batches):
-        total = np.zeros(n_terms, np.int64)
-        get = number.value.get
-        for b in batches:
-            for t in b.column(0).to_pylist():
-                total[[i for w in set(words_of(t)) if (i := get(w)) is not None]] += 1
+        total = np.zeros(n_terms + 1, np.int64)             # and, last, the texts
+        for b in _slices(batches, 0):
+            doc, _, term = term_hits(b.column(0).to_pylist(), known.value)
+            total[:-1] += np.bincount(_distinct(doc * n_terms + term) % n_terms, minlength=n_terms)
+            total[-1] += b.num_rows
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["term", "n"])
 
-    df = np.zeros(n_terms)
+    df = np.zeros(n_terms + 1)
     if n_terms:
         seen = rows.select("text").mapInArrow(counted, "term bigint, n bigint").groupBy("term").agg(F.sum("n").alias("n")).toPandas()
         df[seen["term"].to_numpy()] = seen["n"].to_numpy()
-    number.destroy()                          # here and below: its file on every executor goes when the rows stand
+    known.destroy()                           # here and below: its file on every executor goes when the rows stand
+    df, n_docs = df[:-1], int(df[-1])
     keep = df <= max(COMMON_DOCS, COMMON * n_docs)
     for ws in items.words:
         own = sorted({items.number[w] for w in ws}, key=lambda i: (df[i], i))
@@ -389,22 +451,15 @@ def _block_leaks(rows: DataFrame, items: Items, n_docs: int, item_type: str, id_
     slot[count & ~keep] = int(keep.sum()) + np.arange(int((count & ~keep).sum()))
     rare = {w: int(slot[i]) for w, i in items.number.items() if slot[i] >= 0}
     idf = np.log((1 + n_docs) / (1 + df[keep])) + 1
-    rare_b = spark.sparkContext.broadcast(rare)
+    rare_b = spark.sparkContext.broadcast(pa.array(sorted(rare, key=rare.get), pa.string()))
 
     def marked(batches):
-        get = rare_b.value.get
-        for b in (big.slice(lo, MARKED_ROWS) for big in batches for lo in range(0, big.num_rows, MARKED_ROWS)):
-            pos, term, ok = [], [], []
-            for t in b.column(2):
-                hits = [(p, i) for p, w in enumerate(words_of(t.as_py())) if (i := get(w)) is not None]
-                ok.append(bool(hits))
-                pos.append(np.fromiter((p for p, _ in hits), np.int32, len(hits)))
-                term.append(np.fromiter((i for _, i in hits), np.int32, len(hits)))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(pos, pa.list_(pa.int32())), pa.array(term, pa.list_(pa.int32()))],
-                                             names=["k1", "k2", "pos", "term"]).filter(pa.array(ok, pa.bool_()))
-
-    marks = materialize(rows.select("k1", "k2", "text").mapInArrow(marked, "k1 bigint, k2 bigint, pos array<int>, term array<int>"), "term-marks")
-    rare_b.destroy()
+        for b in _slices(batches, 0):
+            doc, *hits = term_hits(b.column(0).to_pylist(), rare_b.value)
+            offsets = pa.array(np.r_[np.flatnonzero(np.r_[True, doc[1:] != doc[:-1]]), len(doc)] if len(doc) else [0], pa.int32())
+            yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(offsets, pa.array(x, pa.int32())) for x in hits], names=["pos", "term"])
+
+    marks = materialize(rows.select("text").mapInArrow(marked, "pos array<int>, term array<int>"), "term-marks")
 
     def unit(x: np.ndarray) -> np.ndarray:
         return x / np.maximum(np.sqrt((x * x).sum(axis=1, keepdims=True)), 1e-12)
@@ -413,36 +468,38 @@ def _block_leaks(rows: DataFrame, items: Items, n_docs: int, item_type: str, id_
     a = Passages([np.array([p for p, _ in o], np.int64) for o in own], [np.array([t for _, t in o], np.int64) for o in own], idf)
     basis = latent_basis(marks, idf, a) if len(idf) else np.zeros((0, 1))
     item_of, item_vectors = a.doc, unit(a.times(basis)).astype(np.float32)
-    shared = spark.sparkContext.broadcast((basis.astype(np.float32), item_vectors, item_of, Counts(items.words, items.answers, rare)))
-
-    def candidates(batches):
-        basis, vectors, owner, counts = shared.value
-        for b, a in _batches_of_marks(batches, idf, ROWS):
-            z = unit(a.times(basis)).astype(np.float32)
-            pairs = [counts.windows(*([x.astype(np.int64) for x in _lists(b.column(k))] for k in (2, 3)))]
-            for lo in range(0, len(z), 8_192):
-                r, c = np.nonzero(z[lo:lo + 8_192] @ vectors.T >= COSINE)
-                pairs.append(np.stack([a.doc[lo + r], owner[c], a.win[lo + r]], axis=1))
-            p = np.unique(np.concatenate(pairs), axis=0)
-            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(p[:, 0])), b.column(1).take(pa.array(p[:, 0])),
-                                              pa.array(p[:, 1]), pa.array(p[:, 2])], names=["k1", "k2", "nth", "win"])
-
-    near = materialize(marks.mapInArrow(candidates, "k1 bigint, k2 bigint, nth bigint, win bigint")
-                       .groupBy("k1", "k2").agg(F.collect_list(F.struct("nth", "win")).alias("near")), "leak-candidates")
-    shared.destroy()
-    everything = spark.sparkContext.broadcast((items.ids, items.words, items.answers))
+    shared = spark.sparkContext.broadcast((basis.astype(np.float32), item_vectors, item_of, Counts(items.words, items.answers, rare),
+                                           items.ids, items.words, items.answers))
+
+    def candidates(texts: list[str]):
+        """(text, (item, window) pairs) of every text of a slice that has candidates."""
+        basis, vectors, owner, counts, *_ = shared.value
+        doc, p, t = term_hits(texts, rare_b.value)
+        a = Passages.of(doc, p, t, idf)
+        row, c = a.near(basis, vectors)
+        found = np.concatenate([counts.windows_of(doc, p, t), np.stack([a.doc[row], owner[c], a.win[row]], axis=1)])
+        wide = int(found[:, 2].max(initial=0)) + 1
+        of, win = np.divmod(_distinct((found[:, 0] * len(counts.size) + found[:, 1]) * wide + found[:, 2]), wide)
+        doc, item = np.divmod(of, len(counts.size))
+        for part in np.split(np.arange(len(doc)), np.flatnonzero(doc[1:] != doc[:-1]) + 1) if len(doc) else []:
+            yield int(doc[part[0]]), zip(item[part].tolist(), win[part].tolist())
 
     def verified(batches):
-        ids, words, answers = everything.value
-        for b in batches:
-            out = []
-            for row, (t, near) in enumerate(zip(b.column(3).to_pylist(), b.column(4).to_pylist())):
-                ws, best = words_of(t), {}
-                for c in near:
-                    n, item, answer = c["nth"], words[c["nth"]], answers[c["nth"]]
-                    lo = max(0, c["win"] * STRIDE - len(item))
-                    region = ws[lo:c["win"] * STRIDE + WINDOW + len(item)]
-                    share = lcs_length(item, region) / len(item)
+        *_, ids, words, answers = shared.value
+        places = {}
+        for b in _slices(batches, 3):
+            out, texts = [], b.column(3).to_pylist()
+            for row, near in candidates(texts):
+                ws, best = words_of(texts[row]), {}
+                for n, win in near:
+                    item, answer = words[n], answers[n]
+                    if n not in places:
+                        places[n] = places_of(item)
+                    region = ws[max(0, win * STRIDE - len(item)):win * STRIDE + WINDOW + len(item)]
+                    held = list(filter(None, map(places[n].get, region)))
+                    if len(held) / len(item) < PARAPHRASE:          # no subsequence is longer than these words
+                        continue
+                    share = _lcs_of_places(len(item), held) / len(item)
                     said = len(answer) >= ANSWER_WORDS and share >= PARAPHRASE and holds(region, answer)
                     if share >= SAME or said:
                         best[n] = max(best.get(n, (0, False)), (share, said or holds(region, answer)))
@@ -452,9 +509,10 @@ def _block_leaks(rows: DataFrame, items: Items, n_docs: int, item_type: str, id_
                                               pa.array([o[2] for o in out], pa.float64()), pa.array([o[3] for o in out], pa.bool_())],
                                              names=["k1", "k2", "id", "item", "lcs", "answer"])
 
-    leaks = materialize(rows.dropDuplicates(["k1", "k2"]).join(near, ["k1", "k2"]).select("k1", "k2", "id", "text", "near").mapInArrow(
+    leaks = materialize(rows.select("k1", "k2", "id", "text").mapInArrow(
         verified, f"k1 bigint, k2 bigint, id {id_type}, item {item_type}, lcs double, answer boolean"), "leaks")
-    everything.destroy()
+    shared.destroy()
+    rare_b.destroy()
     return leaks
 
 
