@@ -38,7 +38,7 @@ PART = 512
 BLOCK = 2_048
 BUCKET_BITS = 18
 CLASSES = 256
-ROWS = 1_000
+ROWS = 250
 
 
 def _buckets(value: np.ndarray) -> np.ndarray:
